@@ -1 +1,177 @@
-"""BI measures."""
+"""BI measures behind the dashboard pages (survey X3-X12, J8, N5).
+
+Revenue is carried as exact integer cents; figures are produced by one IEEE
+division at the end (``mean_double``) or exact rounding (``round_ratio``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from basketry.functions import exprs as X
+from basketry.operators import ranking
+from basketry.operators.features import revenue
+
+# The channel columns of the category x channel matrix.
+CHANNELS = ["Online", "In-Store", "Mobile App", "Phone"]
+
+
+def _col_name(value: str) -> str:
+    return value.lower().replace(" ", "_").replace("-", "_")
+
+
+def bi_measures(customers: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Churn %, return %, active customers, revenue, AOV, CLV (one row)."""
+    c = customers.agg(
+        F.count(F.lit(1)).alias("_nc"),
+        F.count_if(F.col("is_churned") == 1).alias("_churned"),
+        F.count_if(F.col("is_churned") == 0).alias("active_customers"))
+    per_customer = transactions.where(F.col("customer_id").isNotNull()) \
+        .groupBy("customer_id").agg(F.sum(X.cents(revenue())).alias("_rev"))
+    clv = per_customer.agg(F.sum("_rev").alias("_clv_rev"), F.count(F.lit(1)).alias("_buyers"))
+    t = transactions.agg(
+        F.count(F.lit(1)).alias("_nt"),
+        F.count_if(F.col("is_returned") == 1).alias("_returned"),
+        F.sum(X.cents(revenue())).alias("_rev"),
+        F.sum(X.cents(F.col("final_amount"))).alias("_fin"), F.count("final_amount").alias("_nf"))
+    one = c.crossJoin(t).crossJoin(clv)  # three one-row aggregates
+    return one.select(
+        X.mean_double(F.col("_churned") * 100, F.col("_nc")).alias("churn_rate_pct"),
+        X.mean_double(F.col("_returned") * 100, F.col("_nt")).alias("return_rate_pct"),
+        "active_customers",
+        (F.col("_rev").cast("double") / 100.0).alias("total_revenue"),
+        X.mean_double(F.col("_fin"), F.col("_nf") * 100).alias("avg_order_value"),
+        X.mean_double(F.col("_clv_rev"), F.col("_buyers") * 100).alias("customer_lifetime_value"))
+
+
+def _monthly_cents(transactions: DataFrame) -> DataFrame:
+    t = transactions.where(F.col("transaction_date").isNotNull())
+    return t.groupBy(F.trunc("transaction_date", "MM").alias("month")) \
+        .agg(F.sum(X.cents(revenue())).alias("_rev"))
+
+
+def mom_growth(transactions: DataFrame) -> DataFrame:
+    """X6 + J8 at month grain: previous calendar month by a join on add_months,
+    so a missing month gives NULL instead of comparing with an older month."""
+    m = _monthly_cents(transactions)
+    prev = m.select(F.add_months("month", 1).alias("month"), F.col("_rev").alias("_prev"))
+    j = m.join(prev, "month", "left")
+    return j.select(
+        "month",
+        (F.col("_rev").cast("double") / 100.0).alias("revenue"),
+        (F.col("_prev").cast("double") / 100.0).alias("prev_month_revenue"),
+        F.when(F.col("_prev") != 0,
+               X.mean_double((F.col("_rev") - F.col("_prev")) * 100, F.col("_prev")))
+        .alias("mom_growth_pct"))
+
+
+def mtd_revenue(transactions: DataFrame) -> DataFrame:
+    """N5 + X6 at day grain: month-to-date running total vs the full previous month."""
+    t = transactions.where(F.col("transaction_date").isNotNull())
+    daily = t.groupBy("transaction_date").agg(F.sum(X.cents(revenue())).alias("_day")) \
+        .withColumn("month", F.trunc("transaction_date", "MM"))
+    # A month holds at most 31 daily rows: the window partitions stay tiny.
+    w = Window.partitionBy("month").orderBy("transaction_date") \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    daily = daily.withColumn("_mtd", F.sum("_day").over(w))
+    prev = _monthly_cents(transactions).select(
+        F.add_months("month", 1).alias("month"), F.col("_rev").alias("_prev"))
+    j = daily.join(prev, "month", "left")
+    return j.select(
+        "transaction_date", "month",
+        (F.col("_day").cast("double") / 100.0).alias("daily_revenue"),
+        (F.col("_mtd").cast("double") / 100.0).alias("mtd_revenue"),
+        (F.col("_prev").cast("double") / 100.0).alias("prev_month_revenue"),
+        F.when(F.col("_prev") != 0,
+               X.mean_double((F.col("_mtd") - F.col("_prev")) * 100, F.col("_prev")))
+        .alias("mom_growth_pct"))
+
+
+def revenue_by_segment_all(customers: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Revenue per (segment, category) next to the segment total that ignores
+    the category filter (ALLEXCEPT on segment).
+
+    Transactions are reduced to (customer, category) before the join; the
+    window runs over the per-(segment, category) rows only.
+    """
+    per = transactions.groupBy("customer_id", "product_category") \
+        .agg(F.sum(X.cents(revenue())).alias("_rev"))
+    g = customers.select("customer_id", "segment").join(per, "customer_id") \
+        .groupBy("segment", "product_category").agg(F.sum("_rev").alias("_rev"))
+    g = g.withColumn("_seg", F.sum("_rev").over(Window.partitionBy("segment")))
+    return g.select("segment", "product_category",
+                    (F.col("_rev").cast("double") / 100.0).alias("revenue"),
+                    (F.col("_seg").cast("double") / 100.0).alias("segment_revenue"))
+
+
+def category_channel_matrix(transactions: DataFrame) -> DataFrame:
+    """Revenue matrix category x channel (pivot values listed, no extra pass)."""
+    p = transactions.groupBy("product_category").pivot("channel", CHANNELS) \
+        .agg(F.sum(X.cents(revenue())))
+    return p.select("product_category", *[(F.col(ch).cast("double") / 100.0).alias(_col_name(ch))
+                                          for ch in CHANNELS])
+
+
+def churn_by_region(customers: DataFrame) -> DataFrame:
+    """Churn rate by region (customer weighted)."""
+    g = customers.groupBy("region").agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(F.col("is_churned") == 1).alias("churned"),
+        F.count("is_churned").alias("_n"))
+    return g.select("region", "customers", "churned",
+                    X.round_ratio(F.col("churned") * 100, F.col("_n"), 2).alias("churn_rate_pct"))
+
+
+def high_risk_customers(risk_flags: DataFrame) -> DataFrame:
+    """The 'High Risk' rows of the churn-risk list."""
+    return risk_flags.where(F.col("churn_risk_flag") == "High Risk")
+
+
+def rfm_by_segment(scores: DataFrame) -> DataFrame:
+    """Mean R, F, M per RFM segment (heatmap table)."""
+    g = scores.groupBy("rfm_segment").agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.sum("R").alias("_r"), F.sum("F").alias("_f"), F.sum("M").alias("_m"))
+    return g.select("rfm_segment", "customers",
+                    X.mean_double(F.col("_r"), F.col("customers")).alias("avg_r"),
+                    X.mean_double(F.col("_f"), F.col("customers")).alias("avg_f"),
+                    X.mean_double(F.col("_m"), F.col("customers")).alias("avg_m"))
+
+
+def histogram(df: DataFrame, metrics, bins: int = 40) -> DataFrame:
+    """X11: equal-width histograms (numpy semantics: last bin right-inclusive) + median.
+
+    Values of all metrics are stacked into (metric, v); per-metric min/max is
+    one grouped aggregate of ``len(metrics)`` rows, broadcast back.
+    """
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics]))
+        .alias("s")).select("s.*").where(F.col("v").isNotNull())
+    bounds = stacked.groupBy("metric").agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+    medians = None
+    for m in metrics:
+        med = ranking.exact_quantiles(df, m, [0.5], prefix="_med").select(
+            F.lit(m).alias("metric"), F.col("_med0").alias("median"))
+        medians = med if medians is None else medians.unionByName(med)
+    bounds = bounds.join(medians, "metric")  # both one row per metric
+    j = stacked.join(F.broadcast(bounds), "metric")
+    width = F.col("_hi") - F.col("_lo")
+    step = width / bins
+    raw = F.floor((F.col("v") - F.col("_lo")) * (F.lit(float(bins)) / width))
+    idx0 = F.when(width == 0, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1)))
+
+    def edge(i):
+        return F.when(i >= bins, F.col("_hi")).otherwise(F.col("_lo") + i * step)
+
+    idx = (F.when(width == 0, F.lit(0))
+           .when(F.col("v") < edge(idx0), idx0 - 1)
+           .when((F.col("v") >= edge(idx0 + 1)) & (idx0 != bins - 1), idx0 + 1)
+           .otherwise(idx0)).cast("int")
+    counted = j.withColumn("bin", idx).groupBy("metric", "bin", "_lo", "_hi", "median") \
+        .agg(F.count(F.lit(1)).alias("customers"))
+    b = F.col("bin")
+    return counted.select(
+        "metric", "bin",
+        edge(b).alias("bin_lower"), edge(b + 1).alias("bin_upper"),
+        "customers", "median")

@@ -21,6 +21,7 @@ the key columns themselves (callers always end the key with a unique id).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,24 +84,25 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     prefix: str = "q", parts: int | None = None) -> DataFrame:
     """One-row frame of linear-interpolated quantiles (pandas/``quantile_cont``).
 
-    Position h = p (n - 1) in the sorted non-null values; result
-    lo + (hi - lo) * frac.  Exact at any cardinality: the values are sorted
-    by a range shuffle instead of being held in one aggregation buffer.
+    For p = a/b the position is h = a (n - 1) / b in the sorted non-null
+    values, taken in exact integer arithmetic; result lo + (hi - lo) * frac.
+    Exact at any cardinality: the values are sorted by a range shuffle
+    instead of being held in one aggregation buffer.
     """
     vals = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     ranked = global_row_number(vals, [F.col("_v")], out="_rn", total="_n", parts=parts)
-    aggs = []
+    aggs, needed = [], F.lit(False)
     for i, p in enumerate(probs):
-        h = F.lit(float(p)) * (F.col("_n") - 1)
-        lo = F.floor(h) + 1
+        frac = Fraction(p).limit_denominator(10 ** 6)
+        a, b = frac.numerator, frac.denominator
+        scaled = F.lit(a) * (F.col("_n") - 1)
+        lo = F.call_function("div", scaled, F.lit(b)) + 1
         hi = F.least(lo + 1, F.col("_n"))
+        fr = (scaled % b).cast("double") / float(b)
+        needed = needed | (F.col("_rn") == lo) | (F.col("_rn") == hi)
         aggs += [F.max(F.when(F.col("_rn") == lo, F.col("_v"))).alias(f"_lo{i}"),
                  F.max(F.when(F.col("_rn") == hi, F.col("_v"))).alias(f"_hi{i}"),
-                 F.max(h - F.floor(h)).alias(f"_fr{i}")]
-    needed = F.lit(False)
-    for p in probs:
-        h = F.lit(float(p)) * (F.col("_n") - 1)
-        needed = needed | (F.col("_rn") == F.floor(h) + 1) | (F.col("_rn") == F.floor(h) + 2)
+                 F.max(fr).alias(f"_fr{i}")]
     picked = ranked.where(needed).agg(*aggs, F.max("_n").alias("_count"))
     return picked.select(
         *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}"))
@@ -108,6 +110,32 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         F.col("_count").alias(f"{prefix}_n"))
 
 
+def global_cumsum(df: DataFrame, order: Sequence[Column], cols: Sequence[str],
+                  prefix: str = "cum_", parts: int | None = None) -> DataFrame:
+    """Running totals of ``cols`` over a global order, without a single partition.
+
+    Same range-partition + checkpoint scheme as ``global_row_number``; inside a
+    range partition a window keyed by the partition index does the running
+    sum, and per-partition totals (one row per partition, broadcast) shift it.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = _num_parts(df, parts)
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("_pid", F.spark_partition_id()))
+    ranged = ranged.checkpoint(eager=True)
+    w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", *[F.sum(c).over(w).alias(f"_loc_{c}") for c in cols])
+    totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_pt_{c}") for c in cols])
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_pt_{c}").over(before), F.lit(0))
+                                      .alias(f"_off_{c}") for c in cols])
+    out = local.join(F.broadcast(offsets), "_pid")
+    for c in cols:
+        out = out.withColumn(f"{prefix}{c}", F.col(f"_loc_{c}") + F.col(f"_off_{c}"))
+    return out.drop("_pid", *[f"_loc_{c}" for c in cols], *[f"_off_{c}" for c in cols])
+
+
 def qcut_labels(df: DataFrame, value: str, out: str, q: int = 5, descending: bool = False,
                 duplicates: str = "raise", parts: int | None = None) -> DataFrame:
     """pandas ``qcut(value, q, labels=1..q)`` (reversed when ``descending``).

@@ -11,11 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from basketry.operators import bi, clean, features, quality, reports
+from basketry.operators import bi, clean, evaluate, features, quality, ranking, reports
 from basketry.sources import tables as T
 
 # Parameters on the driver data (FIXTURES.md §3): these dates play the
@@ -77,6 +77,22 @@ class Inputs:
     def customers_clean(self) -> DataFrame:
         return clean.clean_customers(self.customers, tenure_date=TENURE_DATE)
 
+    @cached_property
+    def dirty_customers_clean(self) -> DataFrame:
+        return clean.clean_customers(self.raw_customers, tenure_date=TENURE_DATE)
+
+    @cached_property
+    def dirty_transactions_clean(self) -> DataFrame:
+        return clean.clean_transactions(self.raw_transactions)
+
+    @cached_property
+    def activity(self) -> DataFrame:
+        return features.customer_activity(self.customers, self.transactions, SNAPSHOT)
+
+    @cached_property
+    def idle_scores(self) -> DataFrame:
+        return evaluate.idle_days_scorer(self.activity)
+
 
 def _q(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,8 +135,86 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "monthly_summary": lambda d: features.monthly_summary(d.transactions_featured),
     "kpi_customer_weighted": lambda d: reports.kpi_customer_weighted(d.customers,
                                                                      d.transactions_featured),
+    # RFM
+    "rfm_ntile": lambda d: features.rfm_ntile_scores(features.rfm_sql_base(d.transactions, SNAPSHOT)),
+    "rfm_quantile": lambda d: d.rfm_scores,
+    "rfm_gen1": lambda d: features.rfm_gen1(d.gen1_transactions),
+    "rfm_segment_counts": lambda d: features.rfm_segment_counts(d.rfm_scores),
+    "rfm_by_segment": lambda d: bi.rfm_by_segment(d.rfm_scores),
+    "customer_360_rfm": lambda d: features.customer_360(d.customers_clean, d.rfm_scores),
+    # cleaning and validation on the dirty fixture
+    "clean_customers": lambda d: d.dirty_customers_clean,
+    "clean_transactions": lambda d: d.dirty_transactions_clean,
+    "clean_gen1": lambda d: clean.clean_gen1(T.raw_gen1_customers(d.spark, d.sf_dir),
+                                             T.raw_gen1_transactions(d.spark, d.sf_dir))[1],
+    "quality_report": lambda d: quality.quality_report(d.dirty_customers_clean,
+                                                       d.dirty_transactions_clean),
+    "orphans": lambda d: quality.orphan_transactions(d.dirty_transactions_clean, d.raw_customers)
+    .select("transaction_id", "customer_id"),
+    # BI measures
+    "bi_measures": lambda d: bi.bi_measures(d.customers, d.transactions),
+    "mom_growth": lambda d: bi.mom_growth(d.transactions),
+    "mtd_revenue": lambda d: bi.mtd_revenue(d.transactions),
+    "revenue_by_segment_all": lambda d: bi.revenue_by_segment_all(d.customers, d.transactions),
+    "category_channel_matrix": lambda d: bi.category_channel_matrix(d.transactions),
+    "churn_by_region": lambda d: bi.churn_by_region(d.customers),
+    "high_risk_customers": lambda d: bi.high_risk_customers(
+        reports.churn_risk_flags(d.customers, d.transactions, SNAPSHOT)),
+    "rfm_histogram": lambda d: bi.histogram(d.rfm_base, ["recency", "frequency", "monetary"]),
+    # slicers, gen-1 enrichment, sample export
+    "sliced_revenue": lambda d: sliced_revenue(d),
+    "enriched_gen1": lambda d: enriched_gen1(d),
+    "first_n_sample": lambda d: d.transactions.orderBy("transaction_date", "transaction_id")
+    .limit(10000),
+    # evaluation with a deterministic score
+    "stratified_split": lambda d: stratified_split(d.customers),
+    "eval_auc": lambda d: evaluate.roc_auc(d.idle_scores),
+    "eval_average_precision": lambda d: evaluate.average_precision(d.idle_scores),
+    "eval_roc": lambda d: evaluate.roc_points(d.idle_scores),
+    "eval_report": lambda d: evaluate.classification_report(d.idle_scores),
+    "eval_confusion": lambda d: evaluate.confusion_matrix(d.idle_scores),
 }
 
+# Slicer settings of the registered C12 query.
+SLICE = dict(date_from="1996-01-01", date_to="1998-12-31", regions=["AMERICA", "ASIA", "EUROPE"],
+             segments=["Premium", "Regular"], channels=["Online", "Mobile App"])
+
+
+def sliced_revenue(d: Inputs) -> DataFrame:
+    """Revenue by category and channel under the dashboard slicers."""
+    t = clean.apply_slicers(d.transactions, d.customers, **SLICE)
+    return reports._txn_sums(t, ["product_category", "channel"]).select(
+        "product_category", "channel", F.col("_n").alias("transactions"),
+        reports._money("_rev").alias("revenue"))
+
+
+def enriched_gen1(d: Inputs) -> DataFrame:
+    """E2 transform: C8 cleaning, transactions LEFT JOIN customers, revenue, month, year."""
+    c, t = clean.clean_gen1(d.gen1_customers, d.gen1_transactions)
+    j = t.join(c, "customer_id", "left")
+    return j.withColumn("revenue", F.col("amount") * F.col("quantity")) \
+        .withColumn("month", F.date_format("date", "yyyy-MM")) \
+        .withColumn("year", F.year("date"))
+
+
+def stratified_split(customers: DataFrame, test_fraction=(1, 5), seed: int = 42) -> DataFrame:
+    """Exact stratified split.  Within each class, customers are ordered by
+    md5(customer_id:seed); the first ceil(n_class * a / b) are the test set."""
+    a, b = test_fraction
+    h = F.md5(F.concat(F.col("customer_id"), F.lit(f":{seed}")))
+    base = customers.select("customer_id", "is_churned", h.alias("_h"))
+    ranked = ranking.global_row_number(base, [F.col("is_churned"), F.col("_h"),
+                                              F.col("customer_id")], out="_rn")
+    # One row per class: bounded by the number of label values.
+    sizes = base.groupBy("is_churned").agg(F.count(F.lit(1)).alias("_nc"))
+    before = Window.orderBy("is_churned").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_start", F.coalesce(F.sum("_nc").over(before), F.lit(0)))
+    j = ranked.join(F.broadcast(sizes), "is_churned")
+    in_class = F.col("_rn") - F.col("_start")
+    n_test = F.call_function("div", F.col("_nc") * a + (b - 1), F.lit(b))
+    return j.select("customer_id", "is_churned",
+                    F.when(in_class <= n_test, "test").otherwise("train").alias("split"))
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _q(fn) for name, fn in QUERIES.items()}
