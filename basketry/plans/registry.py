@@ -11,11 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from basketry.operators import bi, clean, evaluate, features, quality, ranking, reports
+from basketry.operators import bi, churn, clean, evaluate, features, quality, reports, segment
 from basketry.sources import tables as T
 
 # Parameters on the driver data (FIXTURES.md §3): these dates play the
@@ -93,6 +93,32 @@ class Inputs:
     def idle_scores(self) -> DataFrame:
         return evaluate.idle_days_scorer(self.activity)
 
+    @cached_property
+    def customer_360(self) -> DataFrame:
+        return features.customer_360(self.customers_clean, self.rfm_scores)
+
+    def memo(self, key: str, build):
+        """Fitted models are reused across the queries of one session and folder."""
+        slot = (id(self.spark), self.sf_dir, key)
+        if slot not in _MODEL_MEMO:
+            _MODEL_MEMO[slot] = build()
+        return _MODEL_MEMO[slot]
+
+    @property
+    def segmentation(self) -> dict:
+        return self.memo("segmentation", lambda: segment.run_segmentation(self.customer_360))
+
+    @property
+    def churn_run(self) -> dict:
+        return self.memo("churn", lambda: churn.run_churn_model(self.customer_360))
+
+    @property
+    def gen1_rfm(self) -> DataFrame:
+        return features.rfm_gen1(self.gen1_transactions)
+
+
+_MODEL_MEMO: dict = {}
+
 
 def _q(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,12 +193,24 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "first_n_sample": lambda d: d.transactions.orderBy("transaction_date", "transaction_id")
     .limit(10000),
     # evaluation with a deterministic score
-    "stratified_split": lambda d: stratified_split(d.customers),
+    "stratified_split": lambda d: churn.stratified_split(
+        d.customers.select("customer_id", "is_churned"), label="is_churned"),
     "eval_auc": lambda d: evaluate.roc_auc(d.idle_scores),
     "eval_average_precision": lambda d: evaluate.average_precision(d.idle_scores),
     "eval_roc": lambda d: evaluate.roc_points(d.idle_scores),
     "eval_report": lambda d: evaluate.classification_report(d.idle_scores),
     "eval_confusion": lambda d: evaluate.confusion_matrix(d.idle_scores),
+    # MLlib jobs (no SQL oracle: rows-only check)
+    "kmeans_k_sweep": lambda d: d.segmentation["sweep"],
+    "kmeans_segments": lambda d: d.segmentation["segments"],
+    "cluster_summary": lambda d: d.segmentation["summary"],
+    "cluster_profile": lambda d: d.segmentation["profile"],
+    "pca_projection": lambda d: segment.pca_projection(d.segmentation["assigned"])[0],
+    "churn_model_metrics": lambda d: d.churn_run["metrics"],
+    "churn_scores": lambda d: d.churn_run["scores"],
+    "feature_importance": lambda d: d.churn_run["importance"],
+    "segment_gen1": lambda d: d.memo("seg1", lambda: segment.segment_gen1(d.gen1_rfm)),
+    "churn_gen1_scores": lambda d: d.memo("churn1", lambda: churn.churn_gen1(d.gen1_rfm))["scores"],
 }
 
 # Slicer settings of the registered C12 query.
@@ -197,24 +235,5 @@ def enriched_gen1(d: Inputs) -> DataFrame:
         .withColumn("year", F.year("date"))
 
 
-def stratified_split(customers: DataFrame, test_fraction=(1, 5), seed: int = 42) -> DataFrame:
-    """Exact stratified split.  Within each class, customers are ordered by
-    md5(customer_id:seed); the first ceil(n_class * a / b) are the test set."""
-    a, b = test_fraction
-    h = F.md5(F.concat(F.col("customer_id"), F.lit(f":{seed}")))
-    base = customers.select("customer_id", "is_churned", h.alias("_h"))
-    ranked = ranking.global_row_number(base, [F.col("is_churned"), F.col("_h"),
-                                              F.col("customer_id")], out="_rn")
-    # One row per class: bounded by the number of label values.
-    sizes = base.groupBy("is_churned").agg(F.count(F.lit(1)).alias("_nc"))
-    before = Window.orderBy("is_churned").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_start", F.coalesce(F.sum("_nc").over(before), F.lit(0)))
-    j = ranked.join(F.broadcast(sizes), "is_churned")
-    in_class = F.col("_rn") - F.col("_start")
-    n_test = F.call_function("div", F.col("_nc") * a + (b - 1), F.lit(b))
-    return j.select("customer_id", "is_churned",
-                    F.when(in_class <= n_test, "test").otherwise("train").alias("split"))
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _q(fn) for name, fn in QUERIES.items()}
