@@ -149,11 +149,8 @@ def histogram(df: DataFrame, metrics, bins: int = 40) -> DataFrame:
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics]))
         .alias("s")).select("s.*").where(F.col("v").isNotNull())
     bounds = stacked.groupBy("metric").agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
-    medians = None
-    for m in metrics:
-        med = ranking.exact_quantiles(df, m, [0.5], prefix="_med").select(
-            F.lit(m).alias("metric"), F.col("_med0").alias("median"))
-        medians = med if medians is None else medians.unionByName(med)
+    medians = ranking.grouped_exact_quantiles(stacked, "metric", "v", [0.5], "_med") \
+        .select("metric", F.col("_med0").alias("median"))
     bounds = bounds.join(medians, "metric")  # both one row per metric
     j = stacked.join(F.broadcast(bounds), "metric")
     width = F.col("_hi") - F.col("_lo")

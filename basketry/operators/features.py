@@ -76,8 +76,7 @@ def rfm_gen1(transactions: DataFrame) -> DataFrame:
 
 def rfm_quantile_scores(rfm: DataFrame, q: int = 5) -> DataFrame:
     """A4: R/M by quantile bins (R reversed), F by quintiles of the first-rank."""
-    scored = ranking.qcut_labels(rfm, "recency", "R", q=q, descending=True)
-    scored = ranking.qcut_labels(scored, "monetary", "M", q=q)
+    scored = ranking.qcut_many(rfm, [("recency", "R", True), ("monetary", "M", False)], q=q)
     # rank(method="first"): ties keep customer_id order, i.e. a global row number.
     scored = ranking.global_row_number(scored, [F.col("frequency"), F.col("customer_id")],
                                        out="_frank", total="_n")

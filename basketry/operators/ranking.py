@@ -89,8 +89,22 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     Exact at any cardinality: the values are sorted by a range shuffle
     instead of being held in one aggregation buffer.
     """
-    vals = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ranked = global_row_number(vals, [F.col("_v")], out="_rn", total="_n", parts=parts)
+    one = df.select(F.lit(0).alias("_grp"), F.col(value).alias("_val"))
+    return grouped_exact_quantiles(one, "_grp", "_val", probs, prefix, parts).drop("_grp")
+
+
+def grouped_exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float],
+                            prefix: str = "q", parts: int | None = None) -> DataFrame:
+    """``exact_quantiles`` per group from ONE distributed sort on (group, value).
+
+    Returns one row per group: ``group``, ``{prefix}0..``, ``{prefix}_n``.
+    The per-group size table has one row per group.
+    """
+    vals = df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v")) \
+        .where(F.col("_v").isNotNull())
+    ranked = global_row_number(vals, [F.col("_g"), F.col("_v")], out="_rn", parts=parts)
+    sizes = ranked.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_start"))
+    local = ranked.join(sizes, "_g").withColumn("_r", F.col("_rn") - F.col("_start") + 1)
     aggs, needed = [], F.lit(False)
     for i, p in enumerate(probs):
         frac = Fraction(p).limit_denominator(10 ** 6)
@@ -99,12 +113,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         lo = F.call_function("div", scaled, F.lit(b)) + 1
         hi = F.least(lo + 1, F.col("_n"))
         fr = (scaled % b).cast("double") / float(b)
-        needed = needed | (F.col("_rn") == lo) | (F.col("_rn") == hi)
-        aggs += [F.max(F.when(F.col("_rn") == lo, F.col("_v"))).alias(f"_lo{i}"),
-                 F.max(F.when(F.col("_rn") == hi, F.col("_v"))).alias(f"_hi{i}"),
+        needed = needed | (F.col("_r") == lo) | (F.col("_r") == hi)
+        aggs += [F.max(F.when(F.col("_r") == lo, F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when(F.col("_r") == hi, F.col("_v"))).alias(f"_hi{i}"),
                  F.max(fr).alias(f"_fr{i}")]
-    picked = ranked.where(needed).agg(*aggs, F.max("_n").alias("_count"))
+    picked = local.where(needed).groupBy("_g").agg(*aggs, F.max("_n").alias("_count"))
     return picked.select(
+        F.col("_g").alias(group),
         *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}"))
           .alias(f"{prefix}{i}") for i in range(len(probs))],
         F.col("_count").alias(f"{prefix}_n"))
@@ -138,37 +153,54 @@ def global_cumsum(df: DataFrame, order: Sequence[Column], cols: Sequence[str],
 
 def qcut_labels(df: DataFrame, value: str, out: str, q: int = 5, descending: bool = False,
                 duplicates: str = "raise", parts: int | None = None) -> DataFrame:
-    """pandas ``qcut(value, q, labels=1..q)`` (reversed when ``descending``).
+    """pandas ``qcut(value, q, labels=1..q)`` (reversed when ``descending``)."""
+    return qcut_many(df, [(value, out, descending)], q, duplicates, parts)
+
+
+def qcut_many(df: DataFrame, specs, q: int = 5, duplicates: str = "raise",
+              parts: int | None = None) -> DataFrame:
+    """Several ``qcut`` columns at once; ``specs`` = [(value, out, descending)].
 
     Bins are right-closed with the first bin including the minimum, so the
-    label is 1 + the number of inner edges strictly below the value.
-    Duplicate inner edges make pandas raise; ``duplicates="raise"`` keeps that
-    contract by turning the labels into an error at execution time.
+    label is 1 + the number of inner edges strictly below the value.  The
+    edges of all columns come from one distributed sort; duplicate edges raise
+    like pandas does.
     """
-    edges = qcut_edges(df, value, q, duplicates=duplicates, parts=parts)
-    v = F.col(value).cast("double")
-    label = F.lit(1)
-    for e in edges[1:-1]:
-        label = label + F.when(v > F.lit(e), 1).otherwise(0)
-    if descending:
-        label = F.lit(q + 1) - label
-    return df.withColumn(out, F.when(v.isNotNull(), label).cast("int"))
+    edges = qcut_edges_many(df, [v for v, _, _ in specs], q, duplicates, parts)
+    out_df = df
+    for value, out, descending in specs:
+        v = F.col(value).cast("double")
+        label = F.lit(1)
+        for e in edges[value][1:-1]:
+            label = label + F.when(v > F.lit(e), 1).otherwise(0)
+        if descending:
+            label = F.lit(q + 1) - label
+        out_df = out_df.withColumn(out, F.when(v.isNotNull(), label).cast("int"))
+    return out_df
+
+
+def qcut_edges_many(df: DataFrame, values, q: int = 5, duplicates: str = "raise",
+                    parts: int | None = None) -> dict[str, list[float]]:
+    """The q + 1 edges (min, inner quantiles, max) of each column as driver-side
+    floats; the frame behind them has one row per column, the only thing collected."""
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(v).alias("_name"), F.col(v).cast("double").alias("_value"))
+        for v in values])).alias("_s")).select("_s.*")
+    probs = [i / q for i in range(q + 1)]
+    rows = grouped_exact_quantiles(stacked, "_name", "_value", probs, "_e", parts).collect()
+    edges = {r["_name"]: [r[f"_e{i}"] for i in range(q + 1)] for r in rows}
+    for v in values:
+        e = edges.get(v)
+        if e is None or any(x is None for x in e):
+            raise ValueError(f"qcut: {v} has no non-null values")
+        if duplicates == "raise" and len(set(e)) != len(e):
+            raise ValueError(f"qcut: bin edges of {v} must be unique: {e}")
+    return edges
 
 
 def qcut_edges(df: DataFrame, value: str, q: int = 5, duplicates: str = "raise",
                parts: int | None = None) -> list[float]:
-    """The q + 1 bin edges (min, inner quantiles, max) as driver-side floats.
-
-    The frame behind them is a one-row aggregate, the only thing collected.
-    """
-    probs = [i / q for i in range(q + 1)]
-    row = exact_quantiles(df, value, probs, prefix="_e", parts=parts).first()
-    edges = [row[f"_e{i}"] for i in range(q + 1)]
-    if any(e is None for e in edges):
-        raise ValueError(f"qcut: {value} has no non-null values")
-    if duplicates == "raise" and len(set(edges)) != len(edges):
-        raise ValueError(f"qcut: bin edges of {value} must be unique: {edges}")
-    return edges
+    return qcut_edges_many(df, [value], q, duplicates, parts)[value]
 
 
 def average_rank_desc(df: DataFrame, value: str, out: str) -> DataFrame:

@@ -130,10 +130,12 @@ def kpi_customer_weighted(customers: DataFrame, transactions: DataFrame) -> Data
 # ---------------------------------------------------------------------------
 def monthly_revenue(transactions: DataFrame) -> DataFrame:
     """By STRFTIME('%Y'), STRFTIME('%m') strings."""
-    t = transactions.withColumn("year", F.date_format("transaction_date", "yyyy")) \
-        .withColumn("month", F.date_format("transaction_date", "MM"))
-    g = _txn_sums(t, ["year", "month"])
-    return g.select("year", "month", F.col("_n").alias("transaction_count"),
+    # Group on the first day of the month (an int-backed date) and format the
+    # two string keys once per group instead of once per row.
+    t = transactions.withColumn("_m", F.trunc("transaction_date", "MM"))
+    g = _txn_sums(t, ["_m"])
+    return g.select(F.date_format("_m", "yyyy").alias("year"), F.date_format("_m", "MM").alias("month"),
+                    F.col("_n").alias("transaction_count"),
                     _money("_rev").alias("revenue"),
                     _avg_money("_fin", "_nf").alias("avg_order_value"),
                     RR(F.col("_rat"), F.col("_nrat"), 2).alias("avg_rating"),
@@ -278,22 +280,24 @@ def cohort_first_purchase(transactions: DataFrame) -> DataFrame:
     customer contributes at most one row per month to every later shuffle.
     """
     active = transactions.where(F.col("customer_id").isNotNull()).select(
-        "customer_id", X.month_key("transaction_date").alias("activity_month")).distinct()
+        "customer_id", F.trunc("transaction_date", "MM").alias("_act")).distinct()
     first = Window.partitionBy("customer_id")
-    cohorts = active.withColumn("cohort_month", F.min("activity_month").over(first))
-    return cohorts.groupBy("cohort_month", "activity_month").agg(
-        F.count("customer_id").alias("active_customers"))
+    cohorts = active.withColumn("_coh", F.min("_act").over(first))
+    g = cohorts.groupBy("_coh", "_act").agg(F.count("customer_id").alias("active_customers"))
+    return g.select(X.month_key("_coh").alias("cohort_month"),
+                    X.month_key("_act").alias("activity_month"), "active_customers")
 
 
 def cohort_join_month(customers: DataFrame, transactions: DataFrame,
                       date_col: str = "date") -> DataFrame:
     """R20 (gen 1): cohort = join month; inner join; distinct active customers."""
     active = transactions.select(
-        "customer_id", X.month_key(date_col).alias("activity_month")).distinct()
-    c = customers.select("customer_id", X.month_key("join_date").alias("cohort_month"))
+        "customer_id", F.trunc(date_col, "MM").alias("_act")).distinct()
+    c = customers.select("customer_id", F.trunc("join_date", "MM").alias("_coh"))
     j = c.join(active, "customer_id")
-    return j.groupBy("cohort_month", "activity_month").agg(
-        F.count_distinct("customer_id").alias("active_customers"))
+    g = j.groupBy("_coh", "_act").agg(F.count_distinct("customer_id").alias("active_customers"))
+    return g.select(X.month_key("_coh").alias("cohort_month"),
+                    X.month_key("_act").alias("activity_month"), "active_customers")
 
 
 # ---------------------------------------------------------------------------
@@ -301,9 +305,9 @@ def cohort_join_month(customers: DataFrame, transactions: DataFrame,
 # ---------------------------------------------------------------------------
 def monthly_revenue_net(transactions: DataFrame) -> DataFrame:
     """R2: non-returned, by yyyy-MM; AVG(decimal) keeps 6 decimals as in MySQL."""
-    t = transactions.where(F.col("returned") == 0).withColumn("month", X.month_key("date"))
-    g = _txn_sums(t, ["month"], price_col="amount")
-    return g.select("month", F.col("_n").alias("total_orders"),
+    t = transactions.where(F.col("returned") == 0).withColumn("_m", F.trunc("date", "MM"))
+    g = _txn_sums(t, ["_m"], price_col="amount")
+    return g.select(X.month_key("_m").alias("month"), F.col("_n").alias("total_orders"),
                     _money("_rev").alias("total_revenue"),
                     _avg_money("_fin", "_nf", 6).alias("avg_order_value"))
 
@@ -357,12 +361,13 @@ def segment_return_rate(customers: DataFrame, transactions: DataFrame) -> DataFr
 def monthly_excel(transactions: DataFrame) -> DataFrame:
     """Month, Revenue, Transactions, AOV, pandas half-even rounding."""
     t = transactions.where(F.col("transaction_date").isNotNull()) \
-        .withColumn("month", X.month_key("transaction_date"))
-    g = t.groupBy("month").agg(
+        .withColumn("_m", F.trunc("transaction_date", "MM"))
+    g = t.groupBy("_m").agg(
         F.coalesce(F.sum(X.cents(F.col("revenue"))), F.lit(0)).alias("_rev"),
         F.count("transaction_id").alias("transactions"),
         F.sum(X.cents(F.col("final_amount"))).alias("_fin"), F.count("final_amount").alias("_nf"))
-    return g.select("month", RR(F.col("_rev"), F.lit(100), 2, "half_even").alias("revenue"),
+    return g.select(X.month_key("_m").alias("month"),
+                    RR(F.col("_rev"), F.lit(100), 2, "half_even").alias("revenue"),
                     "transactions",
                     RR(F.col("_fin"), F.col("_nf") * 100, 2, "half_even").alias("avg_order_value"))
 
