@@ -123,6 +123,16 @@ def churn_by_region(customers: DataFrame) -> DataFrame:
                     X.round_ratio(F.col("churned") * 100, F.col("_n"), 2).alias("churn_rate_pct"))
 
 
+RISK_LEVELS = ["Low Risk", "Medium Risk", "High Risk"]
+
+
+def churn_risk_by_segment(risk_flags: DataFrame, flag_col: str = "churn_risk_flag") -> DataFrame:
+    """Churn-risk distribution per segment (stacked bar), pivot values listed."""
+    p = risk_flags.groupBy("segment").pivot(flag_col, RISK_LEVELS).agg(F.count(F.lit(1)))
+    return p.select("segment", *[F.coalesce(F.col(v), F.lit(0)).alias(_col_name(v))
+                                 for v in RISK_LEVELS])
+
+
 def high_risk_customers(risk_flags: DataFrame) -> DataFrame:
     """The 'High Risk' rows of the churn-risk list."""
     return risk_flags.where(F.col("churn_risk_flag") == "High Risk")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from basketry.functions import exprs as X
@@ -45,6 +45,15 @@ def median_high_cardinality(df: DataFrame, col: str):
     return ranking.exact_quantiles(df, col, [0.5], prefix="m").first()["m0"]
 
 
+def row_counter(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """Count rows as a side effect of the next action (no extra scan).
+
+    ``obs.get["rows"]`` is available once an action on the returned frame ran.
+    """
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 def clean_customers(df: DataFrame, tenure_date, order: Sequence[str] = ("ingest_seq",)) -> DataFrame:
     """C6 = C1 -> C2 -> C3 -> C4 -> P11 -> P16 -> P10, in the reference's order."""
     order = [c for c in order if c in df.columns]

@@ -100,9 +100,13 @@ def grouped_exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequen
     Returns one row per group: ``group``, ``{prefix}0..``, ``{prefix}_n``.
     The per-group size table has one row per group.
     """
+    # Equal values may be ordered arbitrarily without changing any quantile, so
+    # a row id ends the sort key: a value held by a third of all rows is then
+    # still split across range partitions instead of landing in one task.
     vals = df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v")) \
-        .where(F.col("_v").isNotNull())
-    ranked = global_row_number(vals, [F.col("_g"), F.col("_v")], out="_rn", parts=parts)
+        .where(F.col("_v").isNotNull()).withColumn("_tb", F.monotonically_increasing_id())
+    ranked = global_row_number(vals, [F.col("_g"), F.col("_v"), F.col("_tb")], out="_rn",
+                               parts=parts)
     sizes = ranked.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_start"))
     local = ranked.join(sizes, "_g").withColumn("_r", F.col("_rn") - F.col("_start") + 1)
     aggs, needed = [], F.lit(False)

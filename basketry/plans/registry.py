@@ -243,6 +243,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "churn_by_region": lambda d: bi.churn_by_region(d.customers),
     "high_risk_customers": lambda d: bi.high_risk_customers(
         reports.churn_risk_flags(d.customers, d.transactions, SNAPSHOT)),
+    "churn_risk_by_segment": lambda d: bi.churn_risk_by_segment(
+        reports.churn_risk_flags(d.customers, d.transactions, SNAPSHOT)),
     "rfm_histogram": lambda d: bi.histogram(d.rfm_base, ["recency", "frequency", "monetary"]),
     # slicers, gen-1 enrichment, sample export
     "sliced_revenue": lambda d: sliced_revenue(d),

@@ -90,6 +90,16 @@ def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def plain_exports(customers: DataFrame, transactions: DataFrame, rfm: DataFrame, base: str,
+                  n: int = 10000, fmt: str = "csv") -> dict:
+    """Customers and RFM as they are, plus the first-n transaction sample."""
+    return {"excel_customers": write_table(customers, base, "excel_customers", fmt),
+            "excel_transactions_sample": write_table(first_n(transactions, n), base,
+                                                     "excel_transactions_sample", fmt,
+                                                     single_file=True),
+            "excel_rfm": write_table(rfm, base, "excel_rfm", fmt)}
+
+
 def first_n(transactions: DataFrame, n: int = 10000) -> DataFrame:
     """The first n transactions in file order, i.e. by date then id."""
     return transactions.orderBy("transaction_date", "transaction_id").limit(n)
