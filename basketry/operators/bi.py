@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from basketry.functions import exprs as X
 from basketry.operators import ranking
 from basketry.operators.features import revenue
+from basketry.operators.frames import combine_rows
 
 # The channel columns of the category x channel matrix.
 CHANNELS = ["Online", "In-Store", "Mobile App", "Phone"]
@@ -35,7 +36,7 @@ def bi_measures(customers: DataFrame, transactions: DataFrame) -> DataFrame:
         F.count_if(F.col("is_returned") == 1).alias("_returned"),
         F.sum(X.cents(revenue())).alias("_rev"),
         F.sum(X.cents(F.col("final_amount"))).alias("_fin"), F.count("final_amount").alias("_nf"))
-    one = c.crossJoin(t).crossJoin(clv)  # three one-row aggregates
+    one = combine_rows(c, t, clv)
     return one.select(
         X.mean_double(F.col("_churned") * 100, F.col("_nc")).alias("churn_rate_pct"),
         X.mean_double(F.col("_returned") * 100, F.col("_nt")).alias("return_rate_pct"),

@@ -22,14 +22,12 @@ from basketry.operators import ranking
 
 def score_counts(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One row per distinct score with its positives (tp) and negatives (fp),
-    plus the running counts over scores >= it."""
+    the running counts over scores >= it, and the totals P (total_tp) and
+    N (total_fp)."""
     per = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(
         F.count_if(F.col(label) == 1).alias("tp"), F.count_if(F.col(label) != 1).alias("fp"))
-    return ranking.global_cumsum(per, [F.col(score).desc()], ["tp", "fp"], prefix="cum_")
-
-
-def _totals(counts: DataFrame) -> DataFrame:
-    return counts.agg(F.sum("tp").alias("_P"), F.sum("fp").alias("_N"))
+    return ranking.global_cumsum(per, [F.col(score).desc()], ["tp", "fp"], prefix="cum_",
+                                 with_totals=True)
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -57,11 +55,9 @@ def average_precision(scored: DataFrame, label: str = "label", score: str = "sco
 def roc_points(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One point per distinct score (threshold), fpr and tpr of ``score >= threshold``."""
     c = score_counts(scored, label, score)
-    tot = _totals(c)
-    j = c.crossJoin(F.broadcast(tot))  # one-row totals
-    return j.select(F.col(score).alias("threshold"), "cum_tp", "cum_fp",
-                    (F.col("cum_fp").cast("double") / F.col("_N").cast("double")).alias("fpr"),
-                    (F.col("cum_tp").cast("double") / F.col("_P").cast("double")).alias("tpr"))
+    return c.select(F.col(score).alias("threshold"), "cum_tp", "cum_fp",
+                    (F.col("cum_fp").cast("double") / F.col("total_fp").cast("double")).alias("fpr"),
+                    (F.col("cum_tp").cast("double") / F.col("total_tp").cast("double")).alias("tpr"))
 
 
 def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

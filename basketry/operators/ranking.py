@@ -130,12 +130,14 @@ def grouped_exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequen
 
 
 def global_cumsum(df: DataFrame, order: Sequence[Column], cols: Sequence[str],
-                  prefix: str = "cum_", parts: int | None = None) -> DataFrame:
+                  prefix: str = "cum_", parts: int | None = None,
+                  with_totals: bool = False) -> DataFrame:
     """Running totals of ``cols`` over a global order, without a single partition.
 
     Same range-partition + checkpoint scheme as ``global_row_number``; inside a
     range partition a window keyed by the partition index does the running
     sum, and per-partition totals (one row per partition, broadcast) shift it.
+    ``with_totals`` also adds the grand total of each column as ``total_<col>``.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -147,12 +149,18 @@ def global_cumsum(df: DataFrame, order: Sequence[Column], cols: Sequence[str],
     local = ranged.select("*", *[F.sum(c).over(w).alias(f"_loc_{c}") for c in cols])
     totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_pt_{c}") for c in cols])
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_pt_{c}").over(before), F.lit(0))
-                                      .alias(f"_off_{c}") for c in cols])
+    everything = Window.partitionBy()  # one row per range partition
+    offsets = totals.select(
+        "_pid",
+        *[F.coalesce(F.sum(f"_pt_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in cols],
+        *[F.sum(f"_pt_{c}").over(everything).alias(f"total_{c}") for c in cols])
     out = local.join(F.broadcast(offsets), "_pid")
     for c in cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_loc_{c}") + F.col(f"_off_{c}"))
-    return out.drop("_pid", *[f"_loc_{c}" for c in cols], *[f"_off_{c}" for c in cols])
+    drop = ["_pid", *[f"_loc_{c}" for c in cols], *[f"_off_{c}" for c in cols]]
+    if not with_totals:
+        drop += [f"total_{c}" for c in cols]
+    return out.drop(*drop)
 
 
 def qcut_labels(df: DataFrame, value: str, out: str, q: int = 5, descending: bool = False,

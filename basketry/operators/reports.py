@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import exprs as X
 from basketry.operators.features import customer_txn_stats, revenue
+from basketry.operators.frames import combine_rows
 
 RR = X.round_ratio
 
@@ -71,8 +72,7 @@ def kpi_summary(customers: DataFrame, transactions: DataFrame) -> DataFrame:
     # COUNT(DISTINCT t.transaction_id) over the join = distinct ids of matched rows.
     matched = transactions.join(customers.select("customer_id"), "customer_id", "left_semi")
     distinct_txn = matched.agg(F.count_distinct("transaction_id").alias("total_transactions"))
-    # Both sides are global aggregates of exactly one row each.
-    one = main.crossJoin(distinct_txn)
+    one = combine_rows(main, distinct_txn)
     return one.select(
         "total_customers", "total_transactions",
         _money("_rev").alias("total_revenue"),
@@ -104,7 +104,7 @@ def kpi_customer_weighted(customers: DataFrame, transactions: DataFrame) -> Data
         F.sum(X.cents(F.col("final_amount"))).alias("_fin"), F.count("final_amount").alias("_nf"),
         F.sum("is_returned").alias("_ret"), F.count("is_returned").alias("_nret"),
         F.sum("rating").alias("_rat"), F.count("rating").alias("_nrat"))
-    one = c.crossJoin(t)  # two one-row aggregates
+    one = combine_rows(c, t)
     he = "half_even"
     values = [
         F.col("_nc").cast("double"),

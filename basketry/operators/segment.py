@@ -101,8 +101,10 @@ def label_clusters_gen1(assigned: DataFrame) -> DataFrame:
     """M6: highest mean monetary -> 'Champions', lowest mean recency -> 'At Risk'
     (applied second, so it wins when both hit one cluster), others 'Regular'."""
     means = assigned.groupBy("cluster").agg(F.avg("monetary").alias("_m"), F.avg("recency").alias("_r"))
-    picks = means.agg(F.max_by("cluster", "_m").alias("_champ"), F.min_by("cluster", "_r").alias("_risk"))
-    mapping = means.crossJoin(picks).select(  # one-row picks
+    allk = Window.partitionBy()  # k rows
+    mapping = means.select(
+        "cluster", F.max_by("cluster", "_m").over(allk).alias("_champ"),
+        F.min_by("cluster", "_r").over(allk).alias("_risk")).select(
         "cluster",
         F.when(F.col("cluster") == F.col("_risk"), "At Risk")
         .when(F.col("cluster") == F.col("_champ"), "Champions").otherwise("Regular")

@@ -35,7 +35,7 @@ def _raw_txn_keyed() -> str:
 def fixture_ctes() -> str:
     cust = _cte("customers", f"SELECT {_sel(T.customer_exprs('duckdb'))} {_CUSTOMER_FROM}")
     txn = _cte("transactions",
-               f"SELECT {_sel(T.TRANSACTION_EXPRS)} {_TXN_FROM} WHERE {T.TRANSACTION_FILTER}")
+               f"SELECT {_sel(T.TRANSACTION_EXPRS)} {_TXN_FROM}")
     g1c = _cte("gen1_customers", f"SELECT {', '.join(T.GEN1_CUSTOMER_COLUMNS)} FROM customers")
     g1t = _cte("gen1_transactions",
                "SELECT transaction_id, customer_id, transaction_date AS date, product_category AS "
