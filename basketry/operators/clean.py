@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions import exprs as X
@@ -45,13 +45,15 @@ def median_high_cardinality(df: DataFrame, col: str):
     return ranking.exact_quantiles(df, col, [0.5], prefix="m").first()["m0"]
 
 
-def row_counter(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows as a side effect of the next action (no extra scan).
+def row_counts(before: DataFrame, after: DataFrame) -> dict:
+    """Rows before -> after and removed (two count jobs).
 
-    ``obs.get["rows"]`` is available once an action on the returned frame ran.
+    ``DataFrame.observe`` would avoid the extra scan, but in this Spark
+    version a registered Observation makes later reliable checkpoints of the
+    session fail to serialize, so plain counts are used.
     """
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    n_in, n_out = before.count(), after.count()
+    return {"before": n_in, "after": n_out, "removed": n_in - n_out}
 
 
 def clean_customers(df: DataFrame, tenure_date, order: Sequence[str] = ("ingest_seq",)) -> DataFrame:

@@ -25,8 +25,9 @@ def test_etl_from_csv(spark, inputs):
     c, t = readers.extract_data(spark, f"{d}/raw_customers", f"{d}/raw_transactions")
     out = jobs.run_etl(c, t, f"{d}/processed")
     assert out["passed"] is False                      # orphans in the dirty fixture
-    before, after = out["row_counts"]["transactions"]  # C9 accounting
-    assert before > after == out["transactions"].count()
+    counts = out["row_counts"]["transactions"]         # C9 accounting
+    assert counts["before"] - counts["removed"] == counts["after"] == out["transactions"].count()
+    assert counts["removed"] > 0
     back = readers.load_processed(spark, f"{d}/processed")
     assert back["transactions_cleaned"].count() == out["transactions"].count()
     assert back["customers_cleaned"].count() == inputs.dirty_customers_clean.count()
