@@ -23,9 +23,10 @@ def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
-    # ``order`` is the full tie-break (readers make ingest_seq unique); without
-    # one, the whole row is the order so that the choice stays deterministic.
-    ordering = F.struct(*[F.col(c) for c in (order or others)])
+    # The declared order first (readers make ingest_seq unique), then the rest
+    # of the row, so the kept row is deterministic even on exact ties.
+    ordering = F.struct(*[F.col(c) for c in order],
+                        *[F.col(c) for c in others if c not in order])
     kept = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in others]), ordering)
                                  .alias("_first"))
     return kept.select(*keys, "_first.*").select(*df.columns)

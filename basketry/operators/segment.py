@@ -29,6 +29,7 @@ from basketry.operators import ranking
 # Feature lists and segment names of the reference.
 SEGMENT_FEATURES = ["recency", "frequency", "monetary", "age", "loyalty_points", "tenure_days"]
 GEN1_FEATURES = ["recency", "frequency", "monetary"]
+ROWS_PER_PARTITION = 500_000
 CLUSTER_LABELS = ["High-Value Champions", "Loyal Mid-Tier", "Price-Sensitive Bargain Hunters",
                   "Dormant / At-Risk"]
 
@@ -46,8 +47,15 @@ def prepare_features(customer_360: DataFrame, features=SEGMENT_FEATURES,
         VectorAssembler(inputCols=list(features), outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)])
     model = pipe.fit(data)
-    scaled = model.transform(data).drop("raw_features").persist()
-    return scaled, model
+    scaled = model.transform(data).drop("raw_features")
+    # Every KMeans iteration is one job over this frame: size its partitions to
+    # the data (about ROWS_PER_PARTITION rows each, fewer tasks for small
+    # inputs, still thousands of partitions at scale) without a shuffle.
+    n = data.count()
+    target = max(1, -(-n // ROWS_PER_PARTITION))
+    if scaled.rdd.getNumPartitions() > target:
+        scaled = scaled.coalesce(target)
+    return scaled.persist(), model
 
 
 def fit_kmeans(scaled: DataFrame, k: int, n_init: int = 10, max_iter: int = 500,

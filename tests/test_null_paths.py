@@ -6,7 +6,6 @@ import datetime as dt
 from decimal import Decimal
 
 import duckdb
-import pandas as pd
 import pytest
 
 from basketry.operators import bi, features, reports
