@@ -82,6 +82,16 @@ def run_sql_pack(customers: DataFrame, transactions: DataFrame, out_dir: str,
     return W.write_reports(sql_report_pack(customers, transactions), out_dir, fmt=fmt)
 
 
+def register_sql_views(customers: DataFrame, transactions: DataFrame) -> list[str]:
+    """S5 + the SQL file's view: ``customers``, ``transactions`` and
+    ``vw_customer_360`` become queryable with ``spark.sql``."""
+    views = {"customers": customers, "transactions": transactions,
+             "vw_customer_360": features.customer_360_view(customers, transactions)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
+
+
 def run_segmentation(customer_360: DataFrame, out_dir: str | None = None, **kw) -> dict:
     """E4 (+ W6, W8)."""
     res = segment.run_segmentation(customer_360, **kw)

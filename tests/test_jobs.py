@@ -12,6 +12,9 @@ from basketry.sources import readers, writers
 from basketry.streaming import refresh
 
 
+SF_SMALL_DIR = "/root/testdata/sf0.001"
+
+
 def _scratch():
     return tempfile.mkdtemp(prefix="basketry-test-")
 
@@ -68,3 +71,39 @@ def test_segmentation_and_churn(spark, inputs):
     assert scores.count() == ch["split"].count()
     imp = ch["importance"].agg(F.sum("importance")).first()[0]
     assert imp == pytest.approx(1.0, abs=1e-6)
+
+
+def test_gen1_pipeline(spark, inputs):
+    from basketry.sources import tables as T
+    d = _scratch()
+    out = jobs.run_gen1_etl(T.raw_gen1_customers(spark, SF_SMALL_DIR),
+                            T.raw_gen1_transactions(spark, SF_SMALL_DIR), f"{d}/gen1")
+    prof = out["profile"].first()
+    assert prof.total_rows == out["processed"].count() and prof.null_amount == 0
+    assert set(out["processed"].columns) >= {"revenue", "month", "year", "segment"}
+    models = jobs.run_gen1_models(out["rfm"], f"{d}/gen1_models")
+    labels = {r[0] for r in models["segments"].select("segment_label").distinct().collect()}
+    assert labels <= {"Champions", "At Risk", "Regular"} and "At Risk" in labels
+    assert {r["class"] for r in models["report"].collect()} >= {"0", "1", "accuracy"}
+    assert spark.read.parquet(f"{d}/gen1_models/churn_scores").count() == out["rfm"].count()
+
+
+def test_report_pack_dashboard_and_exports(spark, inputs):
+    d = _scratch()
+    c, t = inputs.customers, inputs.transactions_featured
+    paths = jobs.run_sql_pack(c, t, f"{d}/sql")
+    assert len(paths) == 8
+    assert spark.read.parquet(paths["top20_customers"]).count() == 20
+    rfm = inputs.rfm_scores
+    dash = jobs.run_dashboard(c, t, rfm, f"{d}/exports")
+    kpi = spark.read.option("header", True).csv(f"{d}/exports/kpi_summary")
+    assert kpi.count() == 10 and set(kpi.columns) == {"KPI", "Value"}
+    daily = spark.read.option("header", True).csv(f"{d}/exports/powerbi_daily_revenue")
+    assert daily.count() == dash["powerbi_daily_revenue"].count()
+    assert set(jobs.excel_tables(c, t)) == {"kpi", "revenue", "segments", "categories"}
+    exp = writers.plain_exports(c, inputs.transactions, rfm, f"{d}/excel")
+    sample = spark.read.option("header", True).csv(exp["excel_transactions_sample"])
+    assert sample.count() == min(10000, inputs.transactions.count())
+    views = jobs.register_sql_views(c, inputs.transactions)
+    assert spark.sql("SELECT COUNT(*) FROM vw_customer_360").first()[0] == c.count()
+    assert "vw_customer_360" in views
