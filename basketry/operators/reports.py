@@ -59,20 +59,23 @@ def kpi_summary(customers: DataFrame, transactions: DataFrame) -> DataFrame:
     stats = customer_txn_stats(transactions)
     j = customers.join(stats, "customer_id", "left") \
         .withColumn("_w", F.coalesce(F.col("n_rows"), F.lit(1)))
-    main = j.agg(
+    # A LEFT JOIN keeps every customer, so the customer distincts are taken
+    # on customers alone (no Expand over the joined rows).
+    people = customers.agg(
         F.count_distinct("customer_id").alias("total_customers"),
+        F.count_distinct(F.when(F.col("segment") == "Premium", F.col("customer_id")))
+        .alias("premium_customers"))
+    main = j.agg(
         F.sum("rev_cents").alias("_rev"),
         F.sum("price_cents").alias("_fin"), F.sum("n_price").alias("_nf"),
         F.sum("rating_sum").alias("_rat"), F.sum("n_rating").alias("_nrat"),
         F.sum("ret_sum").alias("_ret"), F.sum("n_ret").alias("_nret"),
         F.sum(F.col("is_churned") * F.col("_w")).alias("_ch"),
-        F.sum(F.when(F.col("is_churned").isNotNull(), F.col("_w"))).alias("_nch"),
-        F.count_distinct(F.when(F.col("segment") == "Premium", F.col("customer_id")))
-        .alias("premium_customers"))
+        F.sum(F.when(F.col("is_churned").isNotNull(), F.col("_w"))).alias("_nch"))
     # COUNT(DISTINCT t.transaction_id) over the join = distinct ids of matched rows.
     matched = transactions.join(customers.select("customer_id"), "customer_id", "left_semi")
     distinct_txn = matched.agg(F.count_distinct("transaction_id").alias("total_transactions"))
-    one = combine_rows(main, distinct_txn)
+    one = combine_rows(people, main, distinct_txn)
     return one.select(
         "total_customers", "total_transactions",
         _money("_rev").alias("total_revenue"),
