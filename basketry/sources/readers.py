@@ -92,8 +92,12 @@ def load_processed(spark: SparkSession, base_dir: str, fmt: str = "parquet",
     out = {}
     for name in tables:
         path = f"{base_dir.rstrip('/')}/{name}"
-        reader = spark.read.option("header", True).option("inferSchema", False)
-        out[name] = reader.format(fmt).load(path)
+        if fmt == "csv":
+            # Processed CSV exports carry derived columns; infer their types
+            # like the reference's read_csv (parquet keeps exact types).
+            out[name] = spark.read.option("header", True).option("inferSchema", True).csv(path)
+        else:
+            out[name] = spark.read.format(fmt).load(path)
     return out
 
 
