@@ -101,10 +101,9 @@ def rfm_sql_base(transactions: DataFrame, snapshot) -> DataFrame:
 
 def rfm_ntile_scores(base: DataFrame, buckets: int = 5) -> DataFrame:
     """A5: NTILE(5) per dimension with customer_id as the last order key."""
-    s = ranking.global_ntile(base, [F.col("recency_days").desc(), F.col("customer_id")],
-                             buckets, "r_score")
-    s = ranking.global_ntile(s, [F.col("frequency"), F.col("customer_id")], buckets, "f_score")
-    s = ranking.global_ntile(s, [F.col("monetary"), F.col("customer_id")], buckets, "m_score")
+    s = ranking.global_ntiles(base, "customer_id", [("r_score", "recency_days", True),
+                                                    ("f_score", "frequency", False),
+                                                    ("m_score", "monetary", False)], buckets)
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return s.withColumn("rfm_total", total.cast("int")).withColumn("rfm_segment", X.rfm_segment(total))
 

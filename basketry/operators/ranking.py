@@ -80,6 +80,43 @@ def global_ntile(df: DataFrame, order: Sequence[Column], buckets: int, out: str,
         .drop("_rn", "_n")
 
 
+def global_ntiles(df: DataFrame, id_col: str, specs, buckets: int,
+                  parts: int | None = None) -> DataFrame:
+    """Several SQL ``NTILE(buckets)`` columns from ONE distributed sort.
+
+    ``specs`` = [(out, column, descending)]; every ordering ends with
+    ``id_col`` ascending, which must be unique.  The ordering keys are stacked
+    as (spec, key, id) rows and ranked together; ranks inside a spec are the
+    global row number minus the spec's start (a table of one row per spec),
+    and the per-id pivot back is a grouping on the id.  NULL keys sort first
+    for ascending and last for descending specs, as in Spark and SQL.
+    """
+    types = [df.schema[c].dataType.simpleString() for _, c, _ in specs]
+    if any(t in ("double", "float") for t in types):
+        key_type = "double"
+    else:
+        scale = max([int(t.split(",")[1].rstrip(")")) for t in types if t.startswith("decimal")],
+                    default=0)
+        key_type = f"decimal(38,{scale})"
+    parts_ = []
+    for i, (_, c, desc) in enumerate(specs):
+        k = F.col(c).cast(key_type)
+        parts_.append(F.struct(
+            F.lit(i).alias("_w"),
+            (k.isNotNull() if not desc else k.isNull()).cast("int").alias("_nf"),
+            (-k if desc else k).alias("_k")))
+    stacked = df.select(F.col(id_col).alias("_id"), F.explode(F.array(*parts_)).alias("_s")) \
+        .select("_id", "_s.*")
+    ranked = global_row_number(stacked, [F.col("_w"), F.col("_nf"), F.col("_k"), F.col("_id")],
+                               out="_rn", parts=parts)
+    sizes = ranked.groupBy("_w").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_start"))
+    nt = ranked.join(F.broadcast(sizes), "_w").withColumn(
+        "_nt", ntile_from_rank(F.col("_rn") - F.col("_start") + 1, F.col("_n"), buckets))
+    wide = nt.groupBy("_id").agg(*[F.max(F.when(F.col("_w") == i, F.col("_nt"))).alias(out)
+                                   for i, (out, _, _) in enumerate(specs)])
+    return df.join(wide, df[id_col] == wide["_id"]).drop("_id")
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     prefix: str = "q", parts: int | None = None) -> DataFrame:
     """One-row frame of linear-interpolated quantiles (pandas/``quantile_cont``).

@@ -27,6 +27,21 @@ def test_global_row_number_and_ntile_match_single_partition(spark):
     assert j.where((F.col("nt") != F.col("nt_ref")) | (F.col("rn") != F.col("rn_ref"))).count() == 0
 
 
+def test_global_ntiles_one_sort_matches_windows(spark):
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"id": [f"C{i:05d}" for i in range(1203)],
+                        "a": rng.integers(0, 30, 1203), "b": np.round(rng.random(1203) * 50, 2)})
+    pdf.loc[::97, "a"] = None
+    df = spark.createDataFrame(pdf).withColumn("b", F.col("b").cast("decimal(10,2)")) \
+        .withColumn("a", F.col("a").cast("int"))
+    ours = ranking.global_ntiles(df, "id", [("na", "a", True), ("nb", "b", False)], 5)
+    ref = df.select("id", F.ntile(5).over(Window.orderBy(F.col("a").desc(), "id")).alias("ra"),
+                    F.ntile(5).over(Window.orderBy("b", "id")).alias("rb"))
+    j = ours.join(ref, "id")
+    assert j.count() == 1203
+    assert j.where((F.col("na") != F.col("ra")) | (F.col("nb") != F.col("rb"))).count() == 0
+
+
 def test_qcut_matches_pandas(spark):
     rng = np.random.default_rng(3)
     vals = np.round(rng.gamma(2.0, 500.0, 1001), 2)
