@@ -1,0 +1,51 @@
+"""Print a markdown table of plan shapes for every registered query.
+
+    python tests/plan_report.py [/root/testdata/sf0.01]
+
+Counts, in the final (adaptive) physical plan after one execution:
+shuffle exchanges, broadcast exchanges, sort-merge / broadcast-hash joins,
+and single-partition exchanges (with the number of rows they carried).
+"""
+
+from __future__ import annotations
+
+import os
+import re
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def shape(df) -> dict:
+    df.write.format("noop").mode("overwrite").save()
+    qe = df._jdf.queryExecution()
+    text = qe.executedPlan().toString()
+    return {
+        "shuffles": len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|"
+                                   r"Exchange RoundRobinPartitioning", text)),
+        "broadcasts": text.count("BroadcastExchange"),
+        "smj": text.count("SortMergeJoin"),
+        "bhj": text.count("BroadcastHashJoin"),
+        "single": text.count("Exchange SinglePartition"),
+    }
+
+
+def main(argv):
+    sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    from basketry.plans.registry import queries
+    from basketry.session import get_session
+    spark = get_session()
+    q = queries()
+    print("| query | shuffles | broadcast | SMJ | BHJ | single-partition |")
+    print("|---|---|---|---|---|---|")
+    for name in q:
+        if name.startswith(("kmeans", "cluster", "pca", "churn_model", "churn_scores",
+                            "feature_imp", "segment_gen1", "churn_gen1")):
+            continue
+        s = shape(q[name](spark, sf))
+        print(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['smj']} | {s['bhj']} | "
+              f"{s['single']} |", flush=True)
+
+
+if __name__ == "__main__":
+    main(sys.argv)

@@ -50,3 +50,17 @@ def test_explicit_broadcasts_are_fixed_size(spark):
     src = inspect.getsource(tables)
     assert src.count("F.broadcast(") == 2          # nation and region only
     assert CACHE_SOURCES in (True, False)
+
+
+ML = ("kmeans", "cluster", "pca", "churn_model", "churn_scores", "feature_imp", "segment_gen1",
+      "churn_gen1")
+
+
+def test_no_data_sized_single_partition_exchange(spark):
+    """At sf0.001 (150 customers, 6,000 transactions) every single-partition
+    exchange of every relational query carries only a handful of rows:
+    partial global aggregates, range-partition offsets or per-dimension rows."""
+    from tests.plan_shapes import single_partition_rows
+    worst = {name: single_partition_rows(fn(spark, SF))
+             for name, fn in queries().items() if not name.startswith(ML)}
+    assert max(worst.values()) <= 64, sorted(worst.items(), key=lambda kv: -kv[1])[:5]
