@@ -93,3 +93,19 @@ def test_date_parts(spark):
 def test_decimal_money_cents(spark):
     df = spark.createDataFrame([(Decimal("12.34"),)], "x decimal(15,2)")
     assert df.select(X.cents("x")).first()[0] == 1234
+
+
+def test_safe_divide_blank_on_zero(spark):
+    """BI DIVIDE gives blank on a zero denominator (Spark 4 ANSI would raise)."""
+    df = spark.createDataFrame([(5, 0), (6, 3)], "n int, d int")
+    assert [r[0] for r in df.select(X.safe_divide("n", "d")).collect()] == [None, 2.0]
+
+
+def test_null_customer_id_is_an_orphan(spark):
+    """Pandas ``~isin`` treats a NULL id as absent; so does the anti join."""
+    from basketry.operators import quality
+    t = spark.createDataFrame([("t1", "c1"), ("t2", None), ("t3", "c9")],
+                              "transaction_id string, customer_id string")
+    c = spark.createDataFrame([("c1",)], "customer_id string")
+    got = {r.transaction_id for r in quality.orphan_transactions(t, c).collect()}
+    assert got == {"t2", "t3"}
