@@ -218,12 +218,15 @@ def qcut_many(df: DataFrame, specs, q: int = 5, duplicates: str = "raise",
     edges = qcut_edges_many(df, [v for v, _, _ in specs], q, duplicates, parts)
     out_df = df
     for value, out, descending in specs:
+        # duplicates="drop" (pandas) merges equal edges: fewer, wider bins.
+        e = sorted(set(edges[value])) if duplicates == "drop" else edges[value]
+        n_bins = len(e) - 1
         v = F.col(value).cast("double")
         label = F.lit(1)
-        for e in edges[value][1:-1]:
-            label = label + F.when(v > F.lit(e), 1).otherwise(0)
+        for edge in e[1:-1]:
+            label = label + F.when(v > F.lit(edge), 1).otherwise(0)
         if descending:
-            label = F.lit(q + 1) - label
+            label = F.lit(n_bins + 1) - label
         out_df = out_df.withColumn(out, F.when(v.isNotNull(), label).cast("int"))
     return out_df
 

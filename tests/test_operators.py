@@ -60,6 +60,14 @@ def test_qcut_duplicate_edges_raise(spark):
         ranking.qcut_labels(df, "v", "lab")
 
 
+def test_qcut_duplicate_edges_drop_matches_pandas(spark):
+    vals = [1.0] * 8 + [2.0, 3.0, 4.0, 5.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, v double")
+    got = ranking.qcut_labels(df, "v", "lab", duplicates="drop").orderBy("id").toPandas()["lab"]
+    want = pd.qcut(pd.Series(vals), 5, labels=False, duplicates="drop") + 1
+    assert got.tolist() == want.tolist()
+
+
 def test_exact_quantiles_match_numpy(spark):
     vals = [5.0, 1.0, 3.5, 9.25, 2.0, 2.0, 8.0]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
