@@ -75,18 +75,33 @@ def rfm_gen1(transactions: DataFrame) -> DataFrame:
 
 
 def rfm_quantile_scores(rfm: DataFrame, q: int = 5) -> DataFrame:
-    """A4: R/M by quantile bins (R reversed), F by quintiles of the first-rank."""
-    scored = ranking.qcut_many(rfm, [("recency", "R", True), ("monetary", "M", False)], q=q)
-    # rank(method="first"): ties keep customer_id order, i.e. a global row number.
-    scored = ranking.global_row_number(scored, [F.col("frequency"), F.col("customer_id")],
-                                       out="_frank", total="_n")
-    # qcut of 1..n: inner edge i sits at 1 + i (n - 1) / q; compare exactly in integers.
+    """A4: R/M by quantile bins (R reversed), F by quintiles of the first-rank.
+
+    One distributed sort ranks recency, monetary and frequency together
+    (ties by customer_id): the R/M bin edges are read off exact positions,
+    F is the quintile of the frequency rank -- pandas
+    ``qcut(rank(method="first"))``, whose edges sit at 1 + i (n - 1) / q,
+    compared exactly in integers.
+    """
+    # Already checkpointed inside: edges and F ranks read the same rows.
+    ranked = ranking.stacked_ranks(rfm, "customer_id", ["recency", "monetary", "frequency"])
+    edges = ranking.quantiles_from_ranks(ranked.where(F.col("_dim") < 2),
+                                         [i / q for i in range(q + 1)])
+    for dim, name in ((0, "recency"), (1, "monetary")):
+        e = edges.get(dim)
+        if e is None or len(set(e)) != len(e):
+            raise ValueError(f"qcut: bin edges of {name} must be unique: {e}")
     f = F.lit(1)
     for i in range(1, q):
-        f = f + F.when(F.lit(q) * (F.col("_frank") - 1) > F.lit(i) * (F.col("_n") - 1), 1).otherwise(0)
-    scored = scored.withColumn("F", f.cast("int")).drop("_frank", "_n")
+        f = f + F.when(F.lit(q) * (F.col("_r") - 1) > F.lit(i) * (F.col("_n") - 1), 1).otherwise(0)
+    f_scores = ranked.where(F.col("_dim") == 2).select(F.col("_id").alias("customer_id"),
+                                                       f.cast("int").alias("F"))
+    scored = rfm.join(f_scores, "customer_id", "left") \
+        .withColumn("R", ranking.qcut_expr("recency", edges[0], descending=True)) \
+        .withColumn("M", ranking.qcut_expr("monetary", edges[1]))
     total = F.col("R") + F.col("F") + F.col("M")
-    return scored.withColumn("rfm_score", total.cast("int")) \
+    return scored.select(*rfm.columns, "R", "F", "M") \
+        .withColumn("rfm_score", total.cast("int")) \
         .withColumn("rfm_segment", X.rfm_segment(total))
 
 

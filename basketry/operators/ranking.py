@@ -166,6 +166,58 @@ def grouped_exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequen
         F.col("_count").alias(f"{prefix}_n"))
 
 
+def stacked_ranks(df: DataFrame, id_col: str, values, parts: int | None = None) -> DataFrame:
+    """Rank several columns with ONE distributed sort.
+
+    Rows (dim, value, id) are stacked for every column in ``values`` and
+    ranked over (dim, value, id); returns ``_dim`` (index into ``values``),
+    ``_v`` (value as double), ``_id``, ``_r`` (1-based rank inside the dim,
+    ties by id) and ``_n`` (non-null rows of the dim).  NULL values are left
+    out.  The per-dim size table has one row per column.
+    """
+    stacked = df.select(F.col(id_col).alias("_id"), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_dim"), F.col(c).cast("double").alias("_v"))
+        for i, c in enumerate(values)])).alias("_s")).select("_id", "_s.*") \
+        .where(F.col("_v").isNotNull())
+    ranked = global_row_number(stacked, [F.col("_dim"), F.col("_v"), F.col("_id")], out="_rn",
+                               parts=parts)
+    sizes = ranked.groupBy("_dim").agg(F.count(F.lit(1)).alias("_n"),
+                                       F.min("_rn").alias("_start"))
+    return ranked.join(F.broadcast(sizes), "_dim") \
+        .withColumn("_r", F.col("_rn") - F.col("_start") + 1).drop("_rn", "_start")
+
+
+def quantiles_from_ranks(ranked: DataFrame, probs) -> dict[int, list[float]]:
+    """Linear-interpolated quantiles of every dim of ``stacked_ranks`` output,
+    exact positions; one row per dim is collected."""
+    aggs, needed = [], F.lit(False)
+    for i, p in enumerate(probs):
+        frac = Fraction(p).limit_denominator(10 ** 6)
+        a, b = frac.numerator, frac.denominator
+        scaled = F.lit(a) * (F.col("_n") - 1)
+        lo = F.call_function("div", scaled, F.lit(b)) + 1
+        hi = F.least(lo + 1, F.col("_n"))
+        fr = (scaled % b).cast("double") / float(b)
+        needed = needed | (F.col("_r") == lo) | (F.col("_r") == hi)
+        aggs.append((F.max(F.when(F.col("_r") == lo, F.col("_v")))
+                     + (F.max(F.when(F.col("_r") == hi, F.col("_v")))
+                        - F.max(F.when(F.col("_r") == lo, F.col("_v")))) * F.max(fr))
+                    .alias(f"q{i}"))
+    rows = ranked.where(needed).groupBy("_dim").agg(*aggs).collect()
+    return {r["_dim"]: [r[f"q{i}"] for i in range(len(probs))] for r in rows}
+
+
+def qcut_expr(value: str, edges, descending: bool = False):
+    """Label 1..bins of a right-closed qcut with the given (unique) edges."""
+    v = F.col(value).cast("double")
+    label = F.lit(1)
+    for e in edges[1:-1]:
+        label = label + F.when(v > F.lit(e), 1).otherwise(0)
+    if descending:
+        label = F.lit(len(edges)) - label
+    return F.when(v.isNotNull(), label).cast("int")
+
+
 def global_cumsum(df: DataFrame, order: Sequence[Column], cols: Sequence[str],
                   prefix: str = "cum_", parts: int | None = None,
                   with_totals: bool = False) -> DataFrame:
