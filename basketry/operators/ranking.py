@@ -117,6 +117,30 @@ def global_ntiles(df: DataFrame, id_col: str, specs, buckets: int,
     return df.join(wide, df[id_col] == wide["_id"]).drop("_id")
 
 
+def _position_aggs(probs, prefix: str):
+    """Aggregates picking the linear-interpolated quantiles from ranked rows.
+
+    Expects ``_v`` (value), ``_r`` (1-based rank within the group) and ``_n``
+    (group size).  For p = a/b the position a (n - 1) / b is split into an
+    integer part and a fraction in exact integer arithmetic; the result is
+    lo + (hi - lo) * frac.  Also returns the filter keeping only the rows
+    that can be picked.
+    """
+    aggs, needed = [], F.lit(False)
+    for i, p in enumerate(probs):
+        frac = Fraction(p).limit_denominator(10 ** 6)
+        a, b = frac.numerator, frac.denominator
+        scaled = F.lit(a) * (F.col("_n") - 1)
+        lo = F.call_function("div", scaled, F.lit(b)) + 1
+        hi = F.least(lo + 1, F.col("_n"))
+        fr = (scaled % b).cast("double") / float(b)
+        needed = needed | (F.col("_r") == lo) | (F.col("_r") == hi)
+        v_lo = F.max(F.when(F.col("_r") == lo, F.col("_v")))
+        v_hi = F.max(F.when(F.col("_r") == hi, F.col("_v")))
+        aggs.append((v_lo + (v_hi - v_lo) * F.max(fr)).alias(f"{prefix}{i}"))
+    return aggs, needed
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     prefix: str = "q", parts: int | None = None) -> DataFrame:
     """One-row frame of linear-interpolated quantiles (pandas/``quantile_cont``).
@@ -146,24 +170,9 @@ def grouped_exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequen
                                parts=parts)
     sizes = ranked.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_start"))
     local = ranked.join(sizes, "_g").withColumn("_r", F.col("_rn") - F.col("_start") + 1)
-    aggs, needed = [], F.lit(False)
-    for i, p in enumerate(probs):
-        frac = Fraction(p).limit_denominator(10 ** 6)
-        a, b = frac.numerator, frac.denominator
-        scaled = F.lit(a) * (F.col("_n") - 1)
-        lo = F.call_function("div", scaled, F.lit(b)) + 1
-        hi = F.least(lo + 1, F.col("_n"))
-        fr = (scaled % b).cast("double") / float(b)
-        needed = needed | (F.col("_r") == lo) | (F.col("_r") == hi)
-        aggs += [F.max(F.when(F.col("_r") == lo, F.col("_v"))).alias(f"_lo{i}"),
-                 F.max(F.when(F.col("_r") == hi, F.col("_v"))).alias(f"_hi{i}"),
-                 F.max(fr).alias(f"_fr{i}")]
-    picked = local.where(needed).groupBy("_g").agg(*aggs, F.max("_n").alias("_count"))
-    return picked.select(
-        F.col("_g").alias(group),
-        *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}"))
-          .alias(f"{prefix}{i}") for i in range(len(probs))],
-        F.col("_count").alias(f"{prefix}_n"))
+    aggs, needed = _position_aggs(probs, prefix)
+    picked = local.where(needed).groupBy("_g").agg(*aggs, F.max("_n").alias(f"{prefix}_n"))
+    return picked.withColumnRenamed("_g", group)
 
 
 def stacked_ranks(df: DataFrame, id_col: str, values, parts: int | None = None) -> DataFrame:
@@ -190,19 +199,7 @@ def stacked_ranks(df: DataFrame, id_col: str, values, parts: int | None = None)
 def quantiles_from_ranks(ranked: DataFrame, probs) -> dict[int, list[float]]:
     """Linear-interpolated quantiles of every dim of ``stacked_ranks`` output,
     exact positions; one row per dim is collected."""
-    aggs, needed = [], F.lit(False)
-    for i, p in enumerate(probs):
-        frac = Fraction(p).limit_denominator(10 ** 6)
-        a, b = frac.numerator, frac.denominator
-        scaled = F.lit(a) * (F.col("_n") - 1)
-        lo = F.call_function("div", scaled, F.lit(b)) + 1
-        hi = F.least(lo + 1, F.col("_n"))
-        fr = (scaled % b).cast("double") / float(b)
-        needed = needed | (F.col("_r") == lo) | (F.col("_r") == hi)
-        aggs.append((F.max(F.when(F.col("_r") == lo, F.col("_v")))
-                     + (F.max(F.when(F.col("_r") == hi, F.col("_v")))
-                        - F.max(F.when(F.col("_r") == lo, F.col("_v")))) * F.max(fr))
-                    .alias(f"q{i}"))
+    aggs, needed = _position_aggs(probs, "q")
     rows = ranked.where(needed).groupBy("_dim").agg(*aggs).collect()
     return {r["_dim"]: [r[f"q{i}"] for i in range(len(probs))] for r in rows}
 
