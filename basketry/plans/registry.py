@@ -44,32 +44,35 @@ class Sources:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    def _load(self, df: DataFrame) -> DataFrame:
+    def _load(self, df: DataFrame, base_table: str) -> DataFrame:
         if not CACHE_SOURCES:
             return df
         # Small inputs can arrive as one parquet row group = one task; spread
         # them over the cores once.  Large inputs already have more splits
-        # than cores and are left as they are (no extra shuffle).
+        # than cores and are left as they are (no extra shuffle).  The split
+        # count is read from the plain scan of the base table, which plans
+        # without running anything (the joined plan would run its stages).
         cores = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        scan = T.read_table(self.spark, self.sf_dir, base_table)
+        if scan.rdd.getNumPartitions() < cores:
             df = df.repartition(cores)
         return df.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def customers(self) -> DataFrame:
-        return self._load(T.customers(self.spark, self.sf_dir))
+        return self._load(T.customers(self.spark, self.sf_dir), "customer")
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return self._load(T.transactions(self.spark, self.sf_dir))
+        return self._load(T.transactions(self.spark, self.sf_dir), "lineitem")
 
     @cached_property
     def raw_customers(self) -> DataFrame:
-        return self._load(T.raw_customers(self.spark, self.sf_dir))
+        return self._load(T.raw_customers(self.spark, self.sf_dir), "customer")
 
     @cached_property
     def raw_transactions(self) -> DataFrame:
-        return self._load(T.raw_transactions(self.spark, self.sf_dir))
+        return self._load(T.raw_transactions(self.spark, self.sf_dir), "lineitem")
 
 
 CACHE_SOURCES = os.environ.get("BASKETRY_CACHE_SOURCES", "1") == "1"
