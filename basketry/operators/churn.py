@@ -94,7 +94,7 @@ def with_scores(predictions: DataFrame) -> DataFrame:
 def train_models(split: DataFrame, features=CHURN_FEATURES, seed: int = 42):
     """Fit all models on 'train', evaluate on 'test', pick the best AUC.
 
-    Returns (metrics DataFrame, fitted models, best model name).
+    Returns (metrics DataFrame, fitted models, best model name, test predictions).
     """
     train = balanced_weights(split.where(F.col("split") == "train")).persist()
     test = split.where(F.col("split") == "test").persist()
@@ -107,17 +107,18 @@ def train_models(split: DataFrame, features=CHURN_FEATURES, seed: int = 42):
         auc = evaluate.roc_auc(pred).first()["auc"]
         ap = evaluate.average_precision(pred).first()["average_precision"]
         f1 = evaluate.classification_report(pred).where(F.col("class") == "1").first()["f1_score"]
-        return name, model, (name, float(auc), float(ap), float(f1))
+        return name, model, pred, (name, float(auc), float(ap), float(f1))
 
     # The three fits are independent Spark jobs; run them concurrently.
     with ThreadPoolExecutor(max_workers=len(pipes)) as pool:
         results = list(pool.map(fit_and_score, list(pipes)))
-    fitted = {name: model for name, model, _ in results}
-    rows = [row for _, _, row in results]
+    fitted = {name: model for name, model, _, _ in results}
+    predictions = {name: pred for name, _, pred, _ in results}
+    rows = [row for _, _, _, row in results]
     metrics = split.sparkSession.createDataFrame(
         rows, "model string, auc double, average_precision double, f1_churn double")
     best = max(rows, key=lambda r: r[1])[0]
-    return metrics, fitted, best
+    return metrics, fitted, best, predictions
 
 
 def feature_importance(model: PipelineModel, features=CHURN_FEATURES) -> DataFrame:
@@ -141,10 +142,13 @@ def run_churn_model(customer_360: DataFrame, seed: int = 42):
     """E5: features -> split -> train/evaluate -> score all -> best model."""
     featured = engineer_features(customer_360).persist()
     split = stratified_split(featured, seed=seed)
-    metrics, fitted, best = train_models(split, seed=seed)
+    metrics, fitted, best, preds = train_models(split, seed=seed)
     scores = score_customers(fitted[best], featured, customer_360)
     return {"metrics": metrics, "models": fitted, "best": best, "scores": scores,
-            "importance": feature_importance(fitted["Random Forest"]), "split": split}
+            "importance": feature_importance(fitted["Random Forest"]), "split": split,
+            # M20 / M21 per model on the test split (the reference's plots).
+            "confusion": {n: evaluate.confusion_matrix(p) for n, p in preds.items()},
+            "roc": {n: evaluate.roc_points(p) for n, p in preds.items()}}
 
 
 def churn_gen1(rfm: DataFrame, seed: int = 42):

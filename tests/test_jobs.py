@@ -71,6 +71,11 @@ def test_segmentation_and_churn(spark, inputs):
     assert scores.count() == ch["split"].count()
     imp = ch["importance"].agg(F.sum("importance")).first()[0]
     assert imp == pytest.approx(1.0, abs=1e-6)
+    n_test = ch["split"].where(F.col("split") == "test").count()
+    for name, cm in ch["confusion"].items():
+        assert cm.agg(F.sum(F.col("predicted_0") + F.col("predicted_1"))).first()[0] == n_test
+        last = ch["roc"][name].agg(F.max("tpr"), F.max("fpr")).first()
+        assert last[0] == pytest.approx(1.0) and last[1] == pytest.approx(1.0)
 
 
 def test_gen1_pipeline(spark, inputs):
