@@ -29,6 +29,7 @@ from basketry.operators import ranking
 # Feature lists and segment names of the reference.
 SEGMENT_FEATURES = ["recency", "frequency", "monetary", "age", "loyalty_points", "tenure_days"]
 GEN1_FEATURES = ["recency", "frequency", "monetary"]
+ROWS_PER_PARTITION = 500_000
 CLUSTER_LABELS = ["High-Value Champions", "Loyal Mid-Tier", "Price-Sensitive Bargain Hunters",
                   "Dormant / At-Risk"]
 
@@ -37,8 +38,8 @@ def prepare_features(customer_360: DataFrame, features=SEGMENT_FEATURES,
                      id_col: str = "customer_id") -> tuple[DataFrame, PipelineModel]:
     """M1: drop rows with a NULL feature, assemble, standardise (mean 0, sd 1).
 
-    The returned frame is persisted: every k of the sweep and every seed
-    reads it again.
+    The standardised frame is persisted: every k of the sweep and every
+    seed reads it again.
     """
     data = customer_360.select(id_col, *[F.col(c).cast("double").alias(c) for c in features]) \
         .dropna(subset=list(features))
@@ -46,12 +47,17 @@ def prepare_features(customer_360: DataFrame, features=SEGMENT_FEATURES,
         VectorAssembler(inputCols=list(features), outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)])
     model = pipe.fit(data)
-    scaled = model.transform(data).drop("raw_features").persist()
+    base = model.transform(data).drop("raw_features").persist()
+    n = base.count()                              # also fills the cache
+    # Each KMeans iteration is one job over this frame; read the cache in
+    # about ROWS_PER_PARTITION rows per task (coalesce never adds partitions,
+    # so large inputs keep their parallelism).
+    scaled = base.coalesce(max(1, -(-n // ROWS_PER_PARTITION)))
     return scaled, model
 
 
 def fit_kmeans(scaled: DataFrame, k: int, n_init: int = 10, max_iter: int = 500,
-               seed: int = 42, parallelism: int = 4) -> KMeansModel:
+               seed: int = 42, parallelism: int = 8) -> KMeansModel:
     """M2: best of ``n_init`` k-means|| runs by training cost."""
     def fit(i: int) -> KMeansModel:
         return KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="features",
