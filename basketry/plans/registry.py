@@ -19,6 +19,7 @@ from pyspark.sql.types import DecimalType
 
 from basketry.operators import bi, churn, clean, evaluate, features, quality, reports, segment
 from basketry.sources import tables as T
+from basketry.sources import writers as W
 
 # Parameters on the driver data (FIXTURES.md §3): these dates play the
 # reference's 2025-01-01 snapshot and 2024-12-31 tenure date.
@@ -252,8 +253,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # slicers, gen-1 enrichment, sample export
     "sliced_revenue": lambda d: sliced_revenue(d),
     "enriched_gen1": lambda d: enriched_gen1(d),
-    "first_n_sample": lambda d: d.transactions.orderBy("transaction_date", "transaction_id")
-    .limit(10000),
+    "first_n_sample": lambda d: W.first_n(d.transactions, 10000),
     # evaluation with a deterministic score
     "stratified_split": lambda d: churn.stratified_split(
         d.customers.select("customer_id", "is_churned"), label="is_churned"),

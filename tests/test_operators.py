@@ -153,3 +153,15 @@ def test_classification_report_and_confusion(spark):
     assert rep["accuracy"]["precision"] == pytest.approx(4 / 6) and rep["macro avg"]["support"] == 6
     cm = {r.actual: (r.predicted_0, r.predicted_1) for r in evaluate.confusion_matrix(df).collect()}
     assert cm == {0: (2, 1), 1: (1, 2)}
+
+
+@pytest.mark.parametrize("n", [1, 3, 5, 7, 50])
+def test_first_n_cutoff_equals_plain_limit(spark, n):
+    from basketry.sources.writers import first_n
+    rows = [("t1", None), ("t2", dt.date(2024, 1, 2)), ("t3", dt.date(2024, 1, 1)),
+            ("t4", dt.date(2024, 1, 2)), ("t5", dt.date(2024, 1, 2)), ("t6", None),
+            ("t7", dt.date(2024, 1, 3))]
+    df = spark.createDataFrame(rows, "transaction_id string, transaction_date date")
+    want = [r.transaction_id for r in df.orderBy("transaction_date", "transaction_id").limit(n).collect()]
+    got = [r.transaction_id for r in first_n(df, n).collect()]
+    assert got == want
