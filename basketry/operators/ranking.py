@@ -16,6 +16,10 @@ from a distributed sort instead (survey N1, N2):
 
 The result equals ``row_number()`` over the order key, with ties broken by
 the key columns themselves (callers always end the key with a unique id).
+
+Several rankings share one sort by stacking (dimension, key, id) rows:
+``global_ntiles`` (the three RFM NTILEs), ``stacked_ranks`` (qcut edges and
+first-ranks) and ``grouped_exact_quantiles`` (per-group medians).
 """
 
 from __future__ import annotations
