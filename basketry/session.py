@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -14,24 +15,32 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
     AQE stays on (runtime coalescing, skew-join splitting, broadcast
     conversion from measured sizes).  The session time zone is UTC so that
-    day arithmetic is identical on every executor.
+    day arithmetic is identical on every executor.  A master given by
+    ``spark-submit`` (``spark.master``) is respected; local defaults (8
+    shuffle partitions, driver memory) apply only to local sessions.
     """
-    master = master or os.environ.get("BASKETRY_MASTER", "local[8]")
-    if shuffle_partitions is None:
+    SparkContext._ensure_initialized()   # attach to the JVM so spark-submit's conf is visible
+    submitted = SparkConf().get("spark.master", None)
+    master = master or os.environ.get("BASKETRY_MASTER") or submitted or "local[8]"
+    local = master.startswith("local")
+    builder = SparkSession.builder.appName(app_name)
+    if master != submitted:
+        builder = builder.master(master)
+    if shuffle_partitions is None and local:
         shuffle_partitions = int(os.environ.get("BASKETRY_SHUFFLE_PARTITIONS", "8"))
-    builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("BASKETRY_DRIVER_MEMORY", "16g"))
-    )
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    builder = (builder
+               .config("spark.sql.adaptive.enabled", "true")
+               .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+               .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+               .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
+    if local:
+        builder = builder.config("spark.driver.memory",
+                                 os.environ.get("BASKETRY_DRIVER_MEMORY", "16g"))
     for key, value in (extra_conf or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
