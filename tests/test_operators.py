@@ -165,3 +165,18 @@ def test_first_n_cutoff_equals_plain_limit(spark, n):
     want = [r.transaction_id for r in df.orderBy("transaction_date", "transaction_id").limit(n).collect()]
     got = [r.transaction_id for r in first_n(df, n).collect()]
     assert got == want
+
+
+def test_hot_value_is_split_across_range_partitions(spark):
+    """A value held by a third of all rows still spreads over the range
+    partitions because the sort key ends with the id (the ranking design)."""
+    n = 6000
+    rows = [(f"C{i:05d}", 7 if i % 3 == 0 else i) for i in range(n)]
+    df = spark.createDataFrame(rows, "id string, x long")
+    by_key = df.repartitionByRange(8, "x", "id").groupBy(F.spark_partition_id().alias("p")).count()
+    sizes = [r["count"] for r in by_key.collect()]
+    assert max(sizes) <= 2 * n / 8                     # balanced with the id tiebreak
+    by_value = df.repartitionByRange(8, "x").groupBy(F.spark_partition_id().alias("p")).count()
+    assert max(r["count"] for r in by_value.collect()) >= n / 3   # the skew it avoids
+    ranked = ranking.global_row_number(df, [F.col("x"), F.col("id")], out="rn")
+    assert ranked.agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first() == (1, n, n)
