@@ -64,3 +64,15 @@ def test_no_data_sized_single_partition_exchange(spark):
     worst = {name: single_partition_rows(fn(spark, SF))
              for name, fn in queries().items() if not name.startswith(ML)}
     assert max(worst.values()) <= 64, sorted(worst.items(), key=lambda kv: -kv[1])[:5]
+
+
+def test_keep_first_dedup_combines_map_side(spark):
+    """C1 is an aggregation with a partial (map-side) min_by, not a row_number
+    window: a key repeated a billion times leaves one row per map task."""
+    from basketry.operators import clean
+    df = spark.createDataFrame([("k", i, i * 2) for i in range(1000)] + [("z", 0, 1)],
+                               "key string, ingest_seq int, v int")
+    out = clean.dedup_first(df, "key", ["ingest_seq"])
+    p = plan(out)
+    assert "partial_min_by" in p and "Window" not in p
+    assert {(r.key, r.v) for r in out.collect()} == {("k", 0), ("z", 1)}
