@@ -9,6 +9,7 @@ computed from prefix sums, followed by a bit mixer.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,10 +43,13 @@ def release(spark: SparkSession) -> None:
 
     The cleaner acts when the driver collects its garbage; between two large
     steps of one job that is worth asking for, as the files of the finished
-    step would otherwise stay on the executors' disks.
+    step would otherwise stay on the executors' disks.  The first round frees
+    the plans, the second the shuffles that only those plans held.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.6)
 
 
 def ascii_lower(col):

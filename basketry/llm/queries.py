@@ -5,19 +5,56 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketry.llm import suffix_dedup
+from basketry.llm import brown_lm, common, decontaminate, ngram_join, packing, suffix_dedup
 from basketry.llm.common import read_table
 
 
+def tokenizer_path() -> str:
+    """The public 49k word BPE vocabulary; the file stays outside this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against the benchmark's 13-word windows."""
+    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("tag")
+
+
+def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class bigram model learnt from six sevenths of the documents; log10 probability of all."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = common.id_crc(F.col("doc_id"), 7) == 2
+    model, counts = brown_lm.learn(docs.filter(~held_out))
+    return brown_lm.score(docs, model, counts).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes repeated from documents with smaller ids (50 bytes and more) are cut out."""
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return ngram_join.similarity_components(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontaminate": op1_decontaminate,
+        "op2_brown_lm": op2_brown_lm,
+        "op3_packing": op3_packing,
         "op9_suffix_dedup": op9_suffix_dedup,
+        "op10_ngram_join": op10_ngram_join,
     }
 
 
