@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import brown_lm, common, decontaminate, ngram_join, packing, suffix_dedup
+from basketry.llm import brown_lm, common, decontaminate, htmltree, lz_fingerprint, ngram_join, packing, quality_mil, secret_scan, string_kernel, suffix_dedup
 from basketry.llm.common import read_table
 
 
@@ -38,6 +38,39 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, judged by how many sources hold the same value."""
+    found = secret_scan.scan(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three quarters of the labelled ones."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = common.id_crc(F.col("doc_id"), 4) == 2
+    model = string_kernel.learn(docs.filter(~held_out))
+    return string_kernel.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrase fingerprints of every document and of its edited text."""
+    return lz_fingerprint.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltree.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op8_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from two thirds of the labelled ones."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = common.id_crc(F.col("doc_id"), 3) == 1
+    net = quality_mil.learn(docs, labels.filter(~held_out))
+    return quality_mil.score(docs, net).select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes repeated from documents with smaller ids (50 bytes and more) are cut out."""
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
@@ -53,6 +86,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontaminate": op1_decontaminate,
         "op2_brown_lm": op2_brown_lm,
         "op3_packing": op3_packing,
+        "op4_secret_scan": op4_secret_scan,
+        "op5_language_id": op5_language_id,
+        "op6_lz_fingerprint": op6_lz_fingerprint,
+        "op7_html_extract": op7_html_extract,
+        "op8_quality_mil": op8_quality_mil,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_ngram_join": op10_ngram_join,
     }
