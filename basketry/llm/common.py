@@ -14,7 +14,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +43,12 @@ def release(spark: SparkSession) -> None:
     The cleaner acts when the driver collects its garbage; between two large
     steps of one job that is worth asking for, as the files of the finished
     step would otherwise stay on the executors' disks.  The first round frees
-    the plans, the second the shuffles that only those plans held.
+    the plans, the next ones the shuffles that only those plans held.
     """
-    for _ in range(2):
+    for _ in range(3):
         gc.collect()
         spark.sparkContext._jvm.System.gc()
-        time.sleep(0.6)
+        time.sleep(1)
 
 
 def ascii_lower(col):
@@ -62,8 +61,11 @@ def id_crc(col, modulus: int):
     return F.pmod(F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
-def cached(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def join_side(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A join's narrow side (ids and hashes): broadcast if it is counted to have
+    ``rows`` or fewer, else left to a shuffle join.  The count reads a checkpoint."""
+    df = checkpointed(df)
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 # ---------------------------------------------------------------- Arrow side

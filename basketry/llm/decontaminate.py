@@ -131,7 +131,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """The rows of ``docs`` (all columns) whose text is not contaminated."""
     bad = contamination(docs, items, id_col, text_col, **options).filter("contaminated").select(
         F.col("doc_id").alias("__doc"), F.col("tag").alias("__tag")).distinct()
-    tagged = docs.withColumn("__own", F.xxhash64(text_col))
+    tagged, bad = docs.withColumn("__own", F.xxhash64(text_col)), C.join_side(bad)
     return tagged.join(bad, tagged[id_col].eqNullSafe(bad["__doc"]) & (F.col("__own") == F.col("__tag")), "left_anti").drop("__own")
 
 

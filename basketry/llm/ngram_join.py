@@ -278,9 +278,7 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     alone = grouped.groupBy("grp").agg(F.count("*").alias("n")).filter("n > 1").select("grp")
     opened = C.checkpointed(opened.unionAll(grouped.join(alone, "grp").select("grp", F.col("grp").alias("of"), "node")))
 
-    wanted = grouped.select("node").join(nodes, "node").select("doc", F.col("node").alias("wanted"))
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    wanted = C.join_side(grouped.select("node").join(nodes, "node").select("doc", F.col("node").alias("wanted")), BROADCAST_ROWS)
     sets = C.checkpointed(source.join(wanted, "doc").select("text", "wanted")
                           .mapInArrow(lambda it: _set_rows(it, words), "node long, grams binary").dropDuplicates(["node"]))
 
@@ -296,3 +294,13 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     root = nodes.join(found, "doc", "left").select("node", F.coalesce("component", "doc").alias("component"))
     return table.join(root, "node", "left").select(
         F.col("doc").alias("doc_id"), "n_shingles", F.coalesce("component", "doc").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose document is the smallest id of its component.
+
+    A document is its id: rows that repeat a kept id stay, and so do rows without an id.
+    """
+    found = similarity_components(docs, id_col, text_col, **options)
+    lost = C.join_side(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__lost")).distinct())
+    return docs.join(lost, F.col(id_col).cast("long") == F.col("__lost"), "left_anti")

@@ -146,7 +146,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
             .agg(F.first("live").alias("__live")))
     columns = docs.columns
     joined = docs.withColumn("__own", F.xxhash64(text_col)).join(
-        live, F.col(id_col).cast("long").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__tag")), "left")
+        C.join_side(live, 100_000), F.col(id_col).cast("long").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__tag")), "left")
 
     def change(batches):
         for batch in batches:
