@@ -1,6 +1,7 @@
 """Full run (E8), the counterpart of the reference's ``main.py``.
 
-    python -m basketry --out OUT_DIR (--sf-dir DIR | --customers CSV --transactions CSV)
+    python -m basketry --out OUT_DIR --snapshot DAY --tenure-date DAY
+        (--sf-dir DIR | --customers CSV --transactions CSV)
 
 ``--sf-dir`` reads the driver tables through the dirty-fixture mapping
 (FIXTURES.md §4), so cleaning and validation have something to do;
@@ -25,6 +26,8 @@ def main(argv=None) -> dict:
     ap.add_argument("--sf-dir")
     ap.add_argument("--customers")
     ap.add_argument("--transactions")
+    ap.add_argument("--snapshot", required=True, help="recency is counted up to this day (yyyy-mm-dd)")
+    ap.add_argument("--tenure-date", required=True, help="tenure is counted up to this day (yyyy-mm-dd)")
     args = ap.parse_args(argv)
     spark = get_session()
     t0 = time.time()
@@ -33,7 +36,7 @@ def main(argv=None) -> dict:
         raw_t = tables.raw_transactions(spark, args.sf_dir)
     else:
         raw_c, raw_t = readers.extract_data(spark, args.customers, args.transactions)
-    res = jobs.run_all(spark, raw_c, raw_t, args.out)
+    res = jobs.run_all(spark, raw_c, raw_t, args.out, snapshot=args.snapshot, tenure_date=args.tenure_date)
     summary = {
         "seconds": round(time.time() - t0, 1),
         "row_counts": res["etl"]["row_counts"],

@@ -78,7 +78,7 @@ def title_case(col) -> Column:
     runs = F.regexp_extract_all(_c(col), F.lit(r"(\p{L}+|\P{L}+)"), 1)
     return F.array_join(
         F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)),
-                                             F.lower(F.substring(r, 2, 1 << 20)))),
+                                             F.lower(F.substr(r, F.lit(2))))),
         "")
 
 
@@ -95,13 +95,10 @@ def clip_keep_null(col, lo, hi) -> Column:
     return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
 
 
-def safe_divide(num, den) -> Column:
-    """BI ``DIVIDE``: NULL instead of an error on a zero denominator."""
-    return F.try_divide(_c(num), _c(den))
-
-
 def _idiv(a: Column, b: Column) -> Column:
-    return F.call_function("div", a, b)
+    """Integral quotient of non-negative decimals, all digits kept (``div`` would
+    give a BIGINT, which wraps beyond 9.2e18)."""
+    return ((a - a % b) / b).cast("decimal(38,0)")
 
 
 def round_ratio(num, den, digits: int = 2, mode: str = "half_up") -> Column:
@@ -130,13 +127,18 @@ def round_ratio(num, den, digits: int = 2, mode: str = "half_up") -> Column:
 
 
 def cents(col) -> Column:
-    """Money (2-decimal) as an exact integer number of cents."""
-    return (_c(col) * 100).cast("decimal(38,0)")
+    """Money (2-decimal) as an exact integer number of cents.
+
+    18 digits per value keep the per-row arithmetic on longs; sums widen by
+    themselves (decimal(28,0), then decimal(38,0)).
+    """
+    return (_c(col) * 100).cast("decimal(18,0)")
 
 
 def mean_double(total, n) -> Column:
-    """Unrounded mean as one IEEE division of two exact integers."""
-    return _c(total).cast("double") / _c(n).cast("double")
+    """Unrounded mean as one IEEE division of two exact integers; like the BI
+    ``DIVIDE`` it is NULL, not an error, on a zero denominator (P20)."""
+    return F.try_divide(_c(total).cast("double"), _c(n).cast("double"))
 
 
 # ---------------------------------------------------------------------------
@@ -172,17 +174,6 @@ def as_date(value) -> Column:
     return F.lit(value)
 
 
-def days_between(end, start) -> Column:
-    """Whole days from ``start`` to ``end``, floored like Python ``timedelta.days``.
-
-    ``datediff`` equals that only for dates; timestamps are floored on the
-    second difference so that 23:59 apart counts as 0 days.
-    """
-    e, s = _c(end), _c(start)
-    return F.floor((F.unix_timestamp(e.cast("timestamp")) - F.unix_timestamp(s.cast("timestamp")))
-                   / F.lit(86400)).cast("int")
-
-
 def date_days_between(end, start) -> Column:
     return F.datediff(_c(end), _c(start))
 

@@ -134,6 +134,17 @@ def churn_risk_by_segment(risk_flags: DataFrame, flag_col: str = "churn_risk_fla
                                  for v in RISK_LEVELS])
 
 
+def high_risk_count(scores: DataFrame) -> DataFrame:
+    """Customers whose churn prediction falls into the high-risk bin (one row)."""
+    return scores.agg(F.count_if(F.col("churn_risk") == "High Risk").alias("high_risk_customers"))
+
+
+def risk_list(scores: DataFrame) -> DataFrame:
+    """The high-risk customers of a churn prediction, most probable first."""
+    return scores.where(F.col("churn_risk") == "High Risk") \
+        .orderBy(F.desc("churn_probability"), "customer_id")
+
+
 def high_risk_customers(risk_flags: DataFrame) -> DataFrame:
     """The 'High Risk' rows of the churn-risk list."""
     return risk_flags.where(F.col("churn_risk_flag") == "High Risk")
@@ -151,7 +162,8 @@ def rfm_by_segment(scores: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, metrics, bins: int = 40) -> DataFrame:
-    """X11: equal-width histograms (numpy semantics: last bin right-inclusive) + median.
+    """X11: equal-width histograms (numpy semantics: last bin right-inclusive, a constant
+    column's range is widened by one half on each side, empty bins are rows) + median.
 
     Values of all metrics are stacked into (metric, v); per-metric min/max is
     one grouped aggregate of ``len(metrics)`` rows, broadcast back.
@@ -159,7 +171,9 @@ def histogram(df: DataFrame, metrics, bins: int = 40) -> DataFrame:
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics]))
         .alias("s")).select("s.*").where(F.col("v").isNotNull())
-    bounds = stacked.groupBy("metric").agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+    ends = stacked.groupBy("metric").agg(F.min("v").alias("_min"), F.max("v").alias("_max"))
+    half = F.when(F.col("_min") == F.col("_max"), 0.5).otherwise(0.0)
+    bounds = ends.select("metric", (F.col("_min") - half).alias("_lo"), (F.col("_max") + half).alias("_hi"))
     medians = ranking.grouped_exact_quantiles(stacked, "metric", "v", [0.5], "_med") \
         .select("metric", F.col("_med0").alias("median"))
     bounds = bounds.join(medians, "metric")  # both one row per metric
@@ -167,19 +181,18 @@ def histogram(df: DataFrame, metrics, bins: int = 40) -> DataFrame:
     width = F.col("_hi") - F.col("_lo")
     step = width / bins
     raw = F.floor((F.col("v") - F.col("_lo")) * (F.lit(float(bins)) / width))
-    idx0 = F.when(width == 0, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1)))
+    idx0 = F.least(raw, F.lit(bins - 1))
 
     def edge(i):
         return F.when(i >= bins, F.col("_hi")).otherwise(F.col("_lo") + i * step)
 
-    idx = (F.when(width == 0, F.lit(0))
-           .when(F.col("v") < edge(idx0), idx0 - 1)
+    idx = (F.when(F.col("v") < edge(idx0), idx0 - 1)
            .when((F.col("v") >= edge(idx0 + 1)) & (idx0 != bins - 1), idx0 + 1)
            .otherwise(idx0)).cast("int")
-    counted = j.withColumn("bin", idx).groupBy("metric", "bin", "_lo", "_hi", "median") \
-        .agg(F.count(F.lit(1)).alias("customers"))
+    counted = j.withColumn("bin", idx).groupBy("metric", "bin").agg(F.count(F.lit(1)).alias("customers"))
+    every = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     b = F.col("bin")
-    return counted.select(
+    return every.join(counted, ["metric", "bin"], "left").select(
         "metric", "bin",
         edge(b).alias("bin_lower"), edge(b + 1).alias("bin_upper"),
-        "customers", "median")
+        F.coalesce("customers", F.lit(0)).alias("customers"), "median")

@@ -24,18 +24,23 @@ from basketry.operators import evaluate, ranking
 # Feature list and NULL fills of the reference.
 CHURN_FEATURES = ["age", "loyalty_points", "tenure_days", "recency", "frequency", "monetary",
                   "rfm_score", "gender_enc", "region_enc", "segment_enc"]
+ATTRIBUTES = ["segment", "region", "is_churned"]
 CATEGORY_FILLS = {"gender": "Unknown", "region": "Unknown", "segment": "Regular"}
 
 
 def engineer_features(customer_360: DataFrame, label: str = "is_churned") -> DataFrame:
     """NULL fills, label-encode gender/region/segment alphabetically, drop
-    incomplete rows.  Returns id, the 10 features and ``label``."""
-    df = customer_360.fillna(CATEGORY_FILLS)
-    for c in CATEGORY_FILLS:
-        df = StringIndexer(inputCol=c, outputCol=f"{c}_enc", stringOrderType="alphabetAsc") \
-            .fit(df).transform(df)
+    incomplete rows.  Returns id, the 10 features, ``label`` and the customer's own
+    segment, region and is_churned, which the score table shows (M22)."""
+    shown = [F.col(c).alias(f"_{c}") for c in ATTRIBUTES]
+    df = customer_360.select("*", *shown).fillna(CATEGORY_FILLS)
+    names = list(CATEGORY_FILLS)
+    # one pass over the table for all three encodings
+    df = StringIndexer(inputCols=names, outputCols=[f"{c}_enc" for c in names],
+                       stringOrderType="alphabetAsc").fit(df).transform(df)
     cols = [F.col(c).cast("double").alias(c) for c in CHURN_FEATURES]
-    return df.select("customer_id", *cols, F.col(label).cast("int").alias("label")) \
+    return df.select("customer_id", *cols, F.col(label).cast("int").alias("label"),
+                     *[F.col(f"_{c}").alias(c) for c in ATTRIBUTES]) \
         .dropna(subset=CHURN_FEATURES + ["label"])
 
 
@@ -51,10 +56,11 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "custome
     h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
     base = df.withColumn("_h", h)
     ranked = ranking.global_row_number(base, [F.col(label), F.col("_h"), F.col(id_col)], out="_rn")
-    sizes = base.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    before = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
+    # the ranked rows are a checkpoint: the input is not evaluated again.  A NULL label is a class too.
+    sizes = ranked.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_nc"))
+    before = Window.orderBy("_label").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_start", F.coalesce(F.sum("_nc").over(before), F.lit(0)))
-    j = ranked.join(F.broadcast(sizes), label)
+    j = ranked.join(F.broadcast(sizes), F.col(label).eqNullSafe(F.col("_label"))).drop("_label")
     n_test = F.call_function("div", F.col("_nc") * a + (b - 1), F.lit(b))
     return j.withColumn("split", F.when(F.col("_rn") - F.col("_start") <= n_test, "test")
                         .otherwise("train")).drop("_h", "_rn", "_nc", "_start")
@@ -104,8 +110,7 @@ def train_models(split: DataFrame, features=CHURN_FEATURES, seed: int = 42):
     def fit_and_score(name):
         model = pipes[name].fit(train)
         pred = with_scores(model.transform(test))
-        auc = evaluate.roc_auc(pred).first()["auc"]
-        ap = evaluate.average_precision(pred).first()["average_precision"]
+        auc, ap = evaluate.ranking_metrics(pred).first()
         f1 = evaluate.classification_report(pred).where(F.col("class") == "1").first()["f1_score"]
         return name, model, pred, (name, float(auc), float(ap), float(f1))
 
@@ -129,13 +134,16 @@ def feature_importance(model: PipelineModel, features=CHURN_FEATURES) -> DataFra
         .orderBy(F.col("importance").desc(), F.col("feature"))
 
 
-def score_customers(model: PipelineModel, featured: DataFrame, customer_360: DataFrame) -> DataFrame:
+def score_customers(model: PipelineModel, featured: DataFrame) -> DataFrame:
     """Score every customer (not only the test set), round 4, risk bins."""
-    pred = with_scores(model.transform(featured))
-    out = pred.select("customer_id", F.bround(F.col("score"), 4).alias("churn_probability"))
-    attrs = customer_360.select("customer_id", "segment", "region", "is_churned")
-    return attrs.join(out, "customer_id").withColumn(
-        "churn_risk", X.churn_risk_bin("churn_probability"))
+    return risk_scores(with_scores(model.transform(featured)))
+
+
+def risk_scores(scored: DataFrame) -> DataFrame:
+    """The score table of rows with ``score`` and the customer's attributes."""
+    return scored.select("customer_id", *ATTRIBUTES,
+                         F.bround(F.col("score"), 4).alias("churn_probability")) \
+        .withColumn("churn_risk", X.churn_risk_bin("churn_probability"))
 
 
 def run_churn_model(customer_360: DataFrame, seed: int = 42):
@@ -143,7 +151,7 @@ def run_churn_model(customer_360: DataFrame, seed: int = 42):
     featured = engineer_features(customer_360).persist()
     split = stratified_split(featured, seed=seed)
     metrics, fitted, best, preds = train_models(split, seed=seed)
-    scores = score_customers(fitted[best], featured, customer_360)
+    scores = score_customers(fitted[best], featured)
     return {"metrics": metrics, "models": fitted, "best": best, "scores": scores,
             "importance": feature_importance(fitted["Random Forest"]), "split": split,
             # M20 / M21 per model on the test split (the reference's plots).
@@ -152,7 +160,10 @@ def run_churn_model(customer_360: DataFrame, seed: int = 42):
 
 
 def churn_gen1(rfm: DataFrame, seed: int = 42):
-    """E9 churn: label recency > 180, RFM features, 100 trees of maximum depth."""
+    """E9 churn: label recency > 180, RFM features, 100 trees.
+
+    The reference grows its trees without a depth limit; Spark's limit is 30.
+    """
     feats = ["recency", "frequency", "monetary"]
     df = rfm.select("customer_id", *[F.col(c).cast("double").alias(c) for c in feats],
                     X.recency_churn_label("recency").alias("label")).dropna()

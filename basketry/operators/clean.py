@@ -1,9 +1,10 @@
 """Cleaning and filters (survey C1-C12).
 
-``dedup_first`` keeps the first row per key as an aggregation
-(``min_by(row, order)``) rather than a ``row_number`` window: partial
+``dedup_first`` keeps the first row per key as an aggregation (the minimum of
+one struct, order columns first) rather than a ``row_number`` window: partial
 aggregation runs map side, so a key repeated a billion times still leaves
-one row per map task, and no task has to buffer a whole key group.
+one row per map task, and no task has to buffer a whole key group.  Spark
+aggregates structs by sorting, not hashing; the row is held once.
 """
 
 from __future__ import annotations
@@ -22,13 +23,11 @@ def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -
     pandas groups NULL keys together as one key; so does ``groupBy``.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    others = [c for c in df.columns if c not in keys]
     # The declared order first (readers make ingest_seq unique), then the rest
     # of the row, so the kept row is deterministic even on exact ties.
-    ordering = F.struct(*[F.col(c) for c in order],
-                        *[F.col(c) for c in others if c not in order])
-    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in others]), ordering)
-                                 .alias("_first"))
+    first = [c for c in order if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in first]
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*first, *rest)).alias("_first"))
     return kept.select(*keys, "_first.*").select(*df.columns)
 
 
@@ -116,20 +115,12 @@ def clean_gen1(customers: DataFrame, transactions: DataFrame):
     return c, t
 
 
-def exclude_returns(df: DataFrame, col: str = "is_returned") -> DataFrame:
-    """C10."""
-    return df.where(F.col(col) == 0)
-
-
-def drop_incomplete(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """C11: ``dropna(subset=features)``."""
-    return df.dropna(subset=list(features))
-
-
 def apply_slicers(transactions: DataFrame, customers: DataFrame | None = None, *,
                   date_from=None, date_to=None, regions=None, segments=None,
-                  categories=None, channels=None) -> DataFrame:
-    """BI slicers as filters.  Customer attributes filter via a semi join."""
+                  categories=None, channels=None, risks=None,
+                  risk_scores: DataFrame | None = None) -> DataFrame:
+    """BI slicers as filters.  Customer attributes filter via a semi join,
+    as does the churn risk (``risk_scores``: customer_id, churn_risk)."""
     t = transactions
     if date_from is not None:
         t = t.where(F.col("transaction_date") >= X.as_date(date_from))
@@ -146,4 +137,7 @@ def apply_slicers(transactions: DataFrame, customers: DataFrame | None = None, *
         if segments:
             c = c.where(F.col("segment").isin(list(segments)))
         t = t.join(c.select("customer_id"), "customer_id", "left_semi")
+    if risks:
+        at_risk = risk_scores.where(F.col("churn_risk").isin(list(risks)))
+        t = t.join(at_risk.select("customer_id"), "customer_id", "left_semi")
     return t

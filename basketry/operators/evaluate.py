@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators import ranking
+from basketry.operators.frames import combine_rows
 
 
 def score_counts(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -30,9 +31,18 @@ def score_counts(scored: DataFrame, label: str = "label", score: str = "score")
                                  with_totals=True)
 
 
+def ranking_metrics(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """M17 and M18 from one count per score: one row, ``auc`` and ``average_precision``."""
+    c = score_counts(scored, label, score)
+    return combine_rows(_auc(c), _average_precision(c, 10))
+
+
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One row, ``auc``."""
-    c = score_counts(scored, label, score)
+    return _auc(score_counts(scored, label, score))
+
+
+def _auc(c: DataFrame) -> DataFrame:
     # fp_s * (2 * TP strictly above s + tp_s), exact integers.
     term = F.col("fp").cast("decimal(38,0)") * (2 * (F.col("cum_tp") - F.col("tp")) + F.col("tp"))
     agg = c.agg(F.sum(term).alias("_num"), F.sum("tp").alias("_P"), F.sum("fp").alias("_N"))
@@ -45,7 +55,10 @@ def average_precision(scored: DataFrame, label: str = "label", score: str = "sco
                       digits: int = 10) -> DataFrame:
     """One row, ``average_precision`` (rounded to ``digits`` so that the float
     summation order of a distributed sum does not show)."""
-    c = score_counts(scored, label, score)
+    return _average_precision(score_counts(scored, label, score), digits)
+
+
+def _average_precision(c: DataFrame, digits: int) -> DataFrame:
     precision = F.col("cum_tp").cast("double") / (F.col("cum_tp") + F.col("cum_fp")).cast("double")
     agg = c.agg(F.sum(F.col("tp").cast("double") * precision).alias("_s"), F.sum("tp").alias("_P"))
     return agg.select(F.when(F.col("_P") > 0, F.round(F.col("_s") / F.col("_P").cast("double"),

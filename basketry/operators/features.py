@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import exprs as X
 from basketry.operators import ranking
+from basketry.session import ensure_checkpoint_dir
 
 
 def revenue(price_col: str = "final_amount") -> F.Column:
@@ -83,7 +84,10 @@ def rfm_quantile_scores(rfm: DataFrame, q: int = 5) -> DataFrame:
     ``qcut(rank(method="first"))``, whose edges sit at 1 + i (n - 1) / q,
     compared exactly in integers.
     """
-    # Already checkpointed inside: edges and F ranks read the same rows.
+    # One transaction aggregate for the ranking and the final join; ranks are
+    # checkpointed inside, so edges and F ranks read the same rows.
+    ensure_checkpoint_dir(rfm.sparkSession)
+    rfm = rfm.checkpoint(eager=True)
     ranked = ranking.stacked_ranks(rfm, "customer_id", ["recency", "monetary", "frequency"])
     edges = ranking.quantiles_from_ranks(ranked.where(F.col("_dim") < 2),
                                          [i / q for i in range(q + 1)])
@@ -120,11 +124,13 @@ def rfm_ntile_scores(base: DataFrame, buckets: int = 5) -> DataFrame:
                                                     ("f_score", "frequency", False),
                                                     ("m_score", "monetary", False)], buckets)
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
-    return s.withColumn("rfm_total", total.cast("int")).withColumn("rfm_segment", X.rfm_segment(total))
+    return s.withColumn("rfm_total", total.cast("int")).withColumn("rfm_segment", X.rfm_segment(total)) \
+        .orderBy(F.desc("rfm_total"), "customer_id")
 
 
 def rfm_segment_counts(scores: DataFrame, segment_col: str = "rfm_segment") -> DataFrame:
-    return scores.groupBy(segment_col).agg(F.count(F.lit(1)).alias("customers"))
+    return scores.groupBy(segment_col).agg(F.count(F.lit(1)).alias("customers")) \
+        .orderBy(F.desc("customers"), segment_col)
 
 
 # ---------------------------------------------------------------------------

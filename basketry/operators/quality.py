@@ -1,8 +1,7 @@
 """Data-quality validation (survey Q1-Q8).
 
-Each table is checked in a single pass grouped by its key: every rule is one
-``count_if`` and key uniqueness falls out of the per-key row count (after a
-dedup the input is already partitioned by that key, so no extra shuffle).
+The row rules of a table are one global aggregate (one ``count_if`` each, summed
+map side); only key uniqueness groups by the key, one count per row.
 The orphan check is one anti join.  The result is a small DataFrame
 (check, violations, passed) instead of log lines, closed by an
 ``all_checks`` verdict row.
@@ -27,19 +26,20 @@ def _stack(one_row: DataFrame) -> DataFrame:
         .unpivot([], cols, "check", "violations")
 
 
+def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
+    """Q7: number of key values that occur more than once."""
+    dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return dup.agg(F.count(F.lit(1)).cast("bigint").alias("violations")) \
+        .select(F.lit(f"duplicate_{key}").alias("check"), "violations")
+
+
 def _keyed_checks(df: DataFrame, key: str, rules: dict) -> DataFrame:
-    """All row rules plus key uniqueness in one pass.
+    """Rule name -> violating rows, ``duplicate_<key>`` -> keys held by more than one row.
 
-    Rows are first reduced per key (partial aggregation; after a dedup the
-    input is already partitioned by the key, so this adds no shuffle), then
-    summed into one row: rule name -> violating rows, ``duplicate_<key>`` ->
-    keys held by more than one row.
+    The rules shuffle one partial row per task; the key shuffle carries keys and counts only.
     """
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"),
-                                  *[F.count_if(cond).alias(name) for name, cond in rules.items()])
-    one = per_key.agg(*[F.sum(name).alias(name) for name in rules],
-                      F.count_if(F.col("_rows") > 1).alias(f"duplicate_{key}"))
-    return _stack(one)
+    one = df.agg(*[F.count_if(cond).alias(name) for name, cond in rules.items()])
+    return _stack(one).unionByName(duplicate_keys(df, key))
 
 
 def customer_rules() -> dict:
@@ -79,13 +79,6 @@ def orphan_transactions(transactions: DataFrame, customers: DataFrame) -> DataFr
     return transactions.join(customers.select("customer_id"), "customer_id", "left_anti")
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Q7: number of key values that occur more than once."""
-    dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    return dup.agg(F.count(F.lit(1)).cast("bigint").alias("violations")) \
-        .select(F.lit(f"duplicate_{key}").alias("check"), "violations")
-
-
 def quality_report(customers: DataFrame, transactions: DataFrame,
                    materialize: bool = True) -> DataFrame:
     """Q6: every check with its violation count and a pass flag, plus the verdict row.

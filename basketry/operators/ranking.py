@@ -116,9 +116,15 @@ def global_ntiles(df: DataFrame, id_col: str, specs, buckets: int,
     sizes = ranked.groupBy("_w").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_start"))
     nt = ranked.join(F.broadcast(sizes), "_w").withColumn(
         "_nt", ntile_from_rank(F.col("_rn") - F.col("_start") + 1, F.col("_n"), buckets))
-    wide = nt.groupBy("_id").agg(*[F.max(F.when(F.col("_w") == i, F.col("_nt"))).alias(out)
-                                   for i, (out, _, _) in enumerate(specs)])
-    return df.join(wide, df[id_col] == wide["_id"]).drop("_id")
+    ntiles = [F.max(F.when(F.col("_w") == i, F.col("_nt"))).alias(out) for i, (out, _, _) in enumerate(specs)]
+    columns = [c for _, c, _ in specs]
+    if set(df.columns) == {id_col, *columns}:
+        # the ranked rows hold every column: pivot them back, no second look at ``df``
+        keys = [F.max(F.when(F.col("_w") == i, -F.col("_k") if desc else F.col("_k"))).cast(df.schema[c].dataType).alias(c)
+                for i, (_, c, desc) in enumerate(specs)]
+        return nt.groupBy(F.col("_id").alias(id_col)).agg(*keys, *ntiles).select(*df.columns, *[o for o, _, _ in specs])
+    wide = nt.groupBy("_id").agg(*ntiles)
+    return df.join(wide, df[id_col].eqNullSafe(wide["_id"])).drop("_id")   # a NULL id is a group of its own
 
 
 def _position_aggs(probs, prefix: str):
@@ -173,7 +179,8 @@ def grouped_exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequen
     ranked = global_row_number(vals, [F.col("_g"), F.col("_v"), F.col("_tb")], out="_rn",
                                parts=parts)
     sizes = ranked.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_start"))
-    local = ranked.join(sizes, "_g").withColumn("_r", F.col("_rn") - F.col("_start") + 1)
+    # callers' groups are columns and metrics: a handful of rows, never a data-sized key
+    local = ranked.join(F.broadcast(sizes), "_g").withColumn("_r", F.col("_rn") - F.col("_start") + 1)
     aggs, needed = _position_aggs(probs, prefix)
     picked = local.where(needed).groupBy("_g").agg(*aggs, F.max("_n").alias(f"{prefix}_n"))
     return picked.withColumnRenamed("_g", group)

@@ -142,7 +142,8 @@ def monthly_revenue(transactions: DataFrame) -> DataFrame:
                     _money("_rev").alias("revenue"),
                     _avg_money("_fin", "_nf").alias("avg_order_value"),
                     RR(F.col("_rat"), F.col("_nrat"), 2).alias("avg_rating"),
-                    _pct("_ret", "_nret").alias("return_rate_pct"))
+                    _pct("_ret", "_nret").alias("return_rate_pct")) \
+        .orderBy("year", "month")
 
 
 def category_performance(transactions: DataFrame) -> DataFrame:
@@ -156,7 +157,8 @@ def category_performance(transactions: DataFrame) -> DataFrame:
                     _avg_money("_disc", "_ndisc").alias("avg_discount_pct"),
                     RR(F.col("_rat"), F.col("_nrat"), 2).alias("avg_rating"),
                     _pct("_ret", "_nret").alias("return_rate_pct"),
-                    RR(F.col("_rev") * 100, F.col("_total"), 2).alias("revenue_share_pct"))
+                    RR(F.col("_rev") * 100, F.col("_total"), 2).alias("revenue_share_pct")) \
+        .orderBy(F.desc_nulls_last("total_revenue"), "product_category")
 
 
 def channel_performance(transactions: DataFrame) -> DataFrame:
@@ -169,7 +171,8 @@ def channel_performance(transactions: DataFrame) -> DataFrame:
                     _avg_money("_disc", "_ndisc").alias("avg_discount"),
                     RR(F.col("_rat"), F.col("_nrat"), 2).alias("avg_rating"),
                     _pct("_ret", "_nret").alias("return_rate_pct"),
-                    RR(F.col("_n") * 100, F.col("_total"), 2).alias("volume_share_pct"))
+                    RR(F.col("_n") * 100, F.col("_total"), 2).alias("volume_share_pct")) \
+        .orderBy(F.desc_nulls_last("total_revenue"), "channel")
 
 
 def payment_methods(transactions: DataFrame) -> DataFrame:
@@ -179,7 +182,8 @@ def payment_methods(transactions: DataFrame) -> DataFrame:
                     _money("_rev").alias("total_revenue"),
                     _avg_money("_fin", "_nf").alias("avg_transaction_value"),
                     _avg_money("_disc", "_ndisc").alias("avg_discount"),
-                    _pct("_ret", "_nret").alias("return_rate_pct"))
+                    _pct("_ret", "_nret").alias("return_rate_pct")) \
+        .orderBy(F.desc_nulls_last("total_revenue"), "payment_method")
 
 
 def weekend_weekday(transactions: DataFrame) -> DataFrame:
@@ -189,7 +193,8 @@ def weekend_weekday(transactions: DataFrame) -> DataFrame:
     return g.select("day_type", F.col("_n").alias("transaction_count"),
                     _money("_rev").alias("total_revenue"),
                     _avg_money("_fin", "_nf").alias("avg_order_value"),
-                    RR(F.col("_rat"), F.col("_nrat"), 2).alias("avg_rating"))
+                    RR(F.col("_rat"), F.col("_nrat"), 2).alias("avg_rating")) \
+        .orderBy(F.desc_nulls_last("total_revenue"), "day_type")
 
 
 # ---------------------------------------------------------------------------
@@ -227,7 +232,8 @@ def segment_analysis(customers: DataFrame, transactions: DataFrame) -> DataFrame
                     _avg_money("_fin", "_nf").alias("avg_order_value"),
                     F.col("_n").alias("total_transactions"),
                     _pct("_ch", "_nch").alias("churn_rate_pct"),
-                    RR(F.col("_rat"), F.col("_nrat"), 2).alias("avg_rating"))
+                    RR(F.col("_rat"), F.col("_nrat"), 2).alias("avg_rating")) \
+        .orderBy(F.desc_nulls_last("total_revenue"), "segment")
 
 
 def regional_performance(customers: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -238,7 +244,8 @@ def regional_performance(customers: DataFrame, transactions: DataFrame) -> DataF
                     _money("_rev").alias("total_revenue"),
                     _avg_money("_fin", "_nf").alias("avg_order_value"),
                     _pct("_ch", "_nch").alias("churn_rate_pct"),
-                    RR(F.col("_rat"), F.col("_nrat"), 2).alias("avg_rating"))
+                    RR(F.col("_rat"), F.col("_nrat"), 2).alias("avg_rating")) \
+        .orderBy(F.desc_nulls_last("total_revenue"), "region")
 
 
 def churn_risk_flags(customers: DataFrame, transactions: DataFrame, snapshot) -> DataFrame:
@@ -252,7 +259,8 @@ def churn_risk_flags(customers: DataFrame, transactions: DataFrame, snapshot) ->
         F.coalesce(F.col("n_txn"), F.lit(0)).alias("total_transactions"),
         RR(F.col("rating_sum"), F.col("n_rating"), 2).alias("avg_rating"),
         "loyalty_points", "is_churned",
-        X.idle_risk_flag(days).alias("churn_risk_flag"))
+        X.idle_risk_flag(days).alias("churn_risk_flag")) \
+        .orderBy(F.desc_nulls_last("days_since_last_purchase"), "customer_id")
 
 
 def top_customers_ltv(customers: DataFrame, transactions: DataFrame, n: int = 20) -> DataFrame:
@@ -288,7 +296,8 @@ def cohort_first_purchase(transactions: DataFrame) -> DataFrame:
     cohorts = active.withColumn("_coh", F.min("_act").over(first))
     g = cohorts.groupBy("_coh", "_act").agg(F.count("customer_id").alias("active_customers"))
     return g.select(X.month_key("_coh").alias("cohort_month"),
-                    X.month_key("_act").alias("activity_month"), "active_customers")
+                    X.month_key("_act").alias("activity_month"), "active_customers") \
+        .orderBy("cohort_month", "activity_month")
 
 
 def cohort_join_month(customers: DataFrame, transactions: DataFrame,
@@ -300,7 +309,8 @@ def cohort_join_month(customers: DataFrame, transactions: DataFrame,
     j = c.join(active, "customer_id")
     g = j.groupBy("_coh", "_act").agg(F.count_distinct("customer_id").alias("active_customers"))
     return g.select(X.month_key("_coh").alias("cohort_month"),
-                    X.month_key("_act").alias("activity_month"), "active_customers")
+                    X.month_key("_act").alias("activity_month"), "active_customers") \
+        .orderBy("cohort_month", "activity_month")
 
 
 # ---------------------------------------------------------------------------
@@ -312,7 +322,8 @@ def monthly_revenue_net(transactions: DataFrame) -> DataFrame:
     g = _txn_sums(t, ["_m"], price_col="amount")
     return g.select(X.month_key("_m").alias("month"), F.col("_n").alias("total_orders"),
                     _money("_rev").alias("total_revenue"),
-                    _avg_money("_fin", "_nf", 6).alias("avg_order_value"))
+                    _avg_money("_fin", "_nf", 6).alias("avg_order_value")) \
+        .orderBy("month")
 
 
 def top_customers_revenue(customers: DataFrame, transactions: DataFrame, n: int = 10) -> DataFrame:
@@ -325,13 +336,21 @@ def top_customers_revenue(customers: DataFrame, transactions: DataFrame, n: int
     return out.orderBy(F.col("lifetime_value").desc_nulls_last(), F.col("customer_id")).limit(n)
 
 
+def category_channel(transactions: DataFrame) -> DataFrame:
+    """Revenue by category and channel, for sliced transactions."""
+    return _txn_sums(transactions, ["product_category", "channel"]).select(
+        "product_category", "channel", F.col("_n").alias("transactions"),
+        _money("_rev").alias("revenue"))
+
+
 def category_returns(transactions: DataFrame) -> DataFrame:
     """R6 (gen 1): SUM(returned) as a count of returns."""
     g = _txn_sums(transactions, ["category"], price_col="amount")
     return g.select("category", F.col("_rows").alias("transactions"),
                     _money("_rev").alias("revenue"),
                     _avg_money("_fin", "_nf").alias("avg_amount"),
-                    F.col("_ret").alias("returns"))
+                    F.col("_ret").alias("returns")) \
+        .orderBy(F.desc_nulls_last("revenue"), "category")
 
 
 def churn_risk_having(transactions: DataFrame, as_of, idle_days: int = 180) -> DataFrame:
@@ -343,7 +362,8 @@ def churn_risk_having(transactions: DataFrame, as_of, idle_days: int = 180) -> D
     days = X.date_days_between(X.as_date(as_of), F.col("last_purchase"))
     return g.select("customer_id", "last_purchase", days.alias("days_since_purchase"),
                     "total_orders", _money("_rev").alias("total_spent")) \
-        .where(F.col("days_since_purchase") > idle_days)
+        .where(F.col("days_since_purchase") > idle_days) \
+        .orderBy(F.desc_nulls_last("total_spent"), "customer_id")
 
 
 def segment_return_rate(customers: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -372,7 +392,8 @@ def monthly_excel(transactions: DataFrame) -> DataFrame:
     return g.select(X.month_key("_m").alias("month"),
                     RR(F.col("_rev"), F.lit(100), 2, "half_even").alias("revenue"),
                     "transactions",
-                    RR(F.col("_fin"), F.col("_nf") * 100, 2, "half_even").alias("avg_order_value"))
+                    RR(F.col("_fin"), F.col("_nf") * 100, 2, "half_even").alias("avg_order_value")) \
+        .orderBy("month")
 
 
 def category_chart(transactions: DataFrame) -> DataFrame:
@@ -386,7 +407,52 @@ def category_chart(transactions: DataFrame) -> DataFrame:
     return g.select("product_category", (F.col("_rev").cast("double") / 100.0).alias("revenue"),
                     "transactions",
                     X.mean_double(F.col("_rat"), F.col("_nrat")).alias("avg_rating"),
-                    X.mean_double(F.col("_ret"), F.col("_nret")).alias("return_rate"))
+                    X.mean_double(F.col("_ret"), F.col("_nret")).alias("return_rate")) \
+        .orderBy(F.desc("revenue"), "product_category")
+
+
+def excel_category(transactions: DataFrame) -> DataFrame:
+    """R7, workbook form: figures rounded to two digits (half-even), return rate in percent."""
+    t = transactions.where(F.col("product_category").isNotNull())
+    g = t.groupBy("product_category").agg(
+        F.coalesce(F.sum(X.cents(F.col("revenue"))), F.lit(0)).alias("_rev"),
+        F.count("transaction_id").alias("orders"),
+        F.sum(X.cents(F.col("final_amount"))).alias("_fin"), F.count("final_amount").alias("_nf"),
+        F.sum("rating").alias("_rat"), F.count("rating").alias("_nrat"),
+        F.sum("is_returned").alias("_ret"), F.count("is_returned").alias("_nret"))
+    he = "half_even"
+    return g.select(F.col("product_category").alias("category"),
+                    RR(F.col("_rev"), F.lit(100), 2, he).alias("revenue"), "orders",
+                    _avg_money("_fin", "_nf", 2, he).alias("avg_value"),
+                    RR(F.col("_rat"), F.col("_nrat"), 2, he).alias("avg_rating"),
+                    RR(F.col("_ret") * 100, F.col("_nret"), 2, he).alias("return_rate_pct")) \
+        .orderBy(F.desc("revenue"), "category")
+
+
+EXCEL_KPIS = ["Total Customers", "Total Transactions", "Total Revenue", "Avg Order Value",
+              "Avg Rating", "Churn Rate", "Return Rate", "Active Customers"]
+
+
+def excel_kpis(customers: DataFrame, transactions: DataFrame) -> DataFrame:
+    """K3: the workbook's eight cards as numbers, in the digits the cards show (half-even)."""
+    c = customers.agg(
+        F.count(F.lit(1)).alias("_nc"), F.sum("is_churned").alias("_ch"),
+        F.count("is_churned").alias("_nch"), F.count_if(F.col("is_churned") == 0).alias("_active"))
+    t = transactions.agg(
+        F.count(F.lit(1)).alias("_nt"), F.coalesce(F.sum(X.cents(revenue())), F.lit(0)).alias("_rev"),
+        F.sum(X.cents(F.col("final_amount"))).alias("_fin"), F.count("final_amount").alias("_nf"),
+        F.sum("is_returned").alias("_ret"), F.count("is_returned").alias("_nret"),
+        F.sum("rating").alias("_rat"), F.count("rating").alias("_nrat"))
+    he = "half_even"
+    values = [F.col("_nc").cast("double"), F.col("_nt").cast("double"),
+              RR(F.col("_rev"), F.lit(100), 0, he), _avg_money("_fin", "_nf", 2, he),
+              RR(F.col("_rat"), F.col("_nrat"), 2, he),
+              RR(F.col("_ch") * 100, F.col("_nch"), 1, he),
+              RR(F.col("_ret") * 100, F.col("_nret"), 1, he), F.col("_active").cast("double")]
+    one = combine_rows(c, t).select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("KPI"), v.alias("Value"))
+        for name, v in zip(EXCEL_KPIS, values, strict=True)])).alias("kv"))
+    return one.select("kv.KPI", "kv.Value")
 
 
 def channel_share(transactions: DataFrame) -> DataFrame:

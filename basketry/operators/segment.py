@@ -29,7 +29,7 @@ from basketry.operators import ranking
 # Feature lists and segment names of the reference.
 SEGMENT_FEATURES = ["recency", "frequency", "monetary", "age", "loyalty_points", "tenure_days"]
 GEN1_FEATURES = ["recency", "frequency", "monetary"]
-ROWS_PER_PARTITION = 500_000
+SWEEP_ITERATIONS = 300      # of the k sweep; the final fit takes up to 500
 CLUSTER_LABELS = ["High-Value Champions", "Loyal Mid-Tier", "Price-Sensitive Bargain Hunters",
                   "Dormant / At-Risk"]
 
@@ -47,13 +47,7 @@ def prepare_features(customer_360: DataFrame, features=SEGMENT_FEATURES,
         VectorAssembler(inputCols=list(features), outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)])
     model = pipe.fit(data)
-    base = model.transform(data).drop("raw_features").persist()
-    n = base.count()                              # also fills the cache
-    # Each KMeans iteration is one job over this frame; read the cache in
-    # about ROWS_PER_PARTITION rows per task (coalesce never adds partitions,
-    # so large inputs keep their parallelism).
-    scaled = base.coalesce(max(1, -(-n // ROWS_PER_PARTITION)))
-    return scaled, model
+    return model.transform(data).drop("raw_features").persist(), model
 
 
 def fit_kmeans(scaled: DataFrame, k: int, n_init: int = 10, max_iter: int = 500,
@@ -74,7 +68,7 @@ def silhouette(assigned: DataFrame) -> float:
                                distanceMeasure="squaredEuclidean").evaluate(assigned)
 
 
-def k_sweep(scaled: DataFrame, ks=range(2, 9), n_init: int = 10, max_iter: int = 500,
+def k_sweep(scaled: DataFrame, ks=range(2, 9), n_init: int = 10, max_iter: int = SWEEP_ITERATIONS,
             seed: int = 42) -> DataFrame:
     """M3: (k, inertia, silhouette) for every k; ``best_k`` picks the max silhouette."""
     rows = []
@@ -152,7 +146,7 @@ def run_segmentation(customer_360: DataFrame, ks=range(2, 9), n_init: int = 10,
                      max_iter: int = 500, seed: int = 42):
     """Features -> sweep -> final fit -> labels (+ summary, PCA, profile)."""
     scaled, scaler = prepare_features(customer_360)
-    sweep = k_sweep(scaled, ks, n_init=n_init, max_iter=max_iter, seed=seed)
+    sweep = k_sweep(scaled, ks, n_init=n_init, max_iter=min(max_iter, SWEEP_ITERATIONS), seed=seed)
     k = best_k(sweep)
     model = fit_kmeans(scaled, k, n_init=n_init, max_iter=max_iter, seed=seed)
     assigned = model.transform(scaled)

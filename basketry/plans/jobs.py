@@ -15,20 +15,19 @@ from basketry.operators import bi, churn, clean, features, quality, reports, seg
 from basketry.session import ensure_checkpoint_dir
 from basketry.sources import writers as W
 
-SNAPSHOT = "2001-08-02"
-TENURE_DATE = "2001-08-01"
-
 
 def _stable(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def run_etl(raw_customers: DataFrame, raw_transactions: DataFrame, out_dir: str | None = None,
-            snapshot=SNAPSHOT, tenure_date=TENURE_DATE, fmt: str = "parquet",
-            fail_on_issues: bool = False) -> dict:
+def run_etl(raw_customers: DataFrame, raw_transactions: DataFrame, out_dir: str | None = None, *,
+            snapshot, tenure_date, fmt: str = "parquet", fail_on_issues: bool = False) -> dict:
     """Clean -> RFM -> validate -> load.  A failed validation is reported and,
-    as in the reference, does not stop the load unless ``fail_on_issues``."""
+    as in the reference, does not stop the load unless ``fail_on_issues``.
+
+    ``snapshot`` (recency) and ``tenure_date`` belong to the data, so they have no default.
+    """
     customers = _stable(clean.clean_customers(raw_customers, tenure_date))
     transactions = _stable(clean.clean_transactions(raw_transactions))
     counts = {"customers": clean.row_counts(raw_customers, customers),
@@ -134,17 +133,18 @@ def run_dashboard(customers: DataFrame, transactions: DataFrame, rfm: DataFrame,
 def excel_tables(customers: DataFrame, transactions: DataFrame) -> dict[str, DataFrame]:
     """The four workbook tables (KPI cards, monthly revenue, segments, categories)."""
     return {
-        "kpi": reports.kpi_customer_weighted(customers, transactions),
+        "kpi": reports.excel_kpis(customers, transactions),
         "revenue": reports.monthly_excel(transactions),
         "segments": reports.segment_customers(customers),
-        "categories": reports.category_chart(transactions),
+        "categories": reports.excel_category(transactions),
     }
 
 
 def run_all(spark: SparkSession, raw_customers: DataFrame, raw_transactions: DataFrame,
-            out_dir: str, **model_kw) -> dict:
+            out_dir: str, *, snapshot, tenure_date, **model_kw) -> dict:
     """ETL -> segmentation -> churn -> dashboard on one session."""
-    etl = run_etl(raw_customers, raw_transactions, f"{out_dir}/processed")
+    etl = run_etl(raw_customers, raw_transactions, f"{out_dir}/processed",
+                  snapshot=snapshot, tenure_date=tenure_date)
     seg = run_segmentation(etl["customer_360"], f"{out_dir}/segments", **model_kw)
     ch = run_churn(etl["customer_360"], f"{out_dir}/churn")
     dash = run_dashboard(etl["customers"], etl["transactions"], etl["rfm"], f"{out_dir}/exports")

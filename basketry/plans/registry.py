@@ -13,10 +13,12 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from basketry.functions import exprs as X
 from basketry.operators import bi, churn, clean, evaluate, features, quality, reports, segment
 from basketry.sources import tables as T
 from basketry.sources import writers as W
@@ -36,47 +38,36 @@ def finalize(df: DataFrame) -> DataFrame:
 class Sources:
     """The loaded input tables of one data folder, shared by all queries of a session.
 
-    Like the reference, which reads its CSVs into memory once and runs every
-    report on the loaded frames, the mapped tables are persisted
-    (MEMORY_AND_DISK: blocks that do not fit spill; lost blocks are rebuilt
-    from the parquet lineage).  Operator work on top is never cached.
+    By default each query scans the parquet tables itself, so column pruning
+    and filter pushdown reach the scan.  ``BASKETRY_CACHE_SOURCES=1`` persists
+    the mapped tables instead (MEMORY_AND_DISK), for many reports in one
+    session on data that fits.  Operator work on top is never cached.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    def _load(self, df: DataFrame, base_table: str) -> DataFrame:
-        if not CACHE_SOURCES:
-            return df
-        # Small inputs can arrive as one parquet row group = one task; spread
-        # them over the cores once.  Large inputs already have more splits
-        # than cores and are left as they are (no extra shuffle).  The split
-        # count is read from the plain scan of the base table, which plans
-        # without running anything (the joined plan would run its stages).
-        cores = self.spark.sparkContext.defaultParallelism
-        scan = T.read_table(self.spark, self.sf_dir, base_table)
-        if scan.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    def _load(self, df: DataFrame) -> DataFrame:
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if CACHE_SOURCES else df
 
     @cached_property
     def customers(self) -> DataFrame:
-        return self._load(T.customers(self.spark, self.sf_dir), "customer")
+        return self._load(T.customers(self.spark, self.sf_dir))
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return self._load(T.transactions(self.spark, self.sf_dir), "lineitem")
+        return self._load(T.transactions(self.spark, self.sf_dir))
 
     @cached_property
     def raw_customers(self) -> DataFrame:
-        return self._load(T.raw_customers(self.spark, self.sf_dir), "customer")
+        return self._load(T.raw_customers(self.spark, self.sf_dir))
 
     @cached_property
     def raw_transactions(self) -> DataFrame:
-        return self._load(T.raw_transactions(self.spark, self.sf_dir), "lineitem")
+        return self._load(T.raw_transactions(self.spark, self.sf_dir))
 
 
-CACHE_SOURCES = os.environ.get("BASKETRY_CACHE_SOURCES", "1") == "1"
+CACHE_SOURCES = os.environ.get("BASKETRY_CACHE_SOURCES", "0") == "1"
 _SOURCES: dict = {}
 
 
@@ -160,7 +151,7 @@ class Inputs:
 
     def memo(self, key: str, build):
         """Fitted models are reused across the queries of one session and folder."""
-        slot = (id(self.spark), self.sf_dir, key)
+        slot = (self.spark.sparkContext.applicationId, self.sf_dir, key)
         if slot not in _MODEL_MEMO:
             _MODEL_MEMO[slot] = build()
         return _MODEL_MEMO[slot]
@@ -173,6 +164,20 @@ class Inputs:
     def churn_run(self) -> dict:
         return self.memo("churn", lambda: churn.run_churn_model(self.customer_360))
 
+    @cached_property
+    def idle_risk(self) -> DataFrame:
+        """Churn score table (M22) of a fixed probability, d / (d + 180) of the days idle."""
+        d = F.col("days_since_last_purchase").cast("double")
+        scored = self.activity.where(d.isNotNull()).withColumn("score", d / (d + 180.0))
+        return churn.risk_scores(scored)
+
+    @cached_property
+    def fixed_clusters(self) -> DataFrame:
+        """RFM points under a fixed assignment: the customer number modulo 4."""
+        number = F.substring("customer_id", 5, 20).cast("long")
+        return self.gen1_rfm.join(self.customers.select("customer_id", "loyalty_points"), "customer_id") \
+            .withColumn("cluster", (number % 4).cast("int"))
+
     @property
     def gen1_rfm(self) -> DataFrame:
         return features.rfm_gen1(self.gen1_transactions)
@@ -262,6 +267,28 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "eval_roc": lambda d: evaluate.roc_points(d.idle_scores),
     "eval_report": lambda d: evaluate.classification_report(d.idle_scores),
     "eval_confusion": lambda d: evaluate.confusion_matrix(d.idle_scores),
+    # workbook tables, risk prediction and model-job parts, on fixed scores and assignments
+    "excel_category": lambda d: reports.excel_category(d.transactions_featured),
+    "excel_kpis": lambda d: reports.excel_kpis(d.customers, d.transactions),
+    "null_profile": lambda d: quality.profile(
+        T.raw_gen1_transactions(d.spark, d.sf_dir).drop("ingest_seq"), "date"),
+    "churn_risk_scores": lambda d: d.idle_risk,
+    "risk_list": lambda d: bi.risk_list(d.idle_risk),
+    "high_risk_count": lambda d: bi.high_risk_count(d.idle_risk),
+    "sliced_by_risk": lambda d: reports.category_channel(clean.apply_slicers(
+        d.transactions, risks=["High Risk"], risk_scores=d.idle_risk)),
+    "cluster_names_fixed": lambda d: segment.label_clusters(d.fixed_clusters)
+    .select("customer_id", "cluster", "segment_label"),
+    "cluster_names_gen1_fixed": lambda d: segment.label_clusters_gen1(d.fixed_clusters)
+    .select("customer_id", "cluster", "segment_label"),
+    "cluster_summary_fixed": lambda d: segment.cluster_summary(segment.label_clusters(d.fixed_clusters)),
+    "cluster_profile_fixed": lambda d: rounded(
+        segment.cluster_profile(d.fixed_clusters, segment.GEN1_FEATURES), 6),
+    "gen1_churn_label": lambda d: d.gen1_rfm.select(
+        "customer_id", "recency", X.recency_churn_label("recency").alias("label")),
+    "standardised_features": lambda d: standardised(d.gen1_rfm),
+    "label_encoding": lambda d: churn.engineer_features(d.customer_360).select(
+        "customer_id", "gender_enc", "region_enc", "segment_enc", "label"),
     # MLlib jobs (no SQL oracle: rows-only check)
     "kmeans_k_sweep": lambda d: d.segmentation["sweep"],
     "kmeans_segments": lambda d: d.segmentation["segments"],
@@ -282,10 +309,20 @@ SLICE = dict(date_from="1996-01-01", date_to="1998-12-31", regions=["AMERICA", "
 
 def sliced_revenue(d: Inputs) -> DataFrame:
     """Revenue by category and channel under the dashboard slicers."""
-    t = clean.apply_slicers(d.transactions, d.customers, **SLICE)
-    return reports._txn_sums(t, ["product_category", "channel"]).select(
-        "product_category", "channel", F.col("_n").alias("transactions"),
-        reports._money("_rev").alias("revenue"))
+    return reports.category_channel(clean.apply_slicers(d.transactions, d.customers, **SLICE))
+
+
+def rounded(df: DataFrame, digits: int) -> DataFrame:
+    """Means of doubles, rounded so that the order of a distributed sum does not show."""
+    return df.select(*[F.round(f.name, digits).alias(f.name) if f.dataType.simpleString() == "double"
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def standardised(rfm: DataFrame) -> DataFrame:
+    """M1: the standardised RFM features as columns."""
+    scaled, _ = segment.prepare_features(rfm, segment.GEN1_FEATURES)
+    z = vector_to_array("features")
+    return scaled.select("customer_id", *[F.round(z[i], 6).alias(f"z_{c}") for i, c in enumerate(segment.GEN1_FEATURES)])
 
 
 def enriched_gen1(d: Inputs) -> DataFrame:

@@ -58,7 +58,11 @@ GEN1_TRANSACTION_SCHEMA = T.StructType([
 
 
 def with_ingest_seq(df: DataFrame) -> DataFrame:
-    return df.withColumn("ingest_seq", F.monotonically_increasing_id())
+    """File order: path, split, then row.  Spark packs splits into tasks by size, so the
+    row id alone would not follow the order of several files."""
+    return df.withColumn("ingest_seq", F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+        F.monotonically_increasing_id().alias("row")))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
@@ -99,9 +103,3 @@ def load_processed(spark: SparkSession, base_dir: str, fmt: str = "parquet",
         else:
             out[name] = spark.read.format(fmt).load(path)
     return out
-
-
-def register_views(tables: dict[str, DataFrame]) -> None:
-    """Expose frames to ``spark.sql`` under their names (replace semantics)."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)

@@ -27,7 +27,7 @@ def write_table(df: DataFrame, base: str, name: str, fmt: str = "parquet",
                          if isinstance(f.dataType, DecimalType) else F.col(f.name)
                          for f in df.schema.fields])
     if single_file:
-        df = df.coalesce(1)
+        df = df.repartition(1)       # coalesce(1) would run the aggregation itself in one task
     w = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         w = w.option("header", True)

@@ -47,7 +47,7 @@ def start_daily_refresh(spark: SparkSession, source_dir: str, target_dir: str,
     stream = spark.readStream.schema(TRANSACTION_SCHEMA).format(fmt).load(source_dir)
 
     def publish(batch: DataFrame, _epoch: int) -> None:
-        finish_daily(batch).coalesce(1).write.mode("overwrite").parquet(target_dir)
+        finish_daily(batch).repartition(1).write.mode("overwrite").parquet(target_dir)
 
     writer = (daily_partials(stream).writeStream.outputMode("complete")
               .option("checkpointLocation", checkpoint_dir).foreachBatch(publish))

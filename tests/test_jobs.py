@@ -26,7 +26,7 @@ def test_etl_from_csv(spark, inputs):
     writers.write_table(inputs.raw_transactions.drop("ingest_seq"), d, "raw_transactions", "csv",
                         single_file=True)
     c, t = readers.extract_data(spark, f"{d}/raw_customers", f"{d}/raw_transactions")
-    out = jobs.run_etl(c, t, f"{d}/processed")
+    out = jobs.run_etl(c, t, f"{d}/processed", snapshot="2001-08-02", tenure_date="2001-08-01")
     assert out["passed"] is False                      # orphans in the dirty fixture
     counts = out["row_counts"]["transactions"]         # C9 accounting
     assert counts["before"] - counts["removed"] == counts["after"] == out["transactions"].count()

@@ -50,6 +50,8 @@ CASES = {
     "category_performance": lambda c, t: reports.category_performance(t),
     "mom_growth": lambda c, t: bi.mom_growth(t),
     "revenue_by_segment_all": lambda c, t: bi.revenue_by_segment_all(c, t),
+    "rfm_ntile": lambda c, t: features.rfm_ntile_scores(features.rfm_sql_base(t, SNAPSHOT)),
+    "bi_measures": lambda c, t: bi.bi_measures(c, t),
     "churn_by_region": lambda c, t: bi.churn_by_region(c),
 }
 
