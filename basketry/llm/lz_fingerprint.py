@@ -175,7 +175,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = source.agg(F.percentile_approx("doc", [k / parts for k in range(1, parts)], 10 * parts)).first()[0] or []
-    splits = [-float("inf"), *sorted({float(c) for c in cuts}), float("inf")]
+    splits = [-float("inf"), *sorted({float(c) for c in cuts} or {0.0}), float("inf")]
     # nulls come after all ids, so they are the lowest range
     ranged = Bucketizer(splits=splits, inputCol="at", outputCol="part").transform(
         source.withColumn("at", F.col("doc").cast("double")).na.fill({"at": -1.7e308}))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import brown_lm, common, decontaminate, htmltree, lz_fingerprint, ngram_join, packing, quality_mil, secret_scan, string_kernel, suffix_dedup
+from basketry.llm import brown_lm, common, decontaminate, htmltree, lz_fingerprint, ngram_join, oracle, packing, quality_mil, secret_scan, string_kernel, suffix_dedup
 from basketry.llm.common import read_table
 
 
@@ -97,4 +97,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
