@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions import exprs as X
+from basketry.session import ensure_checkpoint_dir
 
 
 def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -31,6 +32,12 @@ def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -
     return kept.select(*keys, "_first.*").select(*df.columns)
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """The median and the result both read the deduplicated rows: sort them out once."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def median_value(df: DataFrame, col: str):
     """Exact median as a driver-side scalar (a one-row aggregate).
 
@@ -59,7 +66,7 @@ def row_counts(before: DataFrame, after: DataFrame) -> dict:
 def clean_customers(df: DataFrame, tenure_date, order: Sequence[str] = ("ingest_seq",)) -> DataFrame:
     """C6 = C1 -> C2 -> C3 -> C4 -> P11 -> P16 -> P10, in the reference's order."""
     order = [c for c in order if c in df.columns]
-    d = dedup_first(df, "customer_id", order) if order else dedup_first(df, "customer_id", [])
+    d = _once(dedup_first(df, "customer_id", order))
     med = median_value(d, "age")                       # after dedup, before the range filter
     d = d.withColumn("age", F.coalesce(F.col("age").cast("double"),
                                        F.lit(None if med is None else float(med))))
@@ -103,8 +110,8 @@ def clean_transactions(df: DataFrame,
 def clean_gen1(customers: DataFrame, transactions: DataFrame):
     """Dedup both, median-impute amount, quantity 1, keep amount > 0."""
     c = dedup_first(customers, "customer_id", [o for o in ("ingest_seq",) if o in customers.columns])
-    t = dedup_first(transactions, "transaction_id",
-                    [o for o in ("ingest_seq", "amount", "quantity") if o in transactions.columns])
+    t = _once(dedup_first(transactions, "transaction_id",
+                          [o for o in ("ingest_seq", "amount", "quantity") if o in transactions.columns]))
     med = median_high_cardinality(t, "amount")
     t = t.withColumn("amount", F.coalesce(F.col("amount").cast("double"),
                                           F.lit(None if med is None else float(med))))

@@ -186,6 +186,11 @@ class Inputs:
 _MODEL_MEMO: dict = {}
 
 
+def forget_models() -> None:
+    """Fit anew at the next call (benchmarks)."""
+    _MODEL_MEMO.clear()
+
+
 def _q(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return finalize(fn(Inputs(spark, sf_dir)))

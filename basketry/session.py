@@ -36,6 +36,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+               # files of checkpoints that nothing refers to any more are removed
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     if local:
