@@ -48,7 +48,8 @@ from basketry.llm import common as C
 #: Bytes handled at once; a longer text is cut into overlapping pieces.
 PIECE = 1 << 20
 FULL, SPREAD, SORTED = 1, 2, 0
-_POS_SHIFT = 26   # position | window count (8 bits) | flag (2 bits) | text tag (16 bits)
+_POS_SHIFT = 30   # position | window count (12 bits) | flag (2 bits) | text tag (16 bits)
+_MOST = 4095      # windows one row can name; longer runs take several rows
 
 
 def _slide_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -129,7 +130,7 @@ def _rank_rows(batches, k, threshold):
             row, first, count, gram, rank = _segments(chunk, bounds, k, threshold)
             place = first - bounds[row] + pbase[i + row]
             parts.append((gram, rank, docs[prow[i + row]], place, count, tags[prow[i + row]]))
-            if sum(len(p[0]) for p in parts) > 2_000_000:
+            if sum(len(p[0]) for p in parts) > 1_000_000:
                 yield _combine(parts)
                 parts = []
         if parts:
@@ -156,8 +157,8 @@ def _combine(parts):
     key[spread] = C.mix(gram[spread] ^ rank[spread])
     key[later] = C.mix((doc[later].astype(np.uint64) << np.uint64(32)) + place[later].astype(np.uint64))
     packed = (place << _POS_SHIFT) | (count << 18) | (flag << 16) | tag
-    # 48 bits of each rank: together they tell segments apart, and shorter rows halve the shuffle's random bytes
-    short = [pa.array(C.signed(x >> np.uint64(16))) for x in (key, rank)]
+    # 48 bits of each rank tell segments apart; the zeros stand next to bytes that compress, so a row shrinks by them
+    short = [pa.array(C.signed(key & ~np.uint64(0xFFFF))), pa.array(C.signed(rank >> np.uint64(16)))]
     return pa.record_batch([*short, pa.array(doc), pa.array(packed)], schema=_RANKS)
 
 
@@ -225,7 +226,7 @@ def _window_rows(batches, threshold):
             if not len(at):
                 continue
             text = raw[offsets[i]:offsets[i + 1]]
-            count = (at >> 18) & 0xFF
+            count = (at >> 18) & _MOST
             start = at >> _POS_SHIFT
             first = np.repeat(start, count)
             window = first + np.arange(len(first)) - np.repeat(np.cumsum(count) - count, count)
@@ -261,10 +262,28 @@ def _mark(held):
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
     later = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-    at[later] |= FULL << 16
-    key = key.copy()
-    key[later] = C.signed(C.mix(doc[later].astype(np.uint64) * np.uint64(C.BASE) + at[later].astype(np.uint64)))
-    return pa.record_batch([pa.array(key), pa.array(doc), pa.array(at)], schema=_WINDOWS)
+    # known repeats: neighbouring windows of a text become one row
+    known_doc, known_at = _merged(doc[later], at[later])
+    known_at |= FULL << 16
+    known_key = C.signed(C.mix(known_doc.astype(np.uint64) * np.uint64(C.BASE) + known_at.astype(np.uint64)))
+    return pa.record_batch([pa.array(np.concatenate(x)) for x in ((key[~later], known_key), (doc[~later], known_doc), (at[~later], known_at))],
+                           schema=_WINDOWS)
+
+
+def _merged(doc, at):
+    """Single windows (one per row) as runs of up to _MOST windows."""
+    order = np.lexsort((at, at & 0xFFFF, doc))
+    doc, at = doc[order], at[order]
+    if not len(doc):
+        return doc, at
+    place, tag = at >> _POS_SHIFT, at & 0xFFFF
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (place[1:] > place[:-1] + 1)
+    run = np.flatnonzero(new)[np.cumsum(new) - 1]
+    new |= (np.arange(len(doc)) - run) % _MOST == 0
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc)) - 1
+    return doc[first], (place[first] << _POS_SHIFT) | ((place[last] - place[first] + 1) << 18) | tag[first]
 
 
 def _judge_windows(batches):
@@ -290,7 +309,7 @@ def _kept(batches, threshold, with_text):
             if len(at):
                 start = at >> _POS_SHIFT
                 np.add.at(change, start, 1)
-                np.add.at(change, start + ((at >> 18) & 0xFF) - 1 + threshold, -1)
+                np.add.at(change, start + ((at >> 18) & _MOST) - 1 + threshold, -1)
             gone = np.cumsum(change)[:-1] > 0
             left = text[~gone].tobytes() if len(at) else text.tobytes()
             n_removed.append(int(gone.sum()))
