@@ -166,21 +166,26 @@ def _runs(batches, columns):
     """Sorted batches again, cut so that a key never spans two of them.
 
     Carried rows are those of one key; every block of documents sends a key at
-    most once, so a run stays far below the rows of a block's batch.
+    most once, so a run has far fewer rows than there are documents.
     """
-    held = None
+    held: list[list[np.ndarray]] = []
     for batch in batches:
         arrays = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
-        if held is not None:
-            arrays = [np.concatenate([h, a]) for h, a in zip(held, arrays, strict=True)]
         if not len(arrays[0]):
             continue
-        cut = int(np.searchsorted(arrays[0], arrays[0][-1], side="left"))
-        if cut:
-            yield [a[:cut] for a in arrays]
-        held = [a[cut:] for a in arrays]
-    if held is not None:
-        yield held
+        first, last = arrays[0][0], arrays[0][-1]
+        if held and held[0][0][0] != first:
+            yield [np.concatenate(x) for x in zip(*held, strict=True)]
+            held = []
+        if first == last:
+            held.append(arrays)
+            continue
+        cut = int(np.searchsorted(arrays[0], last, side="left"))
+        held.append([a[:cut] for a in arrays])
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+        held = [[a[cut:] for a in arrays]]
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
 
 
 _PLACES = pa.schema([("doc", pa.int64()), ("at", pa.int64())])
