@@ -23,7 +23,7 @@ and repeated rows are packed like any others.
 from __future__ import annotations
 
 import zlib
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,51 +32,97 @@ from pyspark.sql import functions as F
 
 from basketry.llm import common as C
 
-#: White-space separated strings whose ids a worker remembers; it starts anew beyond.
-REMEMBERED = 1_000_000
+#: White-space separated strings whose ids a worker keeps; the ids of further ones are kept for one block.
+REMEMBERED = 400_000
+#: A character that stands between strings encoded together (its own token), and how many of them.
+BETWEEN, TOGETHER = "\x01", 100
 
 
 class WordIds:
-    """Token ids of texts; the tokenizer never joins over white space, so ids are kept per string."""
+    """Token ids of texts; the tokenizer never joins over white space, so ids are kept per string.
+
+    A string that ends in full stops or commas behind a letter or digit is its
+    stem's ids and theirs, and A-Z are lower-cased by the tokenizer anyway: the
+    tokenizer itself only sees each stem.
+    """
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self._clear()
-
-    def _clear(self):
+        self.between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids[0]
         self.known: dict[bytes, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.count = self.used = 0
+        self.flat = np.zeros(1 << 16, np.uint32)
         self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
-    def _learn(self, strings: list[bytes]):
-        found = [e.ids for e in self.tokenizer.encode_batch([s.decode("utf-8", "replace") for s in strings], add_special_tokens=False)]
-        sizes = np.array([len(x) for x in found], np.int64)
-        total, at = int(sizes.sum()), len(self.known)
+    def _add(self, strings: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
+        total, n = len(flat), len(strings)
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while at + len(found) > len(self.start):
+        while self.count + n > len(self.start):
             self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-        self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
-        self.start[at:at + len(found)] = self.used + np.cumsum(sizes) - sizes
-        self.size[at:at + len(found)] = sizes
+        self.flat[self.used:self.used + total] = flat
+        self.start[self.count:self.count + n] = self.used + np.cumsum(sizes) - sizes
+        self.size[self.count:self.count + n] = sizes
+        self.known.update(zip(strings, range(self.count, self.count + n), strict=True))
         self.used += total
-        self.known.update(zip(strings, range(at, at + len(found)), strict=True))
+        self.count += n
+
+    def _encode_all(self, strings: list[bytes]) -> None:
+        alone = [s for s in strings if b"\x01" in s]
+        plain = [s for s in strings if b"\x01" not in s]
+        parts = [f" {BETWEEN} ".join(s.decode("utf-8", "replace") for s in plain[i:i + TOGETHER]) for i in range(0, len(plain), TOGETHER)]
+        for part, k in zip(self.tokenizer.encode_batch(parts, add_special_tokens=False), range(0, len(plain), TOGETHER), strict=True):
+            ids = np.array(part.ids, np.uint32)
+            cut = ids == self.between
+            edge = np.concatenate([[-1], np.flatnonzero(cut), [len(ids)]])
+            self._add(plain[k:k + TOGETHER], ids[~cut], np.diff(edge) - 1)
+        for s in alone:
+            ids = np.array(self.tokenizer.encode(s.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
+            self._add([s], ids, np.array([len(ids)]))
+
+    @staticmethod
+    def _split(s: bytes) -> tuple[bytes, bytes]:
+        """(stem, full stops and commas at the end)."""
+        stem = s.rstrip(b".,")
+        if len(stem) < len(s) and not (stem[-1:].isalnum() or stem and stem[-1] >= 128 and stem.decode("utf-8", "replace")[-1].lower()[-1].isalnum()):
+            stem = s              # what stands before the stops may be one token with them
+        tail = s[len(stem):]
+        return (stem if b"<|" in stem else stem.lower()), tail       # special tokens are told by their case
+
+    def _learn(self, strings: list[bytes]) -> None:
+        split = [self._split(s) for s in strings]
+        whole = dict.fromkeys(part for pair in split for part in pair if part and part not in self.known)
+        self._encode_all(list(whole))
+        rest = [(s, pair) for s, pair in zip(strings, split, strict=True) if s not in self.known]
+        if rest:
+            if b"" not in self.known:
+                self._add([b""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
+            at = np.array([[self.known[a], self.known[b]] for _, (a, b) in rest]).ravel()
+            sizes = self.size[at]
+            self._add([s for s, _ in rest], self._gather(at), sizes.reshape(-1, 2).sum(1))
+
+    def _gather(self, at: np.ndarray) -> np.ndarray:
+        size = self.size[at]
+        return self.flat[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
 
     def encode(self, texts: list[bytes], end_id: int) -> list[np.ndarray]:
         split = [t.split() for t in texts]
-        if len(self.known) > REMEMBERED:
-            self._clear()
-        missing = list(dict.fromkeys(w for words in split for w in words if w not in self.known))
-        if missing:
-            self._learn(missing)
-        out = []
-        for words in split:
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            size = self.size[at]
-            place = np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-            out.append(np.append(self.flat[place], np.uint32(end_id)))
+        words = list(chain.from_iterable(split))
+        full, before = self.count >= REMEMBERED, (self.count, self.used)
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
+            self._learn(list(dict.fromkeys(words[k] for k in unknown)))
+            at[unknown] = [self.known[words[k]] for k in unknown]
+        ids, total = self._gather(at), np.concatenate([[0], np.cumsum(self.size[at])])
+        edge = np.cumsum([0] + [len(x) for x in split])
+        out = [np.append(ids[total[a]:total[b]], np.uint32(end_id)) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        if full:      # forget what only this block needed: the newest entries come last
+            for _ in range(len(self.known) - before[0]):
+                self.known.popitem()
+            self.count, self.used = before
         return out
 
 
