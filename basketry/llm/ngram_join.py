@@ -13,9 +13,10 @@ word shingles; the result is each document's component of links.
   sets are in one class or in neighbouring ones; a set deals itself for its
   own class and for the one below.  An empty part is no token unless a set has
   more than ``spare`` of them.
-* *Groups.*  Nodes that share a token are put into groups of at most
+* *Groups.*  Nodes that share a token are put into groups of about
   ``group_size`` similar nodes (smallest shared token, spread once over the
-  tokens); the matrix holds the union of each group's tokens.
+  tokens), fewer if their sets are large (``group_shingles`` together); the
+  matrix holds the union of each group's tokens.
 * *Bound.*  A node can only link with a member of a group whose union holds at
   least 1 + spare - (its own empty parts) of its tokens of one class.  Only
   those groups are opened: there the node is compared exactly, on whole
@@ -174,18 +175,32 @@ def _tokens(row, gram, size, node, percent):
 
 
 def _shared(batches):
-    """Of rows sorted by (token, node): those whose token two nodes have, each once."""
-    from basketry.llm.suffix_dedup import _runs
+    """Of rows sorted by (token, node): those whose token two nodes have, each once.
 
-    for token, node, tag in _runs(batches, ("token", "node", "tag")):
+    Only the last row is held from one batch to the next, so a token's rows may be many."""
+    held, before = None, False        # the last row, and whether the row before it has its token
+    for batch in batches:
+        token, node, tag = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "node", "tag"))
+        if held is not None:
+            token, node, tag = (np.concatenate([[h], x]) for h, x in zip(held, (token, node, tag), strict=True))
+        if not len(token):
+            continue
         new = np.ones(len(token), bool)
-        new[1:] = token[1:] != token[:-1]
-        once = new.copy()
-        once[1:] |= node[1:] != node[:-1]
-        of = np.cumsum(new) - 1
-        keep = once & (np.bincount(of, weights=once)[of] > 1)
-        yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(node[keep]), pa.array(tag[keep])],
-                                         names=["token", "node", "tag"])
+        new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
+        token, node, tag = token[new], node[new], tag[new]
+        same = token[1:] == token[:-1]
+        keep = np.zeros(len(token), bool)
+        keep[1:] = same
+        keep[:-1] |= same
+        keep[0] |= before
+        held, before = (token[-1], node[-1], tag[-1]), bool(keep[-1])
+        yield _token_batch(token[:-1][keep[:-1]], node[:-1][keep[:-1]], tag[:-1][keep[:-1]])
+    if before:
+        yield _token_batch(*(np.array([x]) for x in held))
+
+
+def _token_batch(token, node, tag):
+    return pa.RecordBatch.from_arrays([pa.array(token), pa.array(node), pa.array(tag)], names=["token", "node", "tag"])
 
 
 def _set_rows(batches, words):
@@ -251,11 +266,11 @@ def _open_groups(key, rows: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 
 def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
-                          percent: int = 85, group_size: int = 128) -> DataFrame:
+                          percent: int = 85, group_size: int = 768, group_shingles: int = 400_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable by links)."""
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     table = C.checkpointed(source.mapInArrow(lambda it: _doc_rows(it, words), "doc long, n_shingles long, node long"))
-    nodes = table.filter("node is not null").groupBy("node").agg(F.min("doc").alias("doc"))
+    nodes = table.filter("node is not null").groupBy("node").agg(F.min("doc").alias("doc"), F.max("n_shingles").alias("size"))
 
     tokens = source.filter("doc is not null").mapInArrow(lambda it: _token_rows(it, words, percent), "token long, node long, tag long")
     shared = C.checkpointed(tokens.repartition("token").sortWithinPartitions("token", "node")
@@ -266,7 +281,8 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     own = shared.groupBy("node").agg(F.min("token").alias("least"))
     spread = shared.join(own, "node").groupBy("token").agg(F.min("least").alias("least"))
     near = C.checkpointed(shared.join(spread, "token").groupBy("node").agg(F.min("least").alias("least")))
-    cuts = near.groupBy("least").agg(F.ceil(F.count("*") / group_size).alias("cuts"))
+    sized = near.join(nodes.select("node", "size"), "node")
+    cuts = sized.groupBy("least").agg(F.ceil(F.greatest(F.count("*") / group_size, F.sum("size") / group_shingles)).alias("cuts"))
     grouped = C.checkpointed(near.join(cuts, "least").select(
         "node", F.xxhash64("least", F.pmod(F.xxhash64("node"), "cuts")).alias("grp")))
 
@@ -287,7 +303,7 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     sides = opened.select("grp", "of", "node", F.lit(0).alias("side")).unionAll(members).join(sets, "node")
     links = sides.groupBy("grp", "of").applyInPandas(lambda key, rows: _open_groups(key, rows, percent), "a long, b long")
 
-    first = nodes.withColumnRenamed("doc", "to")
+    first = nodes.select("node", F.col("doc").alias("to"))
     edges = (links.join(first, links.a == first.node).select(F.col("to").alias("x"), "b")
              .join(first, F.col("b") == first.node).select(F.col("x").alias("a"), F.col("to").alias("b")))
     found = connected_components(edges).withColumnRenamed("node", "doc")
