@@ -283,8 +283,10 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     near = C.checkpointed(shared.join(spread, "token").groupBy("node").agg(F.min("least").alias("least")))
     sized = near.join(nodes.select("node", "size"), "node")
     cuts = sized.groupBy("least").agg(F.ceil(F.greatest(F.count("*") / group_size, F.sum("size") / group_shingles)).alias("cuts"))
-    grouped = C.checkpointed(near.join(cuts, "least").select(
-        "node", F.xxhash64("least", F.pmod(F.xxhash64("node"), "cuts")).alias("grp")))
+    # only families larger than a group are cut, so few rows tell how; the rest are one group each
+    cuts = C.join_side(cuts.filter("cuts > 1"))
+    grouped = C.checkpointed(near.join(cuts, "least", "left").select(
+        "node", F.xxhash64("least", F.pmod(F.xxhash64("node"), F.coalesce("cuts", F.lit(1)))).alias("grp")))
 
     # the matrix, and the groups each node has to open (only upwards: a pair is opened once)
     held = shared.join(grouped, "node")
