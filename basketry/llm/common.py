@@ -8,6 +8,8 @@ computed from prefix sums, followed by a bit mixer.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import time
 from collections.abc import Iterator
@@ -93,6 +95,18 @@ def blocks(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int
         i = j
 
 
+def trimmed(batches):
+    """The batches; afterwards freed memory goes back to the system.
+
+    A worker process waits for further tasks and would hold its peak meanwhile,
+    beside the memory of the executor that another operator needs.
+    """
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):      # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 # ---------------------------------------------------------------- hashing
 
 def mix(x: np.ndarray) -> np.ndarray:

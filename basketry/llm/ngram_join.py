@@ -269,10 +269,10 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
                           percent: int = 85, group_size: int = 768, group_shingles: int = 400_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable by links)."""
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    table = C.checkpointed(source.mapInArrow(lambda it: _doc_rows(it, words), "doc long, n_shingles long, node long"))
+    table = C.checkpointed(source.mapInArrow(lambda it: C.trimmed(_doc_rows(it, words)), "doc long, n_shingles long, node long"))
     nodes = table.filter("node is not null").groupBy("node").agg(F.min("doc").alias("doc"), F.max("n_shingles").alias("size"))
 
-    tokens = source.filter("doc is not null").mapInArrow(lambda it: _token_rows(it, words, percent), "token long, node long, tag long")
+    tokens = source.filter("doc is not null").mapInArrow(lambda it: C.trimmed(_token_rows(it, words, percent)), "token long, node long, tag long")
     shared = C.checkpointed(tokens.repartition("token").sortWithinPartitions("token", "node")
                             .mapInArrow(_shared, "token long, node long, tag long"))
     C.release(docs.sparkSession)
@@ -298,7 +298,7 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     wanted = C.join_side(grouped.select("node").join(nodes, "node").select("doc", F.col("node").alias("wanted")), BROADCAST_ROWS)
     sets = C.checkpointed(source.join(wanted, "doc").select("text", "wanted")
-                          .mapInArrow(lambda it: _set_rows(it, words), "node long, grams binary").dropDuplicates(["node"]))
+                          .mapInArrow(lambda it: C.trimmed(_set_rows(it, words)), "node long, grams binary").dropDuplicates(["node"]))
 
     pairs = opened.select("grp", "of").distinct()
     members = pairs.join(grouped.withColumnRenamed("grp", "of"), "of").select("grp", "of", "node", F.lit(1).alias("side"))

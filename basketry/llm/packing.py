@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from basketry.llm import common as C
 
 #: White-space separated strings whose ids a worker keeps; the ids of further ones are kept for one block.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: A character that stands between strings encoded together (its own token), and how many of them.
 BETWEEN, TOGETHER = "\x01", 100
 
@@ -276,7 +276,7 @@ def pieces_of(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)    # a vocabulary file: a few MB
     schema = "doc long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
     return (docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-            .mapInArrow(lambda it: _piece_rows(it, shared.value, capacity, end_id, with_ids), schema))
+            .mapInArrow(lambda it: C.trimmed(_piece_rows(it, shared.value, capacity, end_id, with_ids)), schema))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",

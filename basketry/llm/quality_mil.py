@@ -215,7 +215,7 @@ def score(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col
     """doc_id, score (0 to 1, higher: label 1 likelier) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        lambda it: _scored(it, shared.value, passage_words), "doc_id long, score double")
+        lambda it: C.trimmed(_scored(it, shared.value, passage_words)), "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, net: Network | None, text_col: str = "text", threshold: float = 0.5, passage_words: int = 64) -> DataFrame:
@@ -224,5 +224,5 @@ def keep_good(docs: DataFrame, net: Network | None, text_col: str = "text", thre
     columns = docs.columns
     whole = F.struct(*[F.col(c) for c in columns]).alias("row")
     scored = docs.select(whole, F.col(text_col).alias("text")).mapInArrow(
-        lambda it: _scored(it, shared.value, passage_words), f"row {docs.schema.simpleString()}, score double")
+        lambda it: C.trimmed(_scored(it, shared.value, passage_words)), f"row {docs.schema.simpleString()}, score double")
     return scored.filter(F.col("score") >= threshold).select("row.*")
