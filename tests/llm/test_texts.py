@@ -319,3 +319,20 @@ def test_stages_on_odd_rows_and_empty_tables(spark, stage):
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
     assert stage(spark, cases.frame(spark).select(*columns), SF).count() > 0
     assert stage(spark, cases.empty(spark).select(*columns), SF).count() == 0
+
+
+# ------------------------------------------------------------ classes of all words
+def test_rare_words_get_the_class_of_their_own_neighbours(spark):
+    rng = random.Random(4)
+    pairs = [("red", "car"), ("she", "ran")]
+    # 60 rare words, all with one ending; even ones stand between the first pair, odd ones between the second
+    lines = [f"{a} w{k:02d}same {b}" for _ in range(6) for k in range(60) for a, b in (pairs[k % 2],)]
+    rng.shuffle(lines)
+    docs = spark.createDataFrame([(i, " ".join(lines[i * 10:i * 10 + 10])) for i in range(36)], "doc_id long, text string")
+    model, counts = brown_lm.learn(docs, n_classes=8, cluster_words=4, suffixes=3, table_words=10, rounds=3)
+    names = [f"w{k:02d}same" for k in range(60)]
+    raw = np.frombuffer(" ".join(names).encode(), np.uint8)
+    word, _, _ = brown_lm._tokens(raw, np.array([0, len(raw)]))
+    cls = {r.word: r.cls for r in counts.collect()}
+    found = [cls[int(w)] for w in word.view(np.int64)]
+    assert len(set(found[0::2])) == len(set(found[1::2])) == 1 and found[0] != found[1]
