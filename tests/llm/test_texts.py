@@ -66,6 +66,21 @@ def test_model_beats_the_base_on_held_out_text(spark):
     assert got[0] > 0.9 * got[1]
 
 
+def test_all_units_take_turns_until_nothing_is_gained(monkeypatch):
+    tries, gains = np.zeros(50, int), iter([-5.0, -4.0, -3.5, -3.4, -3.4])
+
+    def exchange(classes, right, left, moved, n_classes):
+        tries[moved] += 1
+        return classes
+
+    monkeypatch.setattr(brown_lm, "_start_classes", lambda bigrams, n, n_classes, order: np.ones(n, int))
+    monkeypatch.setattr(brown_lm, "_neighbours", lambda bigrams, classes, n_classes: (np.ones((50, 4)) / 200, np.ones((50, 4)) / 200))
+    monkeypatch.setattr(brown_lm, "_exchange", exchange)
+    monkeypatch.setattr(brown_lm, "_likelihood", lambda grid: next(gains), raising=False)
+    brown_lm.learn_classes(None, 50, 4, 6, np.arange(50))
+    assert tries[0] == 0 and set(tries[1:]) == {4}
+
+
 # ------------------------------------------------------------ packing
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
