@@ -50,15 +50,12 @@ def passage_features(raw: np.ndarray, offsets: np.ndarray, passage_words: int) -
     of = first_passage[row] + (np.arange(len(row)) - first_word[row]) // passage_words
     total = len(owner)
     words = np.bincount(of, minlength=total)
-    # bytes from a passage's first word to the next passage's
-    begin = np.full(total, -1)
+    # bytes from a passage's first word to the next passage's; a text's first passage begins with the text
+    begin = np.zeros(total, np.int64)
     new = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
     begin[of[new]] = start[new]
-    of_byte = np.zeros(len(raw), np.int64)
-    some = np.flatnonzero(begin >= 0)
-    marks = np.zeros(len(raw), np.int64)
-    marks[begin[some]] = np.diff(np.concatenate([[some[0]], some]))
-    of_byte = np.cumsum(marks) + some[0]
+    begin[first_passage] = offsets[:-1]
+    of_byte = np.cumsum(np.bincount(begin, minlength=len(raw) + 1)[:len(raw)]) - 1
     kinds = np.bincount(of_byte * _KINDS + _CLASS[raw], minlength=total * _KINDS).reshape(-1, _KINDS)[:total]
     size = np.maximum(kinds.sum(1), 1)
     out[:, :_KINDS] = kinds / size[:, None]

@@ -316,6 +316,15 @@ def test_passages_cover_all_words():
 
 
 # ------------------------------------------------------------ pipeline
+def test_features_do_not_depend_on_neighbouring_texts():
+    data = [b"", b" \n lead one two", b"three. four", b"\n\n\n\n", b"", b"\n\n\n five six ", b""]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in data])])
+    found, owner = quality_mil.passage_features(np.frombuffer(b"".join(data), np.uint8), offsets, 2)
+    for k, x in enumerate(data):
+        one, _ = quality_mil.passage_features(np.frombuffer(x, np.uint8), np.array([0, len(x)]), 2)
+        assert np.allclose(found[owner == k], one)
+
+
 def test_pipeline_stages_keep_the_columns_and_take_effect(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, sizes = docs.columns, [docs.count()]
