@@ -7,8 +7,9 @@ web tokens, private key blocks, and long mixed strings of high entropy).
 *Ownership.*  Spark counts, for the hash of each candidate's value, the distinct
 owners and repositories that hold it; rows are made distinct and summed before
 each shuffle, so a value found everywhere is no hot key.  A value held by
-``wide_owners`` owners or more is a widely copied example; one held by fewer
-is owner-specific and live-looking, unless it is an obvious placeholder.
+``wide_owners`` owners or more, or in ``wide_repos`` repositories or more (of one
+owner or several), is a widely copied example; one held by fewer is
+owner-specific and live-looking, unless it is an obvious placeholder.
 
 Base spans are always reported; the other candidates only if live-looking.
 
@@ -108,9 +109,10 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str | None = None,
-         wide_owners: int = 5) -> DataFrame:
+         wide_owners: int = 5, wide_repos: int = 100) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live,
-    n_example, live (the places of live-looking spans) and tag (hash of the text).
+    n_example, live (the places of live-looking spans), held (owners and repositories of each
+    candidate's value) and tag (hash of the text).
 
     ``repo_col`` defaults to the id: each document is then a repository of its owner.
     """
@@ -122,9 +124,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     places = rows.select("row", "owner", "repo", F.explode("found").alias("s")).select("row", "owner", "repo", "s.*")
     known = ownership(places.select("value", "owner", "repo"))
-    live = (F.col("n_owners") < wide_owners) & ~F.col("dummy")
+    live = (F.col("n_owners") < wide_owners) & (F.col("n_repos") < wide_repos) & ~F.col("dummy")
     judged = (places.join(known, "value").withColumn("is_live", live)
-              .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "is_live"))).alias("all")))
+              .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "is_live", "n_owners", "n_repos"))).alias("all")))
     names = "array(" + ", ".join(f"'{k}'" for k in KINDS) + ")"
     spans = F.expr(f"array_join(transform(filter(all, s -> s.kind < {BASE_KINDS} or s.is_live), "
                    f"s -> concat({names}[s.kind], ':', s.start, ':', s.end)), ',')")
@@ -132,16 +134,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
         F.col("doc").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce(spans, F.lit("")).alias("spans"),
         F.expr("coalesce(size(filter(all, s -> s.is_live)), 0)").cast("long").alias("n_live"),
         F.expr("coalesce(size(filter(all, s -> not s.is_live)), 0)").cast("long").alias("n_example"),
-        F.expr("coalesce(transform(filter(all, s -> s.is_live), s -> struct(s.start, s.end)), array())").alias("live"), "tag")
+        F.expr("coalesce(transform(filter(all, s -> s.is_live), s -> struct(s.start, s.end)), array())").alias("live"),
+        F.expr("coalesce(transform(all, s -> struct(s.start, s.end, s.n_owners, s.n_repos)), array())").alias("held"), "tag")
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-           wide_owners: int = 5, mark: str = "[secret]") -> DataFrame:
+           wide_owners: int = 5, mark: str = "[secret]", wide_repos: int = 100) -> DataFrame:
     """``docs`` with live-looking spans replaced by ``mark``; widely copied examples stay.
 
     Texts are matched by id and hash, so rows that repeat are all redacted.
     """
-    found = scan(docs, id_col, text_col, owner_col, wide_owners=wide_owners)
+    found = scan(docs, id_col, text_col, owner_col, wide_owners=wide_owners, wide_repos=wide_repos)
     live = (found.filter("n_live > 0").groupBy(F.col("doc_id").alias("__doc"), F.col("tag").alias("__tag"))
             .agg(F.first("live").alias("__live")))
     columns = docs.columns

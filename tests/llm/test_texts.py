@@ -173,6 +173,16 @@ def test_further_kinds_and_redaction(spark):
     assert out[7] == "[secret] end" and "ghp_" not in out[1]
 
 
+def test_value_copied_widely_inside_one_source_is_an_example(spark):
+    rows = [(i, "password=copied1234", "a") for i in range(6)] + [(9, "password=owned56789", "a")]
+    docs = cases.frame(spark, rows)
+    got = {r.doc_id: r for r in secret_scan.scan(docs, wide_repos=6).collect()}
+    assert got[0].n_example == 1 and got[0].n_live == 0 and (got[0].held[0].n_owners, got[0].held[0].n_repos) == (1, 6)
+    assert got[9].n_live == 1
+    out = {r.doc_id: r.text for r in secret_scan.redact(docs, wide_repos=6).collect()}
+    assert out[0] == rows[0][1] and out[9] == "[secret]"
+
+
 # ------------------------------------------------------------ language
 def test_language_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
