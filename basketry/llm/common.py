@@ -147,12 +147,14 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * down[start])
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of texts laid end to end: (start, end, row).
 
-    A word never runs over the end of its text.
+    A word never runs over the end of its text.  ``inside`` says of each byte whether
+    it belongs to a word, where words are other than these.
     """
-    inside = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
+    if inside is None:
+        inside = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
     n = len(raw)
     first = np.zeros(n + 1, bool)
     first[offsets[:-1]] = True

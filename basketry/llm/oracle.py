@@ -4,6 +4,7 @@ from __future__ import annotations
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _LETTERS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _SPACED = r"regexp_extract_all(" + _LOWER + r", '[^\x20\x09-\x0D]+')"
 
 SQL = {
@@ -33,5 +34,19 @@ link AS (SELECT x, y FROM pair JOIN size s ON s.doc_id = x JOIN size t ON t.doc_
 reach AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x)
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.c AS component_id
 FROM d LEFT JOIN size s USING (doc_id) JOIN (SELECT x AS doc_id, MIN(y) AS c FROM reach GROUP BY x) r USING (doc_id)
+""",
+    "op11_ranked_search": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_TERMS}') AS w FROM documents),
+sizes AS (SELECT doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+total AS (SELECT COUNT(*) AS nn, CAST(SUM(n) AS BIGINT) AS ll FROM sizes),
+asked AS (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERMS}')) AS t FROM benchmark),
+posting AS (SELECT doc_id, t, COUNT(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM asked) GROUP BY doc_id, t),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * nn + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w FROM posting, total GROUP BY t, nn),
+impact AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * nn) // ll))) AS i
+           FROM posting JOIN sizes USING (doc_id) JOIN weight USING (t), total),
+scored AS (SELECT item_id, doc_id, CAST(SUM(i) AS BIGINT) AS score FROM asked JOIN impact USING (t) GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+           FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import brown_lm, common, decontaminate, htmltree, lz_fingerprint, ngram_join, oracle, packing, quality_mil, secret_scan, string_kernel, suffix_dedup
+from basketry.llm import brown_lm, common, decontaminate, htmltree, lz_fingerprint, ngram_join, oracle, packing, quality_mil, ranked_search, secret_scan, string_kernel, suffix_dedup
 from basketry.llm.common import read_table
 
 
@@ -81,6 +81,12 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_components(read_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    found = ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -93,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_mil": op8_quality_mil,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_ngram_join": op10_ngram_join,
+        "op11_ranked_search": op11_ranked_search,
     }
 
 
