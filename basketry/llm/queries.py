@@ -7,15 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import brown_lm, common, decontaminate, htmltree, lz_fingerprint, ngram_join, oracle, packing, quality_mil, ranked_search, secret_scan, string_kernel, suffix_dedup
+from basketry.llm import brown_lm, common, decontaminate, htmltree, lz_fingerprint, ngram_join, oracle, packing, piece_offsets, quality_mil, ranked_search, secret_scan, string_kernel, suffix_dedup
 from basketry.llm.common import read_table
 
 
-def tokenizer_path() -> str:
-    """The public 49k word BPE vocabulary; the file stays outside this repository."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public vocabulary file; it stays outside this repository."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +87,14 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
 
 
+def op13_piece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in SentencePiece ids and back; the source bytes that its pieces cover."""
+    found = piece_offsets.encode(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    covered = F.aggregate(F.zip_with("begins", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda a, x: a + x)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"), covered.alias("n_source_bytes"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -100,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_ngram_join": op10_ngram_join,
         "op11_ranked_search": op11_ranked_search,
+        "op13_piece_offsets": op13_piece_offsets,
     }
 
 
