@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import brown_lm, common, decontaminate, htmltree, lz_fingerprint, ngram_join, oracle, packing, piece_offsets, quality_mil, ranked_search, secret_scan, string_kernel, suffix_dedup
+from basketry.llm import brown_lm, common, decontaminate, htmltree, lz_fingerprint, ngram_join, oracle, packing, piece_offsets, quality_mil, ranked_search, secret_scan, string_kernel, suffix_dedup, token_alignment
 from basketry.llm.common import read_table
 
 
@@ -87,6 +87,11 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document."""
+    return token_alignment.align(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_piece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in SentencePiece ids and back; the source bytes that its pieces cover."""
     found = piece_offsets.encode(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
@@ -108,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_ngram_join": op10_ngram_join,
         "op11_ranked_search": op11_ranked_search,
+        "op12_token_alignment": op12_token_alignment,
         "op13_piece_offsets": op13_piece_offsets,
     }
 
