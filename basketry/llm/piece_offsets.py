@@ -22,6 +22,7 @@ white space as suffix, are refused.
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -181,16 +182,23 @@ class Normaliser:
         entry for each text, the end of what was read: byte b of text r is entry b + r.
         """
         n = len(offsets) - 1
-        start, size, value = self.units(raw, offsets)
-        row = np.searchsorted(offsets, start, side="right") - 1
-        mapped = value >= 0
-        pool = np.concatenate([raw, self.map.text])
-        new, new_size = start.copy(), size.copy()
-        new[mapped], new_size[mapped] = self.map.replacements(value[mapped])
-        new[mapped] += len(raw)
-        out = pool[np.repeat(new - (np.cumsum(new_size) - new_size), new_size) + np.arange(int(new_size.sum()))]
-        owner = np.repeat(row, new_size)
-        source = np.repeat(start, new_size) - offsets[owner]
+        if len(self.map.label):
+            start, size, value = self.units(raw, offsets)
+            row = np.searchsorted(offsets, start, side="right") - 1
+            mapped = value >= 0
+            pool = np.concatenate([raw, self.map.text])
+            new, new_size = start.copy(), size.copy()
+            new[mapped], new_size[mapped] = self.map.replacements(value[mapped])
+            new[mapped] += len(raw)
+            out = pool[np.repeat(new - (np.cumsum(new_size) - new_size), new_size) + np.arange(int(new_size.sum()))]
+            owner = np.repeat(row, new_size)
+            source = np.repeat(start, new_size) - offsets[owner]
+            solid = (new_size != 1) | (pool[np.minimum(new, len(pool) - 1)] != 32)
+        else:                                       # no map: every byte is copied
+            out, start = raw, np.arange(len(raw))
+            row = owner = np.repeat(np.arange(n), np.diff(offsets))
+            source = start - offsets[owner]
+            solid = raw != 32
         end = np.diff(offsets).copy()               # where reading a text ended
         begin = np.zeros(n, np.int64)               # where its first character behind white space begins
         space = out == 32
@@ -201,7 +209,7 @@ class Normaliser:
             out, owner, source = out[~gone], owner[~gone], source[~gone]
             out, owner, source = self._cut_tails(out, owner, source, end)
             space = out == 32
-            solid = np.flatnonzero((new_size != 1) | (pool[np.minimum(new, len(pool) - 1)] != 32))
+            solid = np.flatnonzero(solid)
             some, first = np.unique(row[solid], return_index=True)
             begin[some] = start[solid[first]] - offsets[some]
         count = np.bincount(owner, minlength=n)
@@ -252,7 +260,7 @@ class Encoder:
         texts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(to[:-1], to[1:], strict=True)]
         found = self.plain.encode(texts, num_threads=1)
         count = np.array([len(x) for x in found], np.int64)
-        ids = np.fromiter((i for x in found for i in x), np.int32, int(count.sum()))
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(count.sum()))
         size = self.size[ids]
         edge = np.concatenate([[0], np.cumsum(count)])
         for r in np.unique(np.searchsorted(edge, np.flatnonzero(ids == self.unknown), side="right") - 1).tolist():

@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import os
 import zlib
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import common as C
+from basketry.llm import piece_offsets
 
 #: Bytes of text worked on at once.
 BLOCK = 1 << 18
+#: Strings whose ids a worker keeps; the ids of further ones are kept for one block.
+REMEMBERED = 150_000
 #: Pairs whose counts are broadcast (8 bytes each and 1 for being best).
 TABLE_PAIRS = 1 << 20
 #: Pairs a task holds before it passes their counts on.
@@ -87,21 +91,94 @@ class ByteLevel(Side):
         super().__init__(spellings)
 
     def ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        """Ids of texts that begin with their space."""
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class Pieces(Side):
-    """A SentencePiece model, which puts the space before the text itself."""
+    """A SentencePiece model whose normaliser only marks spaces and puts one before the text."""
 
     def __init__(self, proto: bytes):
         import sentencepiece
 
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=proto)
-        super().__init__([bytes([int(p[3:5], 16)]) if self.model.is_byte(k) else p.replace("▁", " ").encode()
-                          for k, p in enumerate(self.model.id_to_piece(list(range(self.model.get_piece_size()))))])
+        whole = sentencepiece.SentencePieceProcessor(model_proto=proto)
+        pieces = whole.id_to_piece(list(range(whole.get_piece_size())))
+        super().__init__([bytes([int(p[3:5], 16)]) if whole.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)])
+        normaliser = next((piece_offsets.Normaliser(body) for number, body, _, _ in piece_offsets._fields(proto) if number == 3), None)
+        if normaliser is None or len(normaliser.map.label) or normaliser.strip or not (normaliser.escape and normaliser.dummy_prefix):
+            raise ValueError("the model changes its text, so its tokens cannot cover the text's bytes")
+        #: Whether no piece reaches over a space behind another character, so words are encoded by themselves.
+        self.by_word = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=piece_offsets.plain_model(proto))
 
     def ids(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+        """Ids of texts that begin with their space."""
+        return self.model.encode([t.replace(" ", "▁") for t in texts], num_threads=1)
+
+
+class Flat:
+    """Lists of ids laid end to end; the newest can be forgotten."""
+
+    def __init__(self):
+        self.data, self.start, self.size = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.count = self.used = 0
+
+    def add(self, lists: list[list[int]]) -> None:
+        size = np.array([len(x) for x in lists], np.int64)
+        total, n = int(size.sum()), len(lists)
+        while self.used + total > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros_like(self.data)])
+        while self.count + n > len(self.size):
+            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+        self.data[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), np.int32, total)
+        self.start[self.count:self.count + n] = self.used + np.cumsum(size) - size
+        self.size[self.count:self.count + n] = size
+        self.used, self.count = self.used + total, self.count + n
+
+    def gather(self, at: np.ndarray) -> np.ndarray:
+        size = self.size[at]
+        return self.data[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))].astype(np.int64)
+
+
+class Both:
+    """Ids of texts on both sides.  No token of either reaches over a space behind a printable
+    ASCII character, so texts are cut there and the ids of each string are kept."""
+
+    def __init__(self, side_a: Side, side_b: Side):
+        self.sides = side_a, side_b
+        self.known: dict[bytes, int] = {}
+        self.flat = Flat(), Flat()
+
+    def _learn(self, strings: list[bytes]) -> None:
+        texts = [s.decode("utf-8", "replace") for s in strings]
+        self.known.update(zip(strings, range(len(self.known), len(self.known) + len(strings)), strict=True))
+        for side, flat in zip(self.sides, self.flat, strict=True):
+            flat.add(side.ids(texts))
+
+    def ids(self, raw: np.ndarray, offsets: np.ndarray):
+        """((ids, tokens of each text) of side A, of side B) of texts that begin with their space."""
+        data = raw.tobytes()
+        first = np.zeros(len(raw) + 1, bool)
+        if self.sides[1].by_word:
+            first[1:-1] = (raw[1:] == 32) & (raw[:-1] > 32) & (raw[:-1] < 127)
+        first[offsets] = True
+        edge = np.flatnonzero(first)
+        places = edge.tolist()
+        strings = [data[x:y] for x, y in zip(places[:-1], places[1:], strict=True)]
+        before = len(self.known), [f.used for f in self.flat]
+        at = np.fromiter(map(self.known.get, strings, repeat(-1)), np.int64, len(strings))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
+            self._learn(list(dict.fromkeys(strings[k] for k in unknown)))
+            at[unknown] = [self.known[strings[k]] for k in unknown]
+        begin = np.searchsorted(edge, offsets[:-1])
+        out = [(f.gather(at), np.add.reduceat(f.size[at], begin) if len(begin) else begin) for f in self.flat]
+        if before[0] >= REMEMBERED:          # forget what only this block needed: the newest entries come last
+            for _ in range(len(self.known) - before[0]):
+                self.known.popitem()
+            for f, used in zip(self.flat, before[1], strict=True):
+                f.count, f.used = before[0], used
+        return out
 
 
 # ---------------------------------------------------------------- alignment of a block
@@ -125,37 +202,40 @@ def groups_of(begin_a, end_a, begin_b, end_b):
         to = on
 
 
-def _flat(lists):
-    count = np.array([len(x) for x in lists], np.int64)
-    return np.fromiter((i for x in lists for i in x), np.int64, int(count.sum())), count
-
-
 def _kept(ids, count, good):
     return ids[np.repeat(good, count)], np.where(good, count, 0)
 
 
+def _spaced(raw, offsets):
+    """Texts with a space before each."""
+    n = len(offsets) - 1
+    out = np.full(len(raw) + n, 32, np.uint8)
+    out[np.arange(len(raw)) + np.repeat(np.arange(1, n + 1), np.diff(offsets))] = raw
+    return out, offsets + np.arange(n + 1)
+
+
 def _same_bytes(side, ids, count, raw, offsets):
-    """Which texts (with a space before them) equal their tokens' bytes."""
-    data, size = side.bytes_of(ids), np.bincount(np.repeat(np.arange(len(count)), count), weights=side.size[ids], minlength=len(count)).astype(np.int64)
-    want = np.diff(offsets) + 1
+    """Which texts equal their tokens' bytes."""
+    size = np.bincount(np.repeat(np.arange(len(count)), count), weights=side.size[ids], minlength=len(count)).astype(np.int64)
+    want = np.diff(offsets)
     good = size == want
-    spaced = np.full(len(raw) + len(count), 32, np.uint8)
-    at = np.arange(len(raw)) + np.repeat(np.arange(1, len(count) + 1), np.diff(offsets))
-    spaced[at] = raw
-    got = data[np.repeat(good, size)]
-    wanted = spaced[np.repeat(good, want)]
-    owner = np.repeat(np.flatnonzero(good), want[good])
-    good[owner[got != wanted]] = False
+    data = side.bytes_of(ids)
+    if not good.all():
+        data, raw = data[np.repeat(good, size)], raw[np.repeat(good, want)]
+    differ = np.flatnonzero(data != raw)
+    if len(differ):
+        good[np.repeat(np.flatnonzero(good), want[good])[differ]] = False
     return good
 
 
 class Aligned:
     """Tokens, groups and links of a block of texts; texts without tokens keep their row."""
 
-    def __init__(self, side_a: Side, side_b: Side, raw, offsets):
-        texts = [raw[x:y].tobytes().decode("utf-8", "replace") for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
-        (a, n_a), (b, n_b) = _flat(side_a.ids(texts)), _flat(side_b.ids(texts))
-        good = _same_bytes(side_a, a, n_a, raw, offsets) & _same_bytes(side_b, b, n_b, raw, offsets) & (np.diff(offsets) > 0)
+    def __init__(self, both: Both, raw, offsets):
+        side_a, side_b = both.sides
+        spaced, places = _spaced(raw, offsets)
+        (a, n_a), (b, n_b) = both.ids(spaced, places)
+        good = _same_bytes(side_a, a, n_a, spaced, places) & _same_bytes(side_b, b, n_b, spaced, places) & (np.diff(offsets) > 0)
         (self.a, self.n_a), (self.b, self.n_b) = _kept(a, n_a, good), _kept(b, n_b, good)
         self.n = len(good)
         self.row_a, self.row_b = (np.repeat(np.arange(self.n), x) for x in (self.n_a, self.n_b))
@@ -198,30 +278,30 @@ class Aligned:
 
     def pairs(self, n_b: int):
         """(pair, times, pairs of each text): distinct linked id pairs ``a * n_b + b`` in order."""
-        row, pair = self.row_a[self.link_a], self.a[self.link_a] * n_b + self.b[self.link_b]
-        order = np.lexsort((pair, row))
-        row, pair = row[order], pair[order]
-        start = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (pair[1:] != pair[:-1])])) if len(row) else row
-        return pair[start], np.diff(np.append(start, len(row))), np.bincount(row[start], minlength=self.n)
+        span = (int(self.a.max(initial=0)) + 1) * n_b             # a block has few texts: rows times pairs fit 64 bits
+        key = np.sort(self.row_a[self.link_a] * span + self.a[self.link_a] * n_b + self.b[self.link_b])
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key
+        row, pair = np.divmod(key[start], span)
+        return pair, np.diff(np.append(start, len(key))), np.bincount(row, minlength=self.n)
 
 
-_WORKER: dict[int, tuple[Side, Side]] = {}
+_WORKER: dict[int, Both] = {}
 
 
-def _sides(definition: str, proto: bytes) -> tuple[Side, Side]:
+def _both(definition: str, proto: bytes) -> Both:
     """The tokenizers, kept by the worker for its next tasks (the last two only)."""
     key = zlib.crc32(proto, zlib.crc32(definition.encode()))
     if key not in _WORKER:
         _WORKER.clear()
-        _WORKER[key] = ByteLevel(definition), Pieces(proto)
+        _WORKER[key] = Both(ByteLevel(definition), Pieces(proto))
     return _WORKER[key]
 
 
-def _blocks(batches, sides):
+def _blocks(batches, both):
     for batch in batches:
         raw, offsets = C.texts_of(batch.column("text"))
         for i, j in C.blocks(offsets, BLOCK):
-            yield batch.column("doc").slice(i, j - i), Aligned(*sides, raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            yield batch.column("doc").slice(i, j - i), Aligned(both, raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
 
 
 # ---------------------------------------------------------------- rows
@@ -234,8 +314,8 @@ _GROUPS = "doc_id long, a_ids array<int>, a_group array<int>, b_ids array<int>,
 
 
 def _group_rows(batches, shared):
-    sides = _sides(*shared.value)
-    for doc, x in _blocks(batches, sides):
+    both = _both(*shared.value)
+    for doc, x in _blocks(batches, both):
         # groups of a text are numbered from 0 in order
         terminal = np.unique(x.group_a)
         first = np.concatenate([[0], np.cumsum(x.n_groups)])
@@ -248,9 +328,9 @@ _LINKED = "doc long, n_a long, n_b long, n_groups long, n_links long, groups_sha
 
 
 def _linked_rows(batches, shared):
-    sides = _sides(*shared.value)
-    n_b = len(sides[1].size)
-    for doc, x in _blocks(batches, sides):
+    both = _both(*shared.value)
+    n_b = len(both.sides[1].size)
+    for doc, x in _blocks(batches, both):
         pair, times, count = x.pairs(n_b)
         edge = np.concatenate([[0], np.cumsum(count)])
         blobs = []
@@ -259,7 +339,7 @@ def _linked_rows(batches, shared):
             data = np.concatenate([np.diff(pair[s:e], prepend=0), times[s:e]]).astype("<u8" if wide else "<u4").tobytes()
             blobs.append(bytes([wide]) + int(e - s).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True) if e > s else b"")
         yield pa.RecordBatch.from_arrays(
-            [doc, *(pa.array(v.astype(np.int64)) for v in (x.n_a, x.n_b, x.n_groups, x.n_links)), pa.array(x.digests(*sides), pa.string()), pa.array(blobs, pa.binary())],
+            [doc, *(pa.array(v.astype(np.int64)) for v in (x.n_a, x.n_b, x.n_groups, x.n_links)), pa.array(x.digests(*both.sides), pa.string()), pa.array(blobs, pa.binary())],
             names=[c.split()[0] for c in _LINKED.split(", ")])
 
 
@@ -367,7 +447,7 @@ def align(docs: DataFrame, byte_level_path: str, piece_path: str, id_col: str =
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every row of ``docs``."""
     spark = docs.sparkSession
     source, shared = _source(docs, byte_level_path, piece_path, id_col, text_col)
-    n_b = len(_sides(*shared.value)[1].size)
+    n_b = len(Pieces(shared.value[1]).size)
     # the checkpoint fixes rows and partitions, so the numbers given to rows stay the same
     linked = C.checkpointed(source.mapInArrow(lambda it: C.trimmed(_linked_rows(it, shared)), _LINKED)).withColumn("row", F.monotonically_increasing_id())
     counts = C.checkpointed(pair_counts(linked))

@@ -149,10 +149,13 @@ def plain_alignment(texts):
             edge = np.cumsum([0] + sizes).tolist()
             spans.append(list(zip(ids, edge[:-1], edge[1:], strict=True)))
         cuts = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
-        written, low = [], 0
-        for cut in cuts:
-            written.append("|".join(",".join(str(k) for k, s, e in side if low < e <= cut) for side in spans))
-            low = cut
+        group = {cut: ([], []) for cut in cuts}
+        for k, side in enumerate(spans):
+            at = 0
+            for token, _, e in side:
+                at += e > cuts[at]
+                group[cuts[at]][k].append(str(token))
+        written = ["|".join(",".join(x) for x in group[cut]) for cut in cuts]
         links, first = [], 0
         for k, s, e in spans[0]:
             while spans[1][first][2] <= s:
