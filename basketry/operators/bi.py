@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import exprs as X
-from basketry.operators import ranking
+from basketry.operators import selection
 from basketry.operators.features import revenue
 from basketry.operators.frames import combine_rows
+from basketry.session import ensure_checkpoint_dir
 
 # The channel columns of the category x channel matrix.
 CHANNELS = ["Online", "In-Store", "Mobile App", "Phone"]
@@ -165,18 +166,22 @@ def histogram(df: DataFrame, metrics, bins: int = 40) -> DataFrame:
     """X11: equal-width histograms (numpy semantics: last bin right-inclusive, a constant
     column's range is widened by one half on each side, empty bins are rows) + median.
 
-    Values of all metrics are stacked into (metric, v); per-metric min/max is
-    one grouped aggregate of ``len(metrics)`` rows, broadcast back.
+    Ends and medians are one row a metric; values of all metrics are then stacked into
+    (metric, v) and counted by bin in one aggregation.
     """
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics]))
-        .alias("s")).select("s.*").where(F.col("v").isNotNull())
-    ends = stacked.groupBy("metric").agg(F.min("v").alias("_min"), F.max("v").alias("_max"))
-    half = F.when(F.col("_min") == F.col("_max"), 0.5).otherwise(0.0)
-    bounds = ends.select("metric", (F.col("_min") - half).alias("_lo"), (F.col("_max") + half).alias("_hi"))
-    medians = ranking.grouped_exact_quantiles(stacked, "metric", "v", [0.5], "_med") \
-        .select("metric", F.col("_med0").alias("median"))
-    bounds = bounds.join(medians, "metric")  # both one row per metric
+    ensure_checkpoint_dir(df.sparkSession)
+    values = df.select(*[F.col(m).cast("double").alias(m) for m in metrics]).checkpoint(eager=True)
+    medians = selection.quantiles(values, list(metrics), [0.5])
+    ends = values.agg(*[f(m).alias(f"{f.__name__}_{m}") for m in metrics for f in (F.min, F.max)]).first()
+    rows = []
+    for m in metrics:
+        if m in medians:
+            low, high = ends[f"min_{m}"], ends[f"max_{m}"]
+            half = 0.5 if low == high else 0.0
+            rows.append((m, low - half, high + half, medians[m][0]))
+    bounds = df.sparkSession.createDataFrame(rows, "metric string, _lo double, _hi double, median double")     # a row a metric
+    stacked = values.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in metrics]))
+                            .alias("s")).select("s.*").where(F.col("v").isNotNull())
     j = stacked.join(F.broadcast(bounds), "metric")
     width = F.col("_hi") - F.col("_lo")
     step = width / bins

@@ -1,9 +1,9 @@
 """Model evaluation as Spark jobs (survey M4, M17-M21).
 
 Threshold metrics are computed from per-score counts: ``groupBy(score)``
-gives (positives, negatives) per distinct score, and a distributed running
-sum (``ranking.global_cumsum``) over the scores in descending order gives
-the cumulative counts -- no single-partition window, no collect.
+gives (positives, negatives) per distinct score, and two levels of sums
+(``ranking.prefix_sums``: over ranges of scores, then inside each) give the
+cumulative counts -- no single-partition window, no sort of all scores.
 
 * ROC-AUC is the exact Mann-Whitney form (ties count one half), as an exact
   integer numerator over 2 P N.  ``BinaryClassificationEvaluator`` with its
@@ -27,8 +27,7 @@ def score_counts(scored: DataFrame, label: str = "label", score: str = "score")
     N (total_fp)."""
     per = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(
         F.count_if(F.col(label) == 1).alias("tp"), F.count_if(F.col(label) != 1).alias("fp"))
-    return ranking.global_cumsum(per, [F.col(score).desc()], ["tp", "fp"], prefix="cum_",
-                                 with_totals=True)
+    return ranking.prefix_sums(per, score, ["tp", "fp"], descending=True, with_totals=True)
 
 
 def ranking_metrics(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions import exprs as X
-from basketry.operators import ranking
+from basketry.operators import ranking, selection
 from basketry.session import ensure_checkpoint_dir
 
 
@@ -78,31 +78,19 @@ def rfm_gen1(transactions: DataFrame) -> DataFrame:
 def rfm_quantile_scores(rfm: DataFrame, q: int = 5) -> DataFrame:
     """A4: R/M by quantile bins (R reversed), F by quintiles of the first-rank.
 
-    One distributed sort ranks recency, monetary and frequency together
-    (ties by customer_id): the R/M bin edges are read off exact positions,
-    F is the quintile of the frequency rank -- pandas
-    ``qcut(rank(method="first"))``, whose edges sit at 1 + i (n - 1) / q,
-    compared exactly in integers.
+    The R/M bin edges are exact order statistics.  F is pandas
+    ``qcut(rank(method="first"))``, whose edges sit at 1 + i (n - 1) / q: its cuts are the
+    (frequency, customer_id) keys at the ranks just before those, selected exactly, so no
+    customer is ranked and nothing is joined.
     """
-    # One transaction aggregate for the ranking and the final join; ranks are
-    # checkpointed inside, so edges and F ranks read the same rows.
     ensure_checkpoint_dir(rfm.sparkSession)
-    rfm = rfm.checkpoint(eager=True)
-    ranked = ranking.stacked_ranks(rfm, "customer_id", ["recency", "monetary", "frequency"])
-    edges = ranking.quantiles_from_ranks(ranked.where(F.col("_dim") < 2),
-                                         [i / q for i in range(q + 1)])
-    for dim, name in ((0, "recency"), (1, "monetary")):
-        e = edges.get(dim)
-        if e is None or len(set(e)) != len(e):
-            raise ValueError(f"qcut: bin edges of {name} must be unique: {e}")
-    f = F.lit(1)
-    for i in range(1, q):
-        f = f + F.when(F.lit(q) * (F.col("_r") - 1) > F.lit(i) * (F.col("_n") - 1), 1).otherwise(0)
-    f_scores = ranked.where(F.col("_dim") == 2).select(F.col("_id").alias("customer_id"),
-                                                       f.cast("int").alias("F"))
-    scored = rfm.join(f_scores, "customer_id", "left") \
-        .withColumn("R", ranking.qcut_expr("recency", edges[0], descending=True)) \
-        .withColumn("M", ranking.qcut_expr("monetary", edges[1]))
+    rfm = rfm.checkpoint(eager=True)       # edges, cuts and scores read the very same rows
+    edges = ranking.qcut_edges_many(rfm, ["recency", "monetary"], q)
+    by_frequency = selection.Dimension(F.col("frequency"))
+    cuts, = selection.cut_keys(rfm, "customer_id", [by_frequency], lambda n: sorted({i * (n - 1) // q + 1 for i in range(1, q)} if n else set()))
+    scored = rfm.withColumn("R", ranking.qcut_expr("recency", edges["recency"], descending=True)) \
+        .withColumn("M", ranking.qcut_expr("monetary", edges["monetary"])) \
+        .withColumn("F", selection.buckets_from_cuts(rfm, "customer_id", by_frequency, cuts).cast("int"))
     total = F.col("R") + F.col("F") + F.col("M")
     return scored.select(*rfm.columns, "R", "F", "M") \
         .withColumn("rfm_score", total.cast("int")) \

@@ -1,4 +1,4 @@
-"""Global ranks, NTILE and exact quantiles without a single-partition window.
+"""Global ranks, NTILE, qcut and running totals without a single-partition window.
 
 ``ntile(5).over(Window.orderBy(x))`` plans an ``Exchange SinglePartition``:
 every row of the table goes through one task.  Here the same numbers come
@@ -17,19 +17,19 @@ from a distributed sort instead (survey N1, N2):
 The result equals ``row_number()`` over the order key, with ties broken by
 the key columns themselves (callers always end the key with a unique id).
 
-Several rankings share one sort by stacking (dimension, key, id) rows:
-``global_ntiles`` (the three RFM NTILEs), ``stacked_ranks`` (qcut edges and
-first-ranks) and ``grouped_exact_quantiles`` (per-group medians).
+Only callers that need a rank for every row sort (``global_row_number``).  A few ranks,
+NTILE cuts and quantile edges are selected without a sort (``selection``), and running
+totals come from two levels of sums (``prefix_sums``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.operators import selection
 from basketry.session import ensure_checkpoint_dir
 
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | row position
@@ -84,135 +84,27 @@ def global_ntile(df: DataFrame, order: Sequence[Column], buckets: int, out: str,
         .drop("_rn", "_n")
 
 
-def global_ntiles(df: DataFrame, id_col: str, specs, buckets: int,
-                  parts: int | None = None) -> DataFrame:
-    """Several SQL ``NTILE(buckets)`` columns from ONE distributed sort.
+def global_ntiles(df: DataFrame, id_col: str, specs, buckets: int, limit: int | None = None) -> DataFrame:
+    """Several SQL ``NTILE(buckets)`` columns by cut keys: no row is ranked or joined.
 
-    ``specs`` = [(out, column, descending)]; every ordering ends with
-    ``id_col`` ascending, which must be unique.  The ordering keys are stacked
-    as (spec, key, id) rows and ranked together; ranks inside a spec are the
-    global row number minus the spec's start (a table of one row per spec),
-    and the per-id pivot back is a grouping on the id.  NULL keys sort first
-    for ascending and last for descending specs, as in Spark and SQL.
+    ``specs`` = [(out, column, descending)]; every ordering ends with ``id_col`` ascending,
+    which must be unique.  The last (key, id) of each bucket is selected exactly and rows are
+    compared with these cuts.  NULL keys sort first for ascending and last for
+    descending specs, as in Spark and SQL.
     """
-    types = [df.schema[c].dataType.simpleString() for _, c, _ in specs]
-    if any(t in ("double", "float") for t in types):
-        key_type = "double"
-    else:
-        scale = max([int(t.split(",")[1].rstrip(")")) for t in types if t.startswith("decimal")],
-                    default=0)
-        key_type = f"decimal(38,{scale})"
-    parts_ = []
-    for i, (_, c, desc) in enumerate(specs):
-        k = F.col(c).cast(key_type)
-        parts_.append(F.struct(
-            F.lit(i).alias("_w"),
-            (k.isNotNull() if not desc else k.isNull()).cast("int").alias("_nf"),
-            (-k if desc else k).alias("_k")))
-    stacked = df.select(F.col(id_col).alias("_id"), F.explode(F.array(*parts_)).alias("_s")) \
-        .select("_id", "_s.*")
-    ranked = global_row_number(stacked, [F.col("_w"), F.col("_nf"), F.col("_k"), F.col("_id")],
-                               out="_rn", parts=parts)
-    sizes = ranked.groupBy("_w").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_start"))
-    nt = ranked.join(F.broadcast(sizes), "_w").withColumn(
-        "_nt", ntile_from_rank(F.col("_rn") - F.col("_start") + 1, F.col("_n"), buckets))
-    ntiles = [F.max(F.when(F.col("_w") == i, F.col("_nt"))).alias(out) for i, (out, _, _) in enumerate(specs)]
-    columns = [c for _, c, _ in specs]
-    if set(df.columns) == {id_col, *columns}:
-        # the ranked rows hold every column: pivot them back, no second look at ``df``
-        keys = [F.max(F.when(F.col("_w") == i, -F.col("_k") if desc else F.col("_k"))).cast(df.schema[c].dataType).alias(c)
-                for i, (_, c, desc) in enumerate(specs)]
-        return nt.groupBy(F.col("_id").alias(id_col)).agg(*keys, *ntiles).select(*df.columns, *[o for o, _, _ in specs])
-    wide = nt.groupBy("_id").agg(*ntiles)
-    return df.join(wide, df[id_col].eqNullSafe(wide["_id"])).drop("_id")   # a NULL id is a group of its own
-
-
-def _position_aggs(probs, prefix: str):
-    """Aggregates picking the linear-interpolated quantiles from ranked rows.
-
-    Expects ``_v`` (value), ``_r`` (1-based rank within the group) and ``_n``
-    (group size).  For p = a/b the position a (n - 1) / b is split into an
-    integer part and a fraction in exact integer arithmetic; the result is
-    lo + (hi - lo) * frac.  Also returns the filter keeping only the rows
-    that can be picked.
-    """
-    aggs, needed = [], F.lit(False)
-    for i, p in enumerate(probs):
-        frac = Fraction(p).limit_denominator(10 ** 6)
-        a, b = frac.numerator, frac.denominator
-        scaled = F.lit(a) * (F.col("_n") - 1)
-        lo = F.call_function("div", scaled, F.lit(b)) + 1
-        hi = F.least(lo + 1, F.col("_n"))
-        fr = (scaled % b).cast("double") / float(b)
-        needed = needed | (F.col("_r") == lo) | (F.col("_r") == hi)
-        v_lo = F.max(F.when(F.col("_r") == lo, F.col("_v")))
-        v_hi = F.max(F.when(F.col("_r") == hi, F.col("_v")))
-        aggs.append((v_lo + (v_hi - v_lo) * F.max(fr)).alias(f"{prefix}{i}"))
-    return aggs, needed
-
-
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    prefix: str = "q", parts: int | None = None) -> DataFrame:
-    """One-row frame of linear-interpolated quantiles (pandas/``quantile_cont``).
-
-    For p = a/b the position is h = a (n - 1) / b in the sorted non-null
-    values, taken in exact integer arithmetic; result lo + (hi - lo) * frac.
-    Exact at any cardinality: the values are sorted by a range shuffle
-    instead of being held in one aggregation buffer.
-    """
-    one = df.select(F.lit(0).alias("_grp"), F.col(value).alias("_val"))
-    return grouped_exact_quantiles(one, "_grp", "_val", probs, prefix, parts).drop("_grp")
-
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)                 # cuts and buckets read the very same rows
+    dims = [selection.Dimension(-F.col(c) if desc else F.col(c), nulls_first=not desc) for _, c, desc in specs]
+    cuts = selection.cut_keys(df, id_col, dims, lambda n: selection.ntile_ends(n, buckets), limit)
+    labels = [selection.buckets_from_cuts(df, id_col, d, own).cast("int").alias(out) for (out, _, _), d, own in zip(specs, dims, cuts, strict=True)]
+    return df.select("*", *labels)
 
-def grouped_exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float],
-                            prefix: str = "q", parts: int | None = None) -> DataFrame:
-    """``exact_quantiles`` per group from ONE distributed sort on (group, value).
 
-    Returns one row per group: ``group``, ``{prefix}0..``, ``{prefix}_n``.
-    The per-group size table has one row per group.
-    """
-    # Equal values may be ordered arbitrarily without changing any quantile, so
-    # a row id ends the sort key: a value held by a third of all rows is then
-    # still split across range partitions instead of landing in one task.
-    vals = df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v")) \
-        .where(F.col("_v").isNotNull()).withColumn("_tb", F.monotonically_increasing_id())
-    ranked = global_row_number(vals, [F.col("_g"), F.col("_v"), F.col("_tb")], out="_rn",
-                               parts=parts)
-    sizes = ranked.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_start"))
-    # callers' groups are columns and metrics: a handful of rows, never a data-sized key
-    local = ranked.join(F.broadcast(sizes), "_g").withColumn("_r", F.col("_rn") - F.col("_start") + 1)
-    aggs, needed = _position_aggs(probs, prefix)
-    picked = local.where(needed).groupBy("_g").agg(*aggs, F.max("_n").alias(f"{prefix}_n"))
-    return picked.withColumnRenamed("_g", group)
-
-
-def stacked_ranks(df: DataFrame, id_col: str, values, parts: int | None = None) -> DataFrame:
-    """Rank several columns with ONE distributed sort.
-
-    Rows (dim, value, id) are stacked for every column in ``values`` and
-    ranked over (dim, value, id); returns ``_dim`` (index into ``values``),
-    ``_v`` (value as double), ``_id``, ``_r`` (1-based rank inside the dim,
-    ties by id) and ``_n`` (non-null rows of the dim).  NULL values are left
-    out.  The per-dim size table has one row per column.
-    """
-    stacked = df.select(F.col(id_col).alias("_id"), F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_dim"), F.col(c).cast("double").alias("_v"))
-        for i, c in enumerate(values)])).alias("_s")).select("_id", "_s.*") \
-        .where(F.col("_v").isNotNull())
-    ranked = global_row_number(stacked, [F.col("_dim"), F.col("_v"), F.col("_id")], out="_rn",
-                               parts=parts)
-    sizes = ranked.groupBy("_dim").agg(F.count(F.lit(1)).alias("_n"),
-                                       F.min("_rn").alias("_start"))
-    return ranked.join(F.broadcast(sizes), "_dim") \
-        .withColumn("_r", F.col("_rn") - F.col("_start") + 1).drop("_rn", "_start")
-
-
-def quantiles_from_ranks(ranked: DataFrame, probs) -> dict[int, list[float]]:
-    """Linear-interpolated quantiles of every dim of ``stacked_ranks`` output,
-    exact positions; one row per dim is collected."""
-    aggs, needed = _position_aggs(probs, "q")
-    rows = ranked.where(needed).groupBy("_dim").agg(*aggs).collect()
-    return {r["_dim"]: [r[f"q{i}"] for i in range(len(probs))] for r in rows}
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
+    """One-row frame of linear-interpolated quantiles (no row without values), selected exactly."""
+    found = selection.quantiles(df, [value], probs).get(value)
+    schema = ", ".join(f"{prefix}{i} double" for i in range(len(probs)))
+    return df.sparkSession.createDataFrame([tuple(found)] if found else [], schema)
 
 
 def qcut_expr(value: str, edges, descending: bool = False):
@@ -226,93 +118,75 @@ def qcut_expr(value: str, edges, descending: bool = False):
     return F.when(v.isNotNull(), label).cast("int")
 
 
-def global_cumsum(df: DataFrame, order: Sequence[Column], cols: Sequence[str],
-                  prefix: str = "cum_", parts: int | None = None,
-                  with_totals: bool = False) -> DataFrame:
-    """Running totals of ``cols`` over a global order, without a single partition.
+def prefix_sums(df: DataFrame, key: str, cols: Sequence[str], descending: bool = False, buckets: int = 256,
+                prefix: str = "cum_", with_totals: bool = False) -> DataFrame:
+    """Running totals of ``cols`` over the numeric ``key`` (distinct, not null), on two levels.
 
-    Same range-partition + checkpoint scheme as ``global_row_number``; inside a
-    range partition a window keyed by the partition index does the running
-    sum, and per-partition totals (one row per partition, broadcast) shift it.
-    ``with_totals`` also adds the grand total of each column as ``total_<col>``.
+    A sketch cuts the keys into ``buckets`` ranges of about as many rows.  The first level sums
+    each range, a table of ``buckets`` rows on the driver; the second runs inside the ranges, which one
+    exchange by range number brings together.  Nulls count as 0.  ``with_totals`` adds ``total_<col>``.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = _num_parts(df, parts)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id()))
-    ranged = ranged.checkpoint(eager=True)
-    w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.select("*", *[F.sum(c).over(w).alias(f"_loc_{c}") for c in cols])
-    totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_pt_{c}") for c in cols])
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()  # one row per range partition
-    offsets = totals.select(
-        "_pid",
-        *[F.coalesce(F.sum(f"_pt_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in cols],
-        *[F.sum(f"_pt_{c}").over(everything).alias(f"total_{c}") for c in cols])
-    out = local.join(F.broadcast(offsets), "_pid")
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)                 # edges, sums and rows of the very same table
+    share = [(i + 1) / buckets for i in range(buckets - 1)]
+    sketch = df.agg(F.percentile_approx(F.col(key).cast("double"), share, max(10_000, 20 * buckets)).alias("e")).first()["e"]
+    edges = sorted({float(e) for e in sketch or []})
+    order = F.col(key).desc() if descending else F.col(key).asc()
+    own = F.col(key).cast("double")
+    where = F.size(F.filter(F.array(*[F.lit(e) for e in edges]).cast("array<double>"), lambda e: own < e if descending else own > e))
+    ranged = df.withColumn("_range", where)
+    sums = {r["_range"]: r for r in ranged.groupBy("_range").agg(*[F.sum(c).alias(c) for c in cols]).collect()}
+    out = ranged
+    w = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     for c in cols:
-        out = out.withColumn(f"{prefix}{c}", F.col(f"_loc_{c}") + F.col(f"_off_{c}"))
-    drop = ["_pid", *[f"_loc_{c}" for c in cols], *[f"_off_{c}" for c in cols]]
-    if not with_totals:
-        drop += [f"total_{c}" for c in cols]
-    return out.drop(*drop)
+        kind = ranged.agg(F.sum(c).alias("s")).schema["s"].dataType
+        before, total = [], None
+        for k in range(len(edges) + 1):
+            before.append(total or 0)
+            step = sums[k][c] if k in sums else None
+            total = total if step is None else step + (total or 0)
+        starts = F.array(*[F.lit(x) for x in before]).cast(f"array<{kind.simpleString()}>")
+        out = out.withColumn(f"{prefix}{c}", F.coalesce(F.sum(c).over(w), F.lit(0)) + F.element_at(starts, F.col("_range") + 1))
+        if with_totals:
+            out = out.withColumn(f"total_{c}", F.lit(total).cast(kind))
+    return out.drop("_range")
 
 
 def qcut_labels(df: DataFrame, value: str, out: str, q: int = 5, descending: bool = False,
-                duplicates: str = "raise", parts: int | None = None) -> DataFrame:
+                duplicates: str = "raise") -> DataFrame:
     """pandas ``qcut(value, q, labels=1..q)`` (reversed when ``descending``)."""
-    return qcut_many(df, [(value, out, descending)], q, duplicates, parts)
+    return qcut_many(df, [(value, out, descending)], q, duplicates)
 
 
-def qcut_many(df: DataFrame, specs, q: int = 5, duplicates: str = "raise",
-              parts: int | None = None) -> DataFrame:
+def qcut_many(df: DataFrame, specs, q: int = 5, duplicates: str = "raise") -> DataFrame:
     """Several ``qcut`` columns at once; ``specs`` = [(value, out, descending)].
 
     Bins are right-closed with the first bin including the minimum, so the
     label is 1 + the number of inner edges strictly below the value.  The
-    edges of all columns come from one distributed sort; duplicate edges raise
-    like pandas does.
+    edges of all columns are selected together; duplicate edges raise like pandas does.
     """
-    edges = qcut_edges_many(df, [v for v, _, _ in specs], q, duplicates, parts)
-    out_df = df
+    edges = qcut_edges_many(df, [v for v, _, _ in specs], q, duplicates)
     for value, out, descending in specs:
         # duplicates="drop" (pandas) merges equal edges: fewer, wider bins.
         e = sorted(set(edges[value])) if duplicates == "drop" else edges[value]
-        n_bins = len(e) - 1
-        v = F.col(value).cast("double")
-        label = F.lit(1)
-        for edge in e[1:-1]:
-            label = label + F.when(v > F.lit(edge), 1).otherwise(0)
-        if descending:
-            label = F.lit(n_bins + 1) - label
-        out_df = out_df.withColumn(out, F.when(v.isNotNull(), label).cast("int"))
-    return out_df
-
-
-def qcut_edges_many(df: DataFrame, values, q: int = 5, duplicates: str = "raise",
-                    parts: int | None = None) -> dict[str, list[float]]:
-    """The q + 1 edges (min, inner quantiles, max) of each column as driver-side
-    floats; the frame behind them has one row per column, the only thing collected."""
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(v).alias("_name"), F.col(v).cast("double").alias("_value"))
-        for v in values])).alias("_s")).select("_s.*")
-    probs = [i / q for i in range(q + 1)]
-    rows = grouped_exact_quantiles(stacked, "_name", "_value", probs, "_e", parts).collect()
-    edges = {r["_name"]: [r[f"_e{i}"] for i in range(q + 1)] for r in rows}
+        df = df.withColumn(out, qcut_expr(value, e, descending))
+    return df
+
+
+def qcut_edges_many(df: DataFrame, values, q: int = 5, duplicates: str = "raise") -> dict[str, list[float]]:
+    """The q + 1 edges (min, inner quantiles, max) of each column as driver-side floats."""
+    edges = selection.quantiles(df, list(values), [i / q for i in range(q + 1)])
     for v in values:
         e = edges.get(v)
-        if e is None or any(x is None for x in e):
+        if e is None:
             raise ValueError(f"qcut: {v} has no non-null values")
         if duplicates == "raise" and len(set(e)) != len(e):
             raise ValueError(f"qcut: bin edges of {v} must be unique: {e}")
     return edges
 
 
-def qcut_edges(df: DataFrame, value: str, q: int = 5, duplicates: str = "raise",
-               parts: int | None = None) -> list[float]:
-    return qcut_edges_many(df, [value], q, duplicates, parts)[value]
+def qcut_edges(df: DataFrame, value: str, q: int = 5, duplicates: str = "raise") -> list[float]:
+    return qcut_edges_many(df, [value], q, duplicates)[value]
 
 
 def average_rank_desc(df: DataFrame, value: str, out: str) -> DataFrame:

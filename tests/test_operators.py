@@ -83,9 +83,9 @@ def test_average_rank_desc_matches_pandas(spark):
     assert got == pd.Series(vals).rank(ascending=False).astype(int).tolist()
 
 
-def test_global_cumsum(spark):
+def test_prefix_sums(spark):
     df = spark.createDataFrame([(i, i % 3) for i in range(200)], "k int, v int")
-    got = ranking.global_cumsum(df, [F.col("k").desc()], ["v"]).orderBy(F.col("k").desc())
+    got = ranking.prefix_sums(df, "k", ["v"], descending=True).orderBy(F.col("k").desc())
     vals = [r["cum_v"] for r in got.collect()]
     assert vals == list(np.cumsum([i % 3 for i in range(199, -1, -1)]))
 
