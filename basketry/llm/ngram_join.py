@@ -274,7 +274,7 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     tokens = source.filter("doc is not null").mapInArrow(lambda it: C.trimmed(_token_rows(it, words, percent)), "token long, node long, tag long")
     shared = C.checkpointed(tokens.repartition("token").sortWithinPartitions("token", "node")
-                            .mapInArrow(_shared, "token long, node long, tag long"))
+                            .mapInArrow(lambda it: C.trimmed(_shared(it)), "token long, node long, tag long"))
     C.release(docs.sparkSession)
 
     # groups: smallest shared token, spread once over the tokens, cut to the group size
@@ -314,11 +314,31 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.col("doc").alias("doc_id"), "n_shingles", F.coalesce("component", "doc").alias("component_id"))
 
 
+def _told_apart(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with ``__own``, a number that tells documents apart where ids do not.
+
+    It is the id, unless that is null or has several texts: then a number from id and text (2**62
+    and more, so they come last in ties).  Of rows with equal numbers only one stays.
+    """
+    own, tag = F.col(id_col).cast("long"), F.xxhash64(text_col)
+    texts = docs.select(own.alias("__id"), tag.alias("__tag")).groupBy("__id", "__tag").agg(F.count("*").alias("n"))
+    odd = C.join_side(texts.groupBy("__id").agg(F.count("*").alias("__texts"), F.max("n").alias("n"))
+                      .filter("__texts > 1 or n > 1 or __id is null").select("__id", "__texts"))
+    same = own.eqNullSafe(F.col("__id"))
+    number = F.xxhash64(id_col, text_col).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    even = docs.join(odd, same, "left_anti").withColumn("__own", own)
+    rest = docs.join(odd, same).withColumn("__own", F.when((F.col("__texts") > 1) | F.col("__id").isNull(), number).otherwise(own))
+    return even.unionByName(rest.drop("__id", "__texts").dropDuplicates(["__own"]))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose document is the smallest id of its component.
+    """One row (all columns) of each component: that of the smallest id, null ids last.
 
-    A document is its id: rows that repeat a kept id stay, and so do rows without an id.
+    Rows that repeat an id with the same text are one document; an id with several texts, and a null
+    id, stand for as many documents as they have texts.  Empty texts are linked with nothing: all
+    stay but repeats of one row.
     """
-    found = similarity_components(docs, id_col, text_col, **options)
-    lost = C.join_side(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__lost")).distinct())
-    return docs.join(lost, F.col(id_col).cast("long") == F.col("__lost"), "left_anti")
+    apart = _told_apart(docs, id_col, text_col)
+    found = similarity_components(apart, "__own", text_col, **options)
+    lost = C.join_side(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__lost")))
+    return apart.join(lost, F.col("__own") == F.col("__lost"), "left_anti").drop("__own")

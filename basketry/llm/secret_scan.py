@@ -13,7 +13,8 @@ owner-specific and live-looking, unless it is an obvious placeholder.
 
 Base spans are always reported; the other candidates only if live-looking.
 
-Defined cases: a null or empty text has no candidates; a null owner counts as
+Work on a text grows linearly with its length and its candidates.  Defined cases: a null or
+empty text has no candidates; of overlapping candidates the kind listed first, then the first place, is taken; a null owner counts as
 one owner of its own, a null repository as one repository; repeated rows get the same result each.
 """
 
@@ -39,9 +40,13 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 VENDOR = re.compile(r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{20,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}"
                     r"|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|ASIA[A-Z0-9]{16})", re.A)
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", re.A)
-PEM = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END (?:[A-Z]+ )*PRIVATE KEY-----)?", re.A)
+# the header, then lines of a key (20 characters or more, the last one before the end line may be shorter): prose is none
+PEM = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:\s+[A-Za-z0-9+/=]{20,}+(?!\S))+(?:\s+[A-Za-z0-9+/=]{1,19}(?=\s+-----END))?"
+                 r"(?:\s+-----END (?:[A-Z]+ )*PRIVATE KEY-----)?", re.A)
 MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{24,}", re.A)
 PLACEHOLDER = re.compile(r"example|sample|changeme|placeholder|dummy|your[_-]?|xxxx|\*\*\*\*|(.)\1{7}", re.I | re.A)
+#: Bytes of text turned into Python strings at once.
+BLOCK = 1 << 18
 #: Bits a character of a mixed string must have on average.
 ENTROPY = 3.5
 
@@ -64,14 +69,32 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
+def _disjoint(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same places in order, overlapping ones joined."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(places):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e))
+        else:
+            out.append((s, e))
+    return out
+
+
 def further_spans(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
     """Candidates of the other kinds that no span found before overlaps."""
-    found = list(taken)
+    found: list[tuple[int, int, int, str]] = []
+    covered = _disjoint([(s, e) for s, _, e, _ in taken])
 
     def add(kind: int, pattern: re.Pattern, good=lambda s: True) -> None:
-        for m in pattern.finditer(text):
-            if good(m[0]) and not any(m.start() < e and s < m.end() for s, _, e, _ in found):
-                found.append((m.start(), kind, m.end(), m[0]))
+        nonlocal covered
+        more, at = [], 0
+        for m in pattern.finditer(text):                 # matches and covered places both come in order
+            while at < len(covered) and covered[at][1] <= m.start():
+                at += 1
+            if (at == len(covered) or covered[at][0] >= m.end()) and good(m[0]):
+                more.append((m.start(), kind, m.end(), m[0]))
+        found.extend(more)
+        covered = _disjoint(covered + [(s, e) for s, _, e, _ in more])
 
     if any(sign in text for sign in ("_", "glpat-", "xox", "AIza", "ASIA")):
         add(3, VENDOR)
@@ -80,11 +103,19 @@ def further_spans(text: str, taken: list[tuple[int, int, int, str]]) -> list[tup
     if "-----BEGIN" in text:
         add(5, PEM)
     add(6, MIXED, lambda s: re.search("[a-z]", s) and re.search("[A-Z]", s) and _entropy(s) >= ENTROPY)
-    return sorted(found[len(taken):])
+    return sorted(found)
 
 
-def _rows(batches):
+def _slices(batches, column: str):
+    """Slices of the batches with about BLOCK bytes of text each (or one row)."""
     for batch in batches:
+        _, offsets = C.texts_of(batch.column(column))
+        for i, j in C.blocks(offsets, BLOCK):
+            yield batch.slice(i, j - i)
+
+
+def _rows(batches):
+    for batch in _slices(batches, "text"):
         counts, shas, spans = [], [], []
         for text in batch.column("text").to_pylist():
             base = base_spans(text) if text else []
@@ -120,7 +151,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
                          F.col(repo_col or id_col).cast("string").alias("repo"), F.xxhash64(text_col).alias("tag"), F.col(text_col).alias("text"))
     # the checkpoint fixes rows and partitions, so the numbers given to rows stay the same
     rows = C.checkpointed(source.mapInArrow(
-        _rows, f"doc long, owner string, repo string, tag long, n_assign long, n_access long, n_hex long, base_sha256 string, found array<{_SPAN}>"))
+        lambda it: C.trimmed(_rows(it)), f"doc long, owner string, repo string, tag long, n_assign long, n_access long, n_hex long, base_sha256 string, found array<{_SPAN}>"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     places = rows.select("row", "owner", "repo", F.explode("found").alias("s")).select("row", "owner", "repo", "s.*")
     known = ownership(places.select("value", "owner", "repo"))
@@ -152,14 +183,14 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
         C.join_side(live, 100_000), F.col(id_col).cast("long").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__tag")), "left")
 
     def change(batches):
-        for batch in batches:
-            at = columns.index(text_col)
+        at = columns.index(text_col)
+        for batch in _slices(batches, text_col):
             texts = [_masked(t, live, mark) if live else t for t, live in
                      zip(batch.column(at).to_pylist(), batch.column("__live").to_pylist(), strict=True)]
             arrays = [pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(len(columns))]
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return joined.select(*columns, "__live").mapInArrow(change, docs.schema)
+    return joined.select(*columns, "__live").mapInArrow(lambda it: C.trimmed(change(it)), docs.schema)
 
 
 def _masked(text: str, live: list[dict], mark: str) -> str:

@@ -1,10 +1,10 @@
-"""Removal of repeated byte strings by distributed prefix doubling.
+"""Removal of repeated byte strings by hashing at sampled positions.
 
 A byte goes if a string of ``threshold`` (50) bytes that covers it also starts
 in a document with a smaller id.  A suffix array over all bytes would sort
-several hundred bytes per input byte; here the doubling runs over sampled
-positions and stops, position by position, as soon as a rank is unique or the
-threshold is passed:
+several hundred bytes per input byte.  Here, in place of the prefix doubling, two
+fixed sorts run over sampled positions, and a position drops out as soon as its rank is unique
+or the threshold is passed:
 
 * *Positions.*  Every window of ``threshold`` bytes picks the smallest hash
   among its ``k``-byte strings (its minimizer).  Equal windows pick equal
@@ -30,17 +30,16 @@ most once per block whatever its share of the rows.
 Defined cases: null and short texts lose nothing; a null id neither removes
 nor loses bytes; rows which share id and text get the same result each; rows
 which share an id but not the text count as one document for "smaller id" and
-are kept apart by a text tag.
+are kept apart by a number (65,535 different texts of one id at most, else an error).
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm import common as C
@@ -106,8 +105,17 @@ def _pieces(offsets, threshold):
     return row, base, start, np.minimum(start + PIECE + threshold - 1, offsets[row + 1])
 
 
-def _tags(raw, offsets):
-    return np.array([zlib.crc32(raw[a:b]) & 0xFFFF for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.int64)
+def _told_apart(source: DataFrame) -> DataFrame:
+    """``source`` with ``tag``: 0, or the number of a text among the different texts of an id that has several."""
+    own = F.xxhash64("text")
+    texts = source.filter("doc is not null").select("doc", own.alias("own")).distinct()
+    several = C.checkpointed(texts.join(texts.groupBy("doc").agg(F.count("*").alias("n")).filter("n > 1").select("doc"), "doc"))
+    if several.isEmpty():
+        return source.withColumn("tag", F.lit(0).cast("long"))
+    numbered = several.withColumn("tag", F.row_number().over(Window.partitionBy("doc").orderBy("own")).cast("long"))
+    if numbered.agg(F.max("tag")).first()[0] > 0xFFFF:
+        raise ValueError("an id stands for more than 65,535 different texts")
+    return source.withColumn("own", own).join(numbered, ["doc", "own"], "left").select("doc", "text", F.coalesce("tag", F.lit(0)).alias("tag"))
 
 
 _RANKS = pa.schema([("key", pa.int64()), ("seg", pa.int64()), ("doc", pa.int64()), ("at", pa.int64())])
@@ -118,7 +126,7 @@ def _rank_rows(batches, k, threshold):
     for batch in batches:
         raw, offsets = C.texts_of(batch.column("text"))
         docs = batch.column("doc").to_numpy(zero_copy_only=False).astype(np.int64)
-        tags = _tags(raw, offsets)
+        tags = batch.column("tag").to_numpy(zero_copy_only=False)
         prow, pbase, pstart, pend = _pieces(offsets, threshold)
         long_enough = pend - pstart >= threshold
         prow, pbase, pstart, pend = (x[long_enough] for x in (prow, pbase, pstart, pend))
@@ -221,7 +229,7 @@ def _window_rows(batches, threshold):
         raw, offsets = C.texts_of(batch.column("text"))
         docs = batch.column("doc").to_numpy(zero_copy_only=False)
         places = batch.column("places")
-        tags = _tags(raw, offsets)
+        tags = batch.column("tag").to_numpy(zero_copy_only=False)
         base = places.offsets.to_numpy()
         flat = places.flatten().to_numpy(zero_copy_only=False)
         base = base - base[0]
@@ -304,7 +312,7 @@ def _kept(batches, threshold, with_text):
     for batch in batches:
         raw, offsets = C.texts_of(batch.column("text"))
         places = batch.column("places")
-        tags = _tags(raw, offsets)
+        tags = batch.column("tag").to_numpy(zero_copy_only=False)
         n_removed, n_spans, shas, kept = [], [], [], []
         for i, row in enumerate(places):
             text = raw[offsets[i]:offsets[i + 1]]
@@ -338,7 +346,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     comparisons; the result does not depend on it.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    source = _told_apart(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")))
     known = source.filter("doc is not null and octet_length(text) >= %d" % threshold)
 
     ranks = known.mapInArrow(lambda it: _rank_rows(it, k, threshold), "key long, seg long, doc long, at long")
@@ -349,7 +357,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     is_open = F.expr("(at >> 16) & 3").eqNullSafe(SORTED)
     opened = judged.filter(is_open).groupBy("doc").agg(F.collect_list("at").alias("places"))
-    windows = (known.join(opened, "doc").select("doc", "text", "places")
+    windows = (known.join(opened, "doc").select("doc", "text", "tag", "places")
                .mapInArrow(lambda it: _combine_windows(_window_rows(it, threshold)), "key long, doc long, at long"))
     settled = (windows.repartition("key").sortWithinPartitions("key", "doc")
                .mapInArrow(_judge_windows, "doc long, at long"))
@@ -358,5 +366,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     gone = judged.filter(~is_open).unionAll(settled).groupBy("doc").agg(F.collect_list("at").alias("places"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
-    return (source.join(gone, "doc", "left").select("doc", "text", "places")
+    return (source.join(gone, "doc", "left").select("doc", "text", "tag", "places")
             .mapInArrow(lambda it: _kept(it, threshold, with_text), schema))
