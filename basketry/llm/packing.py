@@ -22,6 +22,7 @@ and repeated rows are packed like any others.
 
 from __future__ import annotations
 
+import os
 import zlib
 from itertools import chain, repeat
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from basketry.llm import common as C
 
 #: White-space separated strings whose ids a worker keeps; the ids of further ones are kept for one block.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 #: A character that stands between strings encoded together (its own token), and how many of them.
 BETWEEN, TOGETHER = "\x01", 100
 
@@ -42,11 +43,12 @@ class WordIds:
     """Token ids of texts; the tokenizer never joins over white space, so ids are kept per string.
 
     A string that ends in full stops or commas behind a letter or digit is its
-    stem's ids and theirs, and A-Z are lower-cased by the tokenizer anyway: the
-    tokenizer itself only sees each stem.
+    stem's ids and theirs, and A-Z are lower-cased first: the tokenizer itself only sees
+    each stem.
     """
 
     def __init__(self, tokenizer_json: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # a task has one core; threads only add memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -73,7 +75,7 @@ class WordIds:
         alone = [s for s in strings if b"\x01" in s]
         plain = [s for s in strings if b"\x01" not in s]
         parts = [f" {BETWEEN} ".join(s.decode("utf-8", "replace") for s in plain[i:i + TOGETHER]) for i in range(0, len(plain), TOGETHER)]
-        for part, k in zip(self.tokenizer.encode_batch(parts, add_special_tokens=False), range(0, len(plain), TOGETHER), strict=True):
+        for part, k in zip(self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), range(0, len(plain), TOGETHER), strict=True):
             ids = np.array(part.ids, np.uint32)
             cut = ids == self.between
             edge = np.concatenate([[-1], np.flatnonzero(cut), [len(ids)]])
@@ -89,13 +91,14 @@ class WordIds:
         if len(stem) < len(s) and not (stem[-1:].isalnum() or stem and stem[-1] >= 128 and stem.decode("utf-8", "replace")[-1].lower()[-1].isalnum()):
             stem = s              # what stands before the stops may be one token with them
         tail = s[len(stem):]
-        return (stem if b"<|" in stem else stem.lower()), tail       # special tokens are told by their case
+        return stem, tail
 
     def _learn(self, strings: list[bytes]) -> None:
-        split = [self._split(s) for s in strings]
-        whole = dict.fromkeys(part for pair in split for part in pair if part and part not in self.known)
-        self._encode_all(list(whole))
-        rest = [(s, pair) for s, pair in zip(strings, split, strict=True) if s not in self.known]
+        ended = [s for s in strings if s[-1] in b".,"]
+        split = [self._split(s) for s in ended]
+        parts = chain((s for s in strings if s[-1] not in b".,"), (part for pair in split for part in pair if part))
+        self._encode_all([part for part in dict.fromkeys(parts) if part not in self.known])
+        rest = [(s, pair) for s, pair in zip(ended, split, strict=True) if s not in self.known]
         if rest:
             if b"" not in self.known:
                 self._add([b""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
@@ -108,7 +111,8 @@ class WordIds:
         return self.flat[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
 
     def encode(self, texts: list[bytes], end_id: int) -> list[np.ndarray]:
-        split = [t.split() for t in texts]
+        # the tokenizer lower-cases anyway; special tokens are told by their case
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         words = list(chain.from_iterable(split))
         full, before = self.count >= REMEMBERED, (self.count, self.used)
         at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
