@@ -29,15 +29,17 @@ def bi_measures(customers: DataFrame, transactions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_nc"),
         F.count_if(F.col("is_churned") == 1).alias("_churned"),
         F.count_if(F.col("is_churned") == 0).alias("active_customers"))
-    per_customer = transactions.where(F.col("customer_id").isNotNull()) \
-        .groupBy("customer_id").agg(F.sum(X.cents(revenue())).alias("_rev"))
-    clv = per_customer.agg(F.sum("_rev").alias("_clv_rev"), F.count(F.lit(1)).alias("_buyers"))
-    t = transactions.agg(
-        F.count(F.lit(1)).alias("_nt"),
-        F.count_if(F.col("is_returned") == 1).alias("_returned"),
-        F.sum(X.cents(revenue())).alias("_rev"),
-        F.sum(X.cents(F.col("final_amount"))).alias("_fin"), F.count("final_amount").alias("_nf"))
-    one = combine_rows(c, t, clv)
+    # one scan: the totals follow from the rows per customer, the NULL customer among them
+    per_customer = transactions.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_returned") == 1).alias("returned"),
+        F.sum(X.cents(revenue())).alias("rev"),
+        F.sum(X.cents(F.col("final_amount"))).alias("fin"), F.count("final_amount").alias("nf"))
+    known = F.col("customer_id").isNotNull()
+    t = per_customer.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("_nt"), F.coalesce(F.sum("returned"), F.lit(0)).alias("_returned"),
+        F.sum("rev").alias("_rev"), F.sum("fin").alias("_fin"), F.sum("nf").alias("_nf"),
+        F.sum(F.when(known, F.col("rev"))).alias("_clv_rev"), F.count_if(known).alias("_buyers"))
+    one = combine_rows(c, t)
     return one.select(
         X.mean_double(F.col("_churned") * 100, F.col("_nc")).alias("churn_rate_pct"),
         X.mean_double(F.col("_returned") * 100, F.col("_nt")).alias("return_rate_pct"),
@@ -53,19 +55,31 @@ def _monthly_cents(transactions: DataFrame) -> DataFrame:
         .agg(F.sum(X.cents(revenue())).alias("_rev"))
 
 
+def _with_previous(monthly: DataFrame, own: list[str], total: str) -> DataFrame:
+    """``monthly`` (a row a month) with ``_prev``, the ``total`` of the calendar month before.
+
+    Each month sends its total to the month after; grouping brings both together, so the rows
+    behind ``monthly`` are read once and a missing month gives NULL.
+    """
+    kinds = {c: monthly.schema[c].dataType for c in (*own, total)}
+    here = F.struct(F.col("month").alias("month"), *[F.col(c).alias(c) for c in own], F.lit(None).cast(kinds[total]).alias("_prev"), F.lit(True).alias("_here"))
+    after = F.struct(F.add_months("month", 1).alias("month"), *[F.lit(None).cast(kinds[c]).alias(c) for c in own],
+                     F.col(total).alias("_prev"), F.lit(False).alias("_here"))
+    sent = monthly.select(F.explode(F.array(here, after)).alias("s")).select("s.*")
+    return sent.groupBy("month").agg(*[F.first(c, ignorenulls=True).alias(c) for c in own], F.max("_prev").alias("_prev"),
+                                     F.max("_here").alias("_here")).where("_here").drop("_here")
+
+
 def mom_growth(transactions: DataFrame) -> DataFrame:
-    """X6 + J8 at month grain: previous calendar month by a join on add_months,
-    so a missing month gives NULL instead of comparing with an older month."""
-    m = _monthly_cents(transactions)
-    prev = m.select(F.add_months("month", 1).alias("month"), F.col("_rev").alias("_prev"))
-    j = m.join(prev, "month", "left")
+    """X6 + J8 at month grain: against the previous calendar month, NULL where that is missing."""
+    j = _with_previous(_monthly_cents(transactions), ["_rev"], "_rev")
     return j.select(
         "month",
         (F.col("_rev").cast("double") / 100.0).alias("revenue"),
         (F.col("_prev").cast("double") / 100.0).alias("prev_month_revenue"),
         F.when(F.col("_prev") != 0,
                X.mean_double((F.col("_rev") - F.col("_prev")) * 100, F.col("_prev")))
-        .alias("mom_growth_pct"))
+        .alias("mom_growth_pct")).orderBy("month")
 
 
 def mtd_revenue(transactions: DataFrame) -> DataFrame:
@@ -73,13 +87,12 @@ def mtd_revenue(transactions: DataFrame) -> DataFrame:
     t = transactions.where(F.col("transaction_date").isNotNull())
     daily = t.groupBy("transaction_date").agg(F.sum(X.cents(revenue())).alias("_day")) \
         .withColumn("month", F.trunc("transaction_date", "MM"))
-    # A month holds at most 31 daily rows: the window partitions stay tiny.
+    # A month holds at most 31 daily rows: the window partitions and the lists stay tiny.
     w = Window.partitionBy("month").orderBy("transaction_date") \
         .rowsBetween(Window.unboundedPreceding, 0)
-    daily = daily.withColumn("_mtd", F.sum("_day").over(w))
-    prev = _monthly_cents(transactions).select(
-        F.add_months("month", 1).alias("month"), F.col("_rev").alias("_prev"))
-    j = daily.join(prev, "month", "left")
+    monthly = daily.withColumn("_mtd", F.sum("_day").over(w)).groupBy("month").agg(
+        F.collect_list(F.struct("transaction_date", "_day", "_mtd")).alias("_days"), F.sum("_day").alias("_total"))
+    j = _with_previous(monthly, ["_days"], "_total").select("month", "_prev", F.explode("_days").alias("d")).select("month", "_prev", "d.*")
     return j.select(
         "transaction_date", "month",
         (F.col("_day").cast("double") / 100.0).alias("daily_revenue"),
@@ -87,7 +100,7 @@ def mtd_revenue(transactions: DataFrame) -> DataFrame:
         (F.col("_prev").cast("double") / 100.0).alias("prev_month_revenue"),
         F.when(F.col("_prev") != 0,
                X.mean_double((F.col("_mtd") - F.col("_prev")) * 100, F.col("_prev")))
-        .alias("mom_growth_pct"))
+        .alias("mom_growth_pct")).orderBy("transaction_date")
 
 
 def revenue_by_segment_all(customers: DataFrame, transactions: DataFrame) -> DataFrame:

@@ -170,4 +170,5 @@ def monthly_summary(transactions_clean: DataFrame) -> DataFrame:
         (F.coalesce(F.col("_rev"), F.lit(0)).cast("double") / 100.0).alias("total_revenue"),
         "total_transactions",
         X.mean_double(F.col("_fin"), F.col("_nf") * 100).alias("avg_order_value"),
-        X.mean_double(F.col("_ret"), F.col("_nr")).alias("return_rate"))
+        X.mean_double(F.col("_ret"), F.col("_nr")).alias("return_rate")) \
+        .orderBy("year", "month", "month_name", "product_category")

@@ -465,7 +465,8 @@ def channel_share(transactions: DataFrame) -> DataFrame:
     g = g.withColumn("_total", F.sum("_rev").over(Window.partitionBy()))
     return g.select("channel", (F.col("_rev").cast("double") / 100.0).alias("revenue"), "count",
                     X.mean_double(F.col("_fin"), F.col("_nf") * 100).alias("avg_value"),
-                    X.mean_double(F.col("_rev") * 100, F.col("_total")).alias("revenue_share_pct"))
+                    X.mean_double(F.col("_rev") * 100, F.col("_total")).alias("revenue_share_pct")) \
+        .orderBy("channel")
 
 
 def segment_customers(customers: DataFrame) -> DataFrame:
@@ -480,7 +481,8 @@ def segment_customers(customers: DataFrame) -> DataFrame:
     return g.select("segment", "customer_count",
                     RR(F.col("_age"), F.col("_nage"), 1, he).alias("avg_age"),
                     RR(F.col("_lp"), F.col("_nlp"), 0, he).alias("avg_loyalty"),
-                    RR(F.col("_ch") * 100, F.col("_nch"), 2, he).alias("churn_rate"))
+                    RR(F.col("_ch") * 100, F.col("_nch"), 2, he).alias("churn_rate")) \
+        .orderBy("segment")
 
 
 def daily_revenue(transactions: DataFrame) -> DataFrame:
@@ -493,4 +495,5 @@ def daily_revenue(transactions: DataFrame) -> DataFrame:
         F.sum(X.cents(F.col("final_amount"))).alias("_fin"), F.count("final_amount").alias("_nf"))
     return g.select("transaction_date", "product_category", "channel",
                     (F.col("_rev").cast("double") / 100.0).alias("revenue"), "transactions",
-                    X.mean_double(F.col("_fin"), F.col("_nf") * 100).alias("avg_value"))
+                    X.mean_double(F.col("_fin"), F.col("_nf") * 100).alias("avg_value")) \
+        .orderBy("transaction_date", "product_category", "channel")

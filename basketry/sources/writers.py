@@ -1,13 +1,16 @@
 """Sinks (survey W1-W10).
 
-Everything is written with ``mode("overwrite")`` (the reference replaces its
-files on every run).  Large tables keep their partitioning; only aggregates
-whose size is bounded by dimensions (days x categories x channels, KPI rows)
-are coalesced to one file for BI tools.
+Every table replaces the one before, as in the reference.  It is written aside and
+swapped in when it is complete, so a failed write leaves the old table as it was.
+Tables partitioned by columns are clustered first: each partition is written by as many tasks
+as its counted rows need, not by every task.  Only aggregates whose size is
+bounded by dimensions (days x categories x channels, KPI rows) go to one file for BI tools.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,8 +21,57 @@ def _path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
+#: Rows of one file of a partitioned table.
+ROWS_PER_FILE = 2_000_000
+
+
+def clustered(df: DataFrame, partition_by, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """``df`` dealt so that each partition lies in ceil(rows / ``rows_per_file``) tasks.
+
+    The counts are a table of one row a partition value, bounded by the calendar or another dimension.
+    A partition that holds a third of all rows is spread by a hash of its rows.
+    """
+    spark = df.sparkSession
+    counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows")).collect()
+    places = [tuple(r[c] for c in partition_by) + (-(-r["_rows"] // rows_per_file),) for r in counts]
+    if not places:
+        return df
+    kinds = ", ".join(f"_p{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(partition_by))
+    files = spark.createDataFrame(places, f"{kinds}, _files long")
+    same = None
+    for i, c in enumerate(partition_by):
+        test = F.col(c).eqNullSafe(F.col(f"_p{i}"))
+        same = test if same is None else same & test
+    names = [f"_p{i}" for i in range(len(partition_by))]
+    dealt = (df.withColumn("_row", F.xxhash64(*df.columns)).join(F.broadcast(files), same)      # a row a partition value
+             .withColumn("_file", F.pmod(F.col("_row"), F.col("_files"))).drop("_row", "_files", *names))
+    return dealt.repartition(sum(p[-1] for p in places), *partition_by, "_file").drop("_file")
+
+
+def _swap(df: DataFrame, path: str, write) -> None:
+    """Write beside ``path``, then take the old table's place; a failed write changes nothing.
+
+    A rename is atomic on HDFS and local file systems.  An interrupted swap leaves the old table
+    under its name with ``.old-`` behind it.
+    """
+    jvm, mark = df.sparkSession._jvm, uuid.uuid4().hex[:12]
+    new, old, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.new-{mark}", f"{path}.old-{mark}", path))
+    fs = target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    try:
+        write(f"{path}.new-{mark}")
+    except BaseException:
+        fs.delete(new, True)
+        raise
+    if fs.exists(target):
+        fs.rename(target, old)
+    if not fs.rename(new, target):
+        fs.rename(old, target)
+        raise OSError(f"could not put the new table in place: {path}")
+    fs.delete(old, True)
+
+
 def write_table(df: DataFrame, base: str, name: str, fmt: str = "parquet",
-                partition_by=None, single_file: bool = False) -> str:
+                partition_by=None, single_file: bool = False, rows_per_file: int = ROWS_PER_FILE) -> str:
     path = _path(base, name)
     if fmt == "csv":
         # CSV has no decimal/boolean types of its own: write their text forms.
@@ -28,12 +80,14 @@ def write_table(df: DataFrame, base: str, name: str, fmt: str = "parquet",
                          for f in df.schema.fields])
     if single_file:
         df = df.repartition(1)       # coalesce(1) would run the aggregation itself in one task
-    w = df.write.mode("overwrite").format(fmt)
+    if partition_by:
+        df = clustered(df, partition_by, rows_per_file)
+    w = df.write.mode("errorifexists").format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    _swap(df, path, w.save)
     return path
 
 

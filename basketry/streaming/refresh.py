@@ -4,8 +4,9 @@ The reference refreshes its exports on a daily schedule by recomputing them.
 Here new transaction files landing in a folder are folded into the daily
 (date, category, channel) aggregate by a streaming aggregation: Spark keeps
 the per-group partial sums in its fault-tolerant state store (bounded by
-days x categories x channels, not by transactions), and every trigger
-rewrites the small export table with ``foreachBatch``.  Run it with
+days x categories x channels, not by transactions).  The stream runs in update mode: a trigger
+sees only the groups that changed, and replaces only the days they belong to, each a
+partition of the export with one file.  Other days are not touched.  Run it with
 ``availableNow`` from a scheduler for "daily refresh" semantics, or with a
 processing-time trigger to keep it continuously up to date.
 """
@@ -17,8 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketry.functions import exprs as X
+from basketry.session import ensure_checkpoint_dir
 from basketry.sources.readers import TRANSACTION_SCHEMA
 
+KEYS = ["transaction_date", "product_category", "channel"]
+
 
 def daily_partials(transactions: DataFrame) -> DataFrame:
     """Additive per-day pieces; works on a batch or a streaming frame."""
@@ -40,6 +44,31 @@ def finish_daily(partials: DataFrame) -> DataFrame:
         X.mean_double(F.col("fin_cents"), F.col("n_final") * 100).alias("avg_value"))
 
 
+def replace_days(changed: DataFrame, target_dir: str) -> None:
+    """Put changed (day, category, channel) rows into the export, rewriting only their days.
+
+    The rows of those days that did not change are read back (the days prune the partitions).
+    A batch that is run again writes the same days with the same rows.
+    """
+    spark = changed.sparkSession
+    ensure_checkpoint_dir(spark)
+    changed = changed.checkpoint(eager=True)
+    days = [r["transaction_date"] for r in changed.select("transaction_date").distinct().collect()]     # days of one trigger
+    if not days:
+        return
+    rows = changed
+    if _exists(spark, target_dir):
+        held = spark.read.schema(changed.schema).parquet(target_dir).where(F.col("transaction_date").isin(days))
+        rows = held.join(changed, KEYS, "left_anti").select(*changed.columns).unionByName(changed).checkpoint(eager=True)
+    (rows.repartition("transaction_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("transaction_date").parquet(target_dir))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def start_daily_refresh(spark: SparkSession, source_dir: str, target_dir: str,
                         checkpoint_dir: str, fmt: str = "parquet", available_now: bool = True,
                         processing_time: str | None = None) -> StreamingQuery:
@@ -47,9 +76,9 @@ def start_daily_refresh(spark: SparkSession, source_dir: str, target_dir: str,
     stream = spark.readStream.schema(TRANSACTION_SCHEMA).format(fmt).load(source_dir)
 
     def publish(batch: DataFrame, _epoch: int) -> None:
-        finish_daily(batch).repartition(1).write.mode("overwrite").parquet(target_dir)
+        replace_days(finish_daily(batch), target_dir)
 
-    writer = (daily_partials(stream).writeStream.outputMode("complete")
+    writer = (daily_partials(stream).writeStream.outputMode("update")
               .option("checkpointLocation", checkpoint_dir).foreachBatch(publish))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
