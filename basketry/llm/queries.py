@@ -28,8 +28,8 @@ def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class bigram model learnt from six sevenths of the documents; log10 probability of all."""
     docs = read_table(spark, sf_dir, "documents")
     held_out = common.id_crc(F.col("doc_id"), 7) == 2
-    model, counts = brown_lm.learn(docs.filter(~held_out))
-    return brown_lm.score(docs, model, counts).select(
+    model, scores = brown_lm.learn_and_score(docs, ~held_out)
+    return scores.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
