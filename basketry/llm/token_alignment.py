@@ -37,7 +37,9 @@ from basketry.llm import piece_offsets
 #: Bytes of text worked on at once.
 BLOCK = 1 << 18
 #: Strings whose ids a worker keeps; the ids of further ones are kept for one block.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
+#: Strings encoded as one text, and the sign that a piece vocabulary writes for a space.
+TOGETHER, MARK = 64, "▁".encode()
 #: Pairs whose counts are broadcast (8 bytes each and 1 for being best).
 TABLE_PAIRS = 1 << 20
 #: Pairs a task holds before it passes their counts on.
@@ -123,14 +125,13 @@ class Flat:
         self.data, self.start, self.size = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.count = self.used = 0
 
-    def add(self, lists: list[list[int]]) -> None:
-        size = np.array([len(x) for x in lists], np.int64)
-        total, n = int(size.sum()), len(lists)
+    def add(self, data: np.ndarray, size: np.ndarray) -> None:
+        total, n = len(data), len(size)
         while self.used + total > len(self.data):
             self.data = np.concatenate([self.data, np.zeros_like(self.data)])
         while self.count + n > len(self.size):
             self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-        self.data[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), np.int32, total)
+        self.data[self.used:self.used + total] = data
         self.start[self.count:self.count + n] = self.used + np.cumsum(size) - size
         self.size[self.count:self.count + n] = size
         self.used, self.count = self.used + total, self.count + n
@@ -150,10 +151,31 @@ class Both:
         self.flat = Flat(), Flat()
 
     def _learn(self, strings: list[bytes]) -> None:
-        texts = [s.decode("utf-8", "replace") for s in strings]
-        self.known.update(zip(strings, range(len(self.known), len(self.known) + len(strings)), strict=True))
-        for side, flat in zip(self.sides, self.flat, strict=True):
-            flat.add(side.ids(texts))
+        # strings that may stand before another one are encoded together by side A, as one text (side B takes longer so)
+        joint = [s for s in strings if 32 < s[-1] < 127 and MARK not in s] if self.sides[1].by_word else []
+        apart = [s for s in strings if not (32 < s[-1] < 127) or MARK in s] if self.sides[1].by_word else strings
+        start = len(self.known)
+        self.known.update(zip(chain(joint, apart), range(start, start + len(strings)), strict=True))
+        for (side, flat), encode in zip(zip(self.sides, self.flat, strict=True), (self._together, self._apart), strict=True):
+            for lo in range(0, len(joint), TOGETHER * TOGETHER):
+                flat.add(*encode(side, joint[lo:lo + TOGETHER * TOGETHER]))
+            flat.add(*self._apart(side, apart))
+
+    @staticmethod
+    def _apart(side: Side, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        lists = side.ids([s.decode("utf-8", "replace") for s in strings]) if strings else []
+        size = np.array([len(x) for x in lists], np.int64)
+        return np.fromiter(chain.from_iterable(lists), np.int32, int(size.sum())), size
+
+    def _together(self, side: Side, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of strings joined to texts; a token that reached over their ends would show in the lengths."""
+        ids, _ = self._apart(side, [b"".join(strings[k:k + TOGETHER]) for k in range(0, len(strings), TOGETHER)])
+        end = np.cumsum(side.size[ids])
+        want = np.cumsum(np.fromiter(map(len, strings), np.int64, len(strings)))
+        at = np.searchsorted(end, want)
+        if not len(end) or end[-1] != want[-1] or not np.array_equal(end[at], want):
+            return self._apart(side, strings)
+        return ids, np.diff(at, prepend=-1)
 
     def ids(self, raw: np.ndarray, offsets: np.ndarray):
         """((ids, tokens of each text) of side A, of side B) of texts that begin with their space."""
