@@ -5,26 +5,23 @@ Differences to the scikit-learn reference that are inherent, not bugs:
 * ``StandardScaler`` divides by the sample standard deviation (sklearn: the
   population one).  Every feature is scaled by the same factor
   sqrt(n / (n - 1)), so cluster assignments are unchanged; inertia is not.
-* Spark's ``KMeans`` has no ``n_init``; ``fit_kmeans`` fits ``n_init`` seeds
-  (concurrently, as independent Spark jobs) and keeps the lowest cost.
-* ``ClusteringEvaluator`` computes the silhouette with squared Euclidean
-  distance in linear time; sklearn's Euclidean silhouette is quadratic in the
-  number of customers and is not reproduced.
+* Every k and all ``n_init`` starts run together (``kmeans.fit_all``): one aggregation a
+  step for all of them; the lowest inertia wins.
+* The silhouette is the Euclidean one, every customer against a bounded sample of each
+  cluster, with a standard error (``kmeans.silhouettes``).
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.operators import ranking
+from basketry.operators import kmeans, ranking
+from basketry.session import ensure_checkpoint_dir
 
 # Feature lists and segment names of the reference.
 SEGMENT_FEATURES = ["recency", "frequency", "monetary", "age", "loyalty_points", "tenure_days"]
@@ -38,45 +35,31 @@ def prepare_features(customer_360: DataFrame, features=SEGMENT_FEATURES,
                      id_col: str = "customer_id") -> tuple[DataFrame, PipelineModel]:
     """M1: drop rows with a NULL feature, assemble, standardise (mean 0, sd 1).
 
-    The standardised frame is persisted: every k of the sweep and every
-    seed reads it again.
+    The standardised frame is written to the checkpoint folder once (every step reads it
+    again); nothing stays cached.
     """
     data = customer_360.select(id_col, *[F.col(c).cast("double").alias(c) for c in features]) \
         .dropna(subset=list(features))
+    ensure_checkpoint_dir(data.sparkSession)
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)])
     model = pipe.fit(data)
-    return model.transform(data).drop("raw_features").persist(), model
-
-
-def fit_kmeans(scaled: DataFrame, k: int, n_init: int = 10, max_iter: int = 500,
-               seed: int = 42, parallelism: int = 8) -> KMeansModel:
-    """M2: best of ``n_init`` k-means|| runs by training cost."""
-    def fit(i: int) -> KMeansModel:
-        return KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="features",
-                      predictionCol="cluster").fit(scaled)
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
-        models = list(pool.map(fit, range(n_init)))
-    return min(models, key=lambda m: m.summary.trainingCost)
+    return model.transform(data).drop("raw_features").checkpoint(eager=True), model
 
 
-def silhouette(assigned: DataFrame) -> float:
-    """M4 (squared Euclidean, linear time)."""
-    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
-                               distanceMeasure="squaredEuclidean").evaluate(assigned)
+def fit_kmeans(scaled: DataFrame, k: int, n_init: int = 10, max_iter: int = 500, seed: int = 42) -> KMeansModel:
+    """M2: best of ``n_init`` k-means++ starts by inertia, all starts in one pass a step."""
+    return kmeans.as_model(scaled, kmeans.best(kmeans.fit_all(scaled, [k], n_init, max_iter, seed), k))
 
 
 def k_sweep(scaled: DataFrame, ks=range(2, 9), n_init: int = 10, max_iter: int = SWEEP_ITERATIONS,
             seed: int = 42) -> DataFrame:
-    """M3: (k, inertia, silhouette) for every k; ``best_k`` picks the max silhouette."""
-    rows = []
-    for k in ks:
-        model = fit_kmeans(scaled, k, n_init=n_init, max_iter=max_iter, seed=seed)
-        rows.append((int(k), float(model.summary.trainingCost),
-                     float(silhouette(model.transform(scaled)))))
-    return scaled.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+    """M3 + M4: (k, inertia, silhouette, silhouette_error) for every k; ``best_k`` picks the max silhouette."""
+    runs = kmeans.fit_all(scaled, list(ks), n_init, max_iter, seed)
+    chosen = [kmeans.best(runs, k) for k in ks]
+    rows = [(int(r.k), r.inertia, s, e) for r, (s, e) in zip(chosen, kmeans.silhouettes(scaled, chosen), strict=True)]
+    return scaled.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, silhouette_error double")
 
 
 def best_k(sweep: DataFrame) -> int:
