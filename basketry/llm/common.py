@@ -95,16 +95,33 @@ def blocks(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int
         i = j
 
 
-def trimmed(batches):
-    """The batches; afterwards freed memory goes back to the system.
+_HELD: list[dict] = []
+
+
+def held() -> dict:
+    """A cache that a worker process keeps from task to task, until a task of another operator starts in it."""
+    _HELD.append({})
+    return _HELD[-1]
+
+
+def trim() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):      # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def trimmed(batches, cache: dict | None = None):
+    """The batches; before them other operators' caches go, afterwards freed memory.
 
     A worker process waits for further tasks and would hold its peak meanwhile,
     beside the memory of the executor that another operator needs.
     """
+    for other in _HELD:
+        if other is not cache:
+            other.clear()
     yield from batches
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):      # glibc only
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    trim()
 
 
 # ---------------------------------------------------------------- hashing

@@ -262,6 +262,8 @@ def _open_groups(key, rows: pd.DataFrame, percent: int) -> pd.DataFrame:
             if p != q:
                 parent[q] = p
                 edges.append((x, y))
+    if len(rows) > 1000:
+        C.trim()
     return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
 

@@ -130,7 +130,11 @@ class WordIds:
         return out
 
 
-_WORKER: dict[int, WordIds] = {}
+_WORKER: dict[int, WordIds] = C.held()
+
+
+def _with_cache(batches):
+    return C.trimmed(batches, _WORKER)
 
 
 def _piece_rows(batches, tokenizer_json, capacity, end_id, with_ids):
@@ -280,7 +284,7 @@ def pieces_of(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)    # a vocabulary file: a few MB
     schema = "doc long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
     return (docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-            .mapInArrow(lambda it: C.trimmed(_piece_rows(it, shared.value, capacity, end_id, with_ids)), schema))
+            .mapInArrow(lambda it: _with_cache(_piece_rows(it, shared.value, capacity, end_id, with_ids)), schema))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",

@@ -277,7 +277,11 @@ class Encoder:
         return self.whole.decode([x.tolist() for x in np.split(ids, edge)], num_threads=1) if len(count) else []
 
 
-_WORKER: dict[int, Encoder] = {}
+_WORKER: dict[int, Encoder] = C.held()
+
+
+def _with_cache(batches):
+    return C.trimmed(batches, _WORKER)
 
 
 def encoder(proto: bytes) -> Encoder:
@@ -313,4 +317,4 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         proto = file.read()
     shared = docs.sparkSession.sparkContext.broadcast(proto)             # a vocabulary file: a few MB
     return (docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-            .mapInArrow(lambda it: C.trimmed(_encoded_rows(it, shared.value)), _ENCODED))
+            .mapInArrow(lambda it: _with_cache(_encoded_rows(it, shared.value)), _ENCODED))

@@ -307,7 +307,11 @@ class Aligned:
         return pair, np.diff(np.append(start, len(key))), np.bincount(row, minlength=self.n)
 
 
-_WORKER: dict[int, Both] = {}
+_WORKER: dict[int, Both] = C.held()
+
+
+def _with_cache(batches):
+    return C.trimmed(batches, _WORKER)
 
 
 def _both(definition: str, proto: bytes) -> Both:
@@ -457,7 +461,7 @@ def _source(docs, byte_level_path, piece_path, id_col, text_col):
 def groups(docs: DataFrame, byte_level_path: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, a_ids, a_group, b_ids, b_group: each document's tokens of both sides and their groups, numbered from 0."""
     source, shared = _source(docs, byte_level_path, piece_path, id_col, text_col)
-    return source.mapInArrow(lambda it: C.trimmed(_group_rows(it, shared)), _GROUPS)
+    return source.mapInArrow(lambda it: _with_cache(_group_rows(it, shared)), _GROUPS)
 
 
 def pair_counts(linked: DataFrame) -> DataFrame:
@@ -471,7 +475,7 @@ def align(docs: DataFrame, byte_level_path: str, piece_path: str, id_col: str =
     source, shared = _source(docs, byte_level_path, piece_path, id_col, text_col)
     n_b = len(Pieces(shared.value[1]).size)
     # the checkpoint fixes rows and partitions, so the numbers given to rows stay the same
-    linked = C.checkpointed(source.mapInArrow(lambda it: C.trimmed(_linked_rows(it, shared)), _LINKED)).withColumn("row", F.monotonically_increasing_id())
+    linked = C.checkpointed(source.mapInArrow(lambda it: _with_cache(_linked_rows(it, shared)), _LINKED)).withColumn("row", F.monotonically_increasing_id())
     counts = C.checkpointed(pair_counts(linked))
     best = counts.groupBy(F.expr(f"pair div {n_b}").alias("a")).agg(F.max("n").alias("most"))          # a row for each A id at most
     judged = counts.join(F.broadcast(best), F.expr(f"pair div {n_b}") == F.col("a")).select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
