@@ -36,6 +36,9 @@ def main(argv=None) -> dict:
         raw_t = tables.raw_transactions(spark, args.sf_dir)
     else:
         raw_c, raw_t = readers.extract_data(spark, args.customers, args.transactions)
+        for path, schema, name in ((args.customers, readers.CUSTOMER_SCHEMA, "customers"), (args.transactions, readers.TRANSACTION_SCHEMA, "transactions")):
+            n = readers.set_aside(spark, path, schema, f"{args.out.rstrip('/')}/bad_lines/{name}")
+            print(f"{name}: {n} lines cannot be read" + (f", see {args.out}/bad_lines/{name}" if n else ""))
     res = jobs.run_all(spark, raw_c, raw_t, args.out, snapshot=args.snapshot, tenure_date=args.tenure_date)
     summary = {
         "seconds": round(time.time() - t0, 1),

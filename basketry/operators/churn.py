@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import exprs as X
-from basketry.operators import evaluate, ranking
+from basketry.operators import evaluate, selection
+from basketry.session import ensure_checkpoint_dir
 
 # Feature list and NULL fills of the reference.
 CHURN_FEATURES = ["age", "loyalty_points", "tenure_days", "recency", "frequency", "monetary",
@@ -49,21 +50,19 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "custome
     """Exact stratified split, adds ``split`` ('train' / 'test').
 
     Within each class rows are ordered by md5(id:seed); the first
-    ceil(n_class * a / b) are the test set.  Ranks come from the distributed
-    global row number; class sizes are one row per label value.
+    ceil(n_class * a / b) are the test set.  The last of them is selected exactly as a cut
+    key, so rows are only compared with it: nothing is sorted, joined or written.
+    Class sizes are one row per label value; a NULL label is a class too.
     """
     a, b = test_fraction
     h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
-    base = df.withColumn("_h", h)
-    ranked = ranking.global_row_number(base, [F.col(label), F.col("_h"), F.col(id_col)], out="_rn")
-    # the ranked rows are a checkpoint: the input is not evaluated again.  A NULL label is a class too.
-    sizes = ranked.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_nc"))
-    before = Window.orderBy("_label").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_start", F.coalesce(F.sum("_nc").over(before), F.lit(0)))
-    j = ranked.join(F.broadcast(sizes), F.col(label).eqNullSafe(F.col("_label"))).drop("_label")
-    n_test = F.call_function("div", F.col("_nc") * a + (b - 1), F.lit(b))
-    return j.withColumn("split", F.when(F.col("_rn") - F.col("_start") <= n_test, "test")
-                        .otherwise("train")).drop("_h", "_rn", "_nc", "_start")
+    is_test = F.lit(False)
+    for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect():
+        own = F.col(label).eqNullSafe(F.lit(r[label]))
+        order = selection.Dimension(F.when(own, h), nulls_first=False)
+        (cut,), = selection.cut_keys(df, id_col, [order], lambda _, n=r["n"]: [-(-n * a // b)])
+        is_test = is_test | (own & (selection.buckets_from_cuts(df, id_col, order, [cut]) == 1))
+    return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
 
 
 def balanced_weights(train: DataFrame, label: str = "label") -> DataFrame:
@@ -102,8 +101,9 @@ def train_models(split: DataFrame, features=CHURN_FEATURES, seed: int = 42):
 
     Returns (metrics DataFrame, fitted models, best model name, test predictions).
     """
-    train = balanced_weights(split.where(F.col("split") == "train")).persist()
-    test = split.where(F.col("split") == "test").persist()
+    # written once: every iteration of every model reads them again
+    train = balanced_weights(split.where(F.col("split") == "train")).checkpoint(eager=True)
+    test = split.where(F.col("split") == "test").checkpoint(eager=True)
     weight_sum = train.agg(F.sum("weight")).first()[0]
     pipes = model_pipelines(weight_sum, features, seed)
 
@@ -148,7 +148,8 @@ def risk_scores(scored: DataFrame) -> DataFrame:
 
 def run_churn_model(customer_360: DataFrame, seed: int = 42):
     """E5: features -> split -> train/evaluate -> score all -> best model."""
-    featured = engineer_features(customer_360).persist()
+    ensure_checkpoint_dir(customer_360.sparkSession)
+    featured = engineer_features(customer_360).checkpoint(eager=True)
     split = stratified_split(featured, seed=seed)
     metrics, fitted, best, preds = train_models(split, seed=seed)
     scores = score_customers(fitted[best], featured)
@@ -167,6 +168,8 @@ def churn_gen1(rfm: DataFrame, seed: int = 42):
     feats = ["recency", "frequency", "monetary"]
     df = rfm.select("customer_id", *[F.col(c).cast("double").alias(c) for c in feats],
                     X.recency_churn_label("recency").alias("label")).dropna()
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)         # split, fit and scores read the very same rows
     split = stratified_split(df, seed=seed)
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")

@@ -1,10 +1,9 @@
 """Cleaning and filters (survey C1-C12).
 
-``dedup_first`` keeps the first row per key as an aggregation (the minimum of
-one struct, order columns first) rather than a ``row_number`` window: partial
-aggregation runs map side, so a key repeated a billion times still leaves
-one row per map task, and no task has to buffer a whole key group.  Spark
-aggregates structs by sorting, not hashing; the row is held once.
+``dedup_first`` first counts the keys alone.  Rows of keys that occur once pass as they
+are; only the rows of repeated keys are aggregated (the minimum of one struct, order columns
+first): partial aggregation runs map side, so a key repeated a billion times still
+leaves one row per map task, and no task has to buffer a whole key group.
 """
 
 from __future__ import annotations
@@ -18,18 +17,30 @@ from basketry.functions import exprs as X
 from basketry.session import ensure_checkpoint_dir
 
 
-def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
+def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str], broadcast_keys: int = 1_000_000) -> DataFrame:
     """``drop_duplicates(subset=key)`` keeping the first row in ``order``.
 
-    pandas groups NULL keys together as one key; so does ``groupBy``.
+    pandas groups NULL keys together as one key; so does ``groupBy``.  The repeated keys are
+    written to the checkpoint folder and counted: up to ``broadcast_keys`` of them the other rows are
+    not shuffled at all, beyond that shuffle joins take over.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    ensure_checkpoint_dir(df.sparkSession)
+    again = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+             .select(*[F.col(k).alias(f"_again{i}") for i, k in enumerate(keys)]).checkpoint(eager=True))
+    n = again.count()
+    if not n:
+        return df
+    side = F.broadcast(again) if n <= broadcast_keys else again
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_again{i}"))
     # The declared order first (readers make ingest_seq unique), then the rest
     # of the row, so the kept row is deterministic even on exact ties.
     first = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in first]
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*first, *rest)).alias("_first"))
-    return kept.select(*keys, "_first.*").select(*df.columns)
+    kept = df.join(side, same, "left_semi").groupBy(*keys).agg(F.min(F.struct(*first, *rest)).alias("_first"))
+    return df.join(side, same, "left_anti").unionByName(kept.select(*keys, "_first.*").select(*df.columns))
 
 
 def _once(df: DataFrame) -> DataFrame:

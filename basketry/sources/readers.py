@@ -65,10 +65,42 @@ def with_ingest_seq(df: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row")))
 
 
+_BAD = "_bad_line"
+
+
+def _parsed(spark: SparkSession, path: str, schema: T.StructType, date_format: str) -> DataFrame:
+    return (spark.read.schema(T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())]))
+            .option("header", True).option("dateFormat", date_format)
+            .option("columnPruning", False)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).csv(path))
+
+
+def _whole(schema: T.StructType):
+    """Always true, but reads every field: a line is good or bad whatever columns are asked for."""
+    return F.xxhash64(*schema.fieldNames()).bitwiseOR(F.lit(1)) != 0
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              date_format: str = "yyyy-MM-dd") -> DataFrame:
-    return (spark.read.schema(schema).option("header", True).option("dateFormat", date_format)
-            .option("mode", "PERMISSIVE").csv(path))
+    """The lines that hold what ``schema`` says; the others are told by ``bad_lines``."""
+    rows = _parsed(spark, path, schema, date_format)
+    return rows.where(_whole(schema) & F.col(_BAD).isNull()).drop(_BAD)
+
+
+def bad_lines(spark: SparkSession, path: str, schema: T.StructType, date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """file, line of every line that cannot be read as ``schema`` (a wrong type, a missing or a further field)."""
+    rows = _parsed(spark, path, schema, date_format).withColumn("file", F.col("_metadata.file_path"))
+    return rows.where(_whole(schema) & F.col(_BAD).isNotNull()).select("file", F.col(_BAD).alias("line"))
+
+
+def set_aside(spark: SparkSession, path: str, schema: T.StructType, target: str, date_format: str = "yyyy-MM-dd",
+              allowed: int | None = None) -> int:
+    """Write the bad lines of ``path`` to ``target`` and return how many there are; more than ``allowed`` are an error."""
+    bad_lines(spark, path, schema, date_format).write.mode("overwrite").parquet(target)
+    n = spark.read.parquet(target).count()
+    if allowed is not None and n > allowed:
+        raise ValueError(f"{n} lines of {path} cannot be read; they are in {target}")
+    return n
 
 
 def extract_data(spark: SparkSession, customers_path: str, transactions_path: str):

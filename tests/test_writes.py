@@ -157,3 +157,43 @@ def test_reports_come_in_order(spark, name):
 
     keys = [key(r) for r in rows]
     assert len(keys) > 1 and keys == sorted(keys)
+
+
+# ------------------------------------------------------------ bad lines, keep-first, split
+def test_broken_lines_are_counted_and_set_aside(spark):
+    from basketry.sources import readers
+    d = folder()
+    with open(f"{d}/t.csv", "w") as f:
+        f.write("customer_id,age,region,segment,join_date\nC1,30,N,Premium,2020-01-01\nC2,old,N,Premium,2020-01-01\nC3,40\nC4,,S,Regular,\nC5,1,S,Regular,2020-01-01,more\n")
+    good = readers.read_csv(spark, f"{d}/t.csv", readers.GEN1_CUSTOMER_SCHEMA)
+    assert [(r.customer_id, r.age) for r in good.orderBy("customer_id").collect()] == [("C1", 30), ("C4", None)]
+    assert good.select("customer_id").count() == 2 and good.count() == 2           # whatever columns are asked for
+    assert readers.set_aside(spark, f"{d}/t.csv", readers.GEN1_CUSTOMER_SCHEMA, f"{d}/bad") == 3
+    assert sorted(r.line for r in spark.read.parquet(f"{d}/bad").collect()) == ["C2,old,N,Premium,2020-01-01", "C3,40", "C5,1,S,Regular,2020-01-01,more"]
+    with pytest.raises(ValueError, match="3 lines"):
+        readers.set_aside(spark, f"{d}/t.csv", readers.GEN1_CUSTOMER_SCHEMA, f"{d}/bad", allowed=2)
+
+
+@pytest.mark.parametrize("broadcast_keys", [1_000_000, 0])
+def test_keep_first_shuffles_rows_of_repeated_keys_only(spark, broadcast_keys):
+    from basketry.operators import clean
+    rows = [(f"k{i}", i, i) for i in range(3000)] + [("k7", -1, 70), (None, 2, 5), (None, 1, 6), ("hot", 0, 0)] + [("hot", i, i) for i in range(1, 1500)]
+    df = spark.createDataFrame(rows, "k string, ingest_seq int, v int").repartition(6).checkpoint()
+    out = clean.dedup_first(df, "k", ["ingest_seq"], broadcast_keys)
+    first = {}
+    for k, s, v in rows:
+        first[k] = min(first.get(k, (s, v)), (s, v))
+    assert sorted(((r.k, (r.ingest_seq, r.v)) for r in out.collect()), key=str) == sorted(first.items(), key=str)
+    if broadcast_keys:
+        assert max(n for _, n in exchanges(clean.dedup_first(df, "k", ["ingest_seq"]))) <= 3 * 6
+
+
+def test_split_is_a_comparison_with_cut_keys(spark):
+    from basketry.operators import churn
+    df = spark.createDataFrame([(f"C{i}", i % 3 if i % 7 else None) for i in range(700)], "customer_id string, label int")
+    out = churn.stratified_split(df)
+    assert exchanges(out) == []
+    got = {(r.label, r.split): r["count"] for r in out.groupBy("label", "split").count().collect()}
+    for label in (0, 1, 2, None):
+        n = got[label, "test"] + got[label, "train"]
+        assert got[label, "test"] == -(-n // 5)
