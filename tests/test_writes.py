@@ -100,6 +100,18 @@ def test_one_scan_of_the_lines(spark, name):
     assert line_scans(queries()[name](spark, SF)) == 1
 
 
+def test_executive_kpis_write_their_columns_once_and_scan_no_more(spark):
+    seen = []
+    real = type(spark.range(1)).checkpoint
+    type(spark.range(1)).checkpoint = lambda self, *a, **b: (seen.append(self.columns), real(self, *a, **b))[1]
+    try:
+        df = queries()["kpi_summary"](spark, SF)
+        assert line_scans(df) == 0
+    finally:
+        type(spark.range(1)).checkpoint = real
+    assert len(seen) == 2 and "payment_method" not in sum(seen, [])
+
+
 # ------------------------------------------------------------ orphans
 def test_orphans_shuffle_no_rows(spark):
     """Only keys are exchanged, whether nothing or a third of the rows is orphaned."""
