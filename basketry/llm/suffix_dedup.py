@@ -368,3 +368,49 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
     return (source.join(gone, "doc", "left").select("doc", "text", "tag", "places")
             .mapInArrow(lambda it: _kept(it, threshold, with_text), schema))
+
+
+# ---------------------------------------------------------------- the dealt method, as it is
+
+_FIRST = 8          # bytes compared as one number
+
+
+def _position_rows(batches):
+    """(doc, tag, at, r): every position with its first eight bytes as a number."""
+    for batch in batches:
+        raw, offsets = C.texts_of(batch.column("text"))
+        docs, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "tag"))
+        for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+            for lo in range(int(a), int(b) - _FIRST + 1, PIECE):
+                n = min(PIECE, int(b) - _FIRST + 1 - lo)
+                r = np.lib.stride_tricks.sliding_window_view(raw[lo:lo + n + _FIRST - 1], _FIRST).copy().view(np.int64)[:, 0]
+                at = np.arange(lo - a, lo - a + n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, x, np.int64)) for x in (docs[i], tags[i])] + [pa.array(at), pa.array(r)],
+                                                 names=["doc", "tag", "at", "r"])
+
+
+def remove_repeats_by_doubling(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                               threshold: int = 50, with_text: bool = False) -> DataFrame:
+    """``remove_repeats`` by distributed prefix doubling over all positions: same rows, at many times the disk.
+
+    A position's rank at 2h bytes is the first position with the same pair (rank at i, rank at i + h); pairs
+    that occur once drop out, so partners of dropped positions drop too.  h doubles from 8 bytes and the
+    last step ends at ``threshold``.  Ranks are positions, so nothing depends on a hash.
+    """
+    source = _told_apart(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")))
+    known = source.filter("doc is not null and octet_length(text) >= %d" % threshold).dropDuplicates(["doc", "tag"])
+    ranked = known.mapInArrow(_position_rows, "doc long, tag long, at long, r long")
+    length = _FIRST
+    while length < threshold:
+        h = min(length, threshold - length)
+        partner = ranked.select("doc", "tag", (F.col("at") - h).alias("at"), F.col("r").alias("s"))
+        pairs = ranked.join(partner, ["doc", "tag", "at"])
+        first = pairs.groupBy("r", "s").agg(F.min(F.struct("doc", "tag", "at")).alias("f"), F.count("*").alias("n")).filter("n > 1")
+        ranked = C.checkpointed(pairs.join(first.select("r", "s", "f"), ["r", "s"]).select("doc", "tag", "at", F.col("f").alias("r")))
+        C.release(docs.sparkSession)
+        length += h
+    packed = F.shiftleft("at", _POS_SHIFT).bitwiseOR(F.lit((1 << 18) | (FULL << 16))).bitwiseOR(F.col("tag"))
+    gone = ranked.filter("doc > r.doc").select("doc", packed.alias("at")).groupBy("doc").agg(F.collect_list("at").alias("places"))
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
+    return (source.join(gone, "doc", "left").select("doc", "text", "tag", "places")
+            .mapInArrow(lambda it: _kept(it, threshold, with_text), schema))

@@ -98,3 +98,10 @@ def test_one_row_of_each_group_stays(spark):
     # d is held by 8 and by one of the two texts of 7, which come last
     assert got == sorted([(5, a), (None, b), (7, c), (8, d), (3, ""), (4, None), (None, None)], key=str)
     assert ngram_join.keep_one(cases.empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [50, 13])
+def test_prefix_doubling_gives_the_same_rows(spark, threshold):
+    docs = cases.frame(spark, [r for r in cases.texts() if r[0] not in (60, 61)])
+    want = sorted(map(str, suffix_dedup.remove_repeats(docs, threshold=threshold, k=8).collect()))
+    assert sorted(map(str, suffix_dedup.remove_repeats_by_doubling(docs, threshold=threshold).collect())) == want
