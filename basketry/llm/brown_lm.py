@@ -15,9 +15,10 @@ closes each text and is the context of its first word.
   together, and the word goes to the class that raises the likelihood of the class bigrams
   most, against the broadcast class grid.  The ``table_words`` frequent words take part in every round and
   show their new class to their neighbours in the next one; rarer words move in the last
-  round, until which they are seen in the class of their ending.  As they all move at once, about
-  ``SEED_WORDS`` of them (picked by hash, weighed up to all) first move one by one on the driver, which
-  settles the grid that every one of them is then held against.  A round returns the
+  round, until which they are seen in the class of their ending.  As they all move at once, Spark first
+  sums the neighbours of every one of them by its commonest left and right classes (classes x classes
+  groups at most); the driver moves the groups one by one, which
+  settles the grid that every word is then held against.  A round returns the
   changes of the grid, a cell a row.  Only words unseen in training have the class of their ending.
 * *The class bigrams are counted anew* from the final classes of all words, in the pass over the
   texts that also scores them: a text leaves its emission score and the counts of its class pairs.
@@ -54,24 +55,49 @@ BUCKETS_PER_DOUBLING = 64
 FLUSH = 1_500_000
 BUCKET_TOKENS = 2_000_000       # training tokens for each bucket of words
 PARTS = 3                       # a pass is so many turns
-SEED_WORDS = 2048               # words outside the table that are moved one by one before all of them are
+COMMON_COUNTS = 64              # the smallest counts, whose gains are looked up
 TOLERANCE = 0.002               # gain of a pass (nats a token) that ends the exchange
 
 
+def _spans(raw, offsets):
+    """(prefix hashes, start, end, row) of all words of texts laid end to end."""
+    raw = C.lower_bytes(raw)
+    return C.prefix_hash(raw), *C.word_spans(raw, offsets)
+
+
+def _ending(prefix, start, end):
+    return C.span_hash(prefix, np.maximum(start, end - SUFFIX_BYTES), end)
+
+
 def _tokens(raw, offsets):
     """(word hash, ending hash, row) of all words of texts laid end to end."""
-    raw = C.lower_bytes(raw)
-    start, end, row = C.word_spans(raw, offsets)
-    prefix = C.prefix_hash(raw)
-    return (C.span_hash(prefix, start, end),
-            C.span_hash(prefix, np.maximum(start, end - SUFFIX_BYTES), end), row)
+    prefix, start, end, row = _spans(raw, offsets)
+    return C.span_hash(prefix, start, end), _ending(prefix, start, end), row
+
+
+def _distinct(values):
+    """(distinct values in order, a place of each, number of each value among them): hashed, only the distinct ones are sorted."""
+    code, some = pd.factorize(values)
+    place = np.empty(len(some), np.int64)
+    place[code] = np.arange(len(code))
+    order = np.argsort(some)
+    number = np.empty_like(order)
+    number[order] = np.arange(len(order))
+    return some[order], place[order], number[code]
+
+
+def _times(keys):
+    """(distinct keys in order, how often each occurs)."""
+    code, some = pd.factorize(keys)
+    order = np.argsort(some)
+    return some[order], np.bincount(code, minlength=len(some))[order]
 
 
 def _block(raw, offsets):
     """(distinct words in order, their endings, number of each word among them, row): tables are asked once a word."""
-    word, ending, row = _tokens(raw, offsets)
-    distinct, first, number = np.unique(word, return_index=True, return_inverse=True)
-    return distinct, ending[first], number, row
+    prefix, start, end, row = _spans(raw, offsets)
+    distinct, place, number = _distinct(C.span_hash(prefix, start, end))
+    return distinct, _ending(prefix, start[place], end[place]), number, row
 
 
 def _summed(keys, counts):
@@ -186,7 +212,7 @@ def _bigram_rows(batches, units):
             distinct, ending, number, row = _block(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             sequence, _, _ = _chain(units.of(distinct, ending)[number], row, j - i)
             # a block starts after an end, as every text does
-            keys, n = np.unique(_pairs(sequence) * units.size + sequence, return_counts=True)
+            keys, n = _times(_pairs(sequence) * units.size + sequence)
             held_keys.append(keys)
             held_counts.append(n)
             rows += len(keys)
@@ -341,7 +367,7 @@ def _cell_rows(batches, units, classes, n_classes, buckets, all_words):
 
     def flush():
         # words in the order of their buckets: (word, cell) sorted once lies bucket by bucket
-        word, first, number = np.unique(np.concatenate([w for w, *_ in held]), return_index=True, return_inverse=True)
+        word, first, number = _distinct(np.concatenate([w for w, *_ in held]))
         cls = np.concatenate([c for _, c, _, _ in held])[first]
         bucket = (C.mix(word) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -375,7 +401,7 @@ def _cell_rows(batches, units, classes, n_classes, buckets, all_words):
                 pick = some[number]
                 place = np.cumsum(some) - 1
                 word, own, number, left, right = word[some], own[some], place[number[pick]], left[pick], right[pick]
-            key, n = np.unique(np.concatenate([number * cells + left, number * cells + n_classes + right]), return_counts=True)
+            key, n = _times(np.concatenate([number * cells + left, number * cells + n_classes + right]))
             held.append((word, own, key, n))
             rows += len(key)
             if rows > FLUSH:
@@ -386,7 +412,10 @@ def _cell_rows(batches, units, classes, n_classes, buckets, all_words):
 
 
 def _pack(word, cls, which, cell, n):
-    parts = [np.array([len(word), len(cell)], np.int64), word, cls.astype(np.uint8), which.astype(np.uint32), cell.astype(np.uint8), n.astype(np.int64)]
+    """The entries lie in the order of their words: a word tells how many are its own; a count of 255 or more stands behind."""
+    some = np.minimum(n, 255).astype(np.uint8)
+    parts = [np.array([len(word), len(cell)], np.int64), word, n[some == 255].astype(np.int64), cls.astype(np.uint8),
+             np.bincount(which, minlength=len(word)).astype("<u2").view(np.uint8), cell.astype(np.uint8), some]
     return zlib.compress(b"".join(x.tobytes() for x in parts), 1)
 
 
@@ -394,11 +423,15 @@ def _unpack(blob):
     """(words, their classes, word number, cell and count of each entry)."""
     raw = zlib.decompress(blob)
     words, size = np.frombuffer(raw, np.int64, 2)
-    out, at = [], 16
-    for kind, count in ((np.uint64, words), (np.uint8, words), (np.uint32, size), (np.uint8, size), (np.int64, size)):
-        out.append(np.frombuffer(raw, kind, count, at))
-        at += out[-1].nbytes
-    return out
+    out, at = [], len(raw)
+    for length in (size, size, 2 * words, words):
+        at -= int(length)
+        out.append(np.frombuffer(raw, np.uint8, length, at))
+    some, cell, per, cls = out
+    word = np.frombuffer(raw, np.uint64, words, 16)
+    n = some.astype(np.int64)
+    n[some == 255] = np.frombuffer(raw[16 + 8 * int(words):at], np.int64)
+    return word, cls, np.repeat(np.arange(words), np.frombuffer(per.tobytes(), "<u2")), cell, n
 
 
 WORD, CELL = 0, 1
@@ -443,13 +476,42 @@ def _tables(blob, n_classes, pick=None):
         yield word[some], cls[some], table[:, 0], table[:, 1]
 
 
-def _seed_rows(batches, units, n_classes, one_in):
-    """(cls, left, right) of one in so many words outside the table."""
-    pick = lambda w: ~units.in_table(w) & (C.mix(w + np.uint64(1)) % np.uint64(one_in) == 0)
+def _group_rows(batches, units, n_classes):
+    """(cell, n): neighbours' classes of all words outside the table, summed by their commonest left and right classes, then by
+    their own class; last how many tokens of a group are in which class."""
+    cells, groups = 2 * n_classes, n_classes ** 2
+    summed, own = np.zeros((groups + n_classes) * cells), np.zeros(groups * n_classes)
     for batch in batches:
         for blob in batch.column("data"):
-            for _, cls, left, right in _tables(blob.as_py(), n_classes, pick):
-                yield pa.RecordBatch.from_arrays([pa.array(cls), *(pa.array(x.tolist(), pa.list_(pa.float64())) for x in (left, right))], names=["cls", "l", "r"])
+            for _, cls, left, right in _tables(blob.as_py(), n_classes, lambda w: ~units.in_table(w)):
+                group = np.argmax(left, 1) * n_classes + np.argmax(right, 1)
+                table = np.hstack([left, right])
+                row, cell = np.nonzero(table)
+                n = table[row, cell]
+                for at in (group, groups + cls):
+                    summed += np.bincount(at[row] * cells + cell, weights=n, minlength=len(summed))
+                own += np.bincount(group * n_classes + cls, weights=right.sum(1), minlength=len(own))
+    total = np.concatenate([summed, own])
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some].astype(np.int64))], names=["cell", "n"])
+
+
+def _settled(got, grid):
+    """The class grid after the words outside the table went to their classes, group by group; ``got``: the sums of ``_group_rows``."""
+    n_classes = len(grid)
+    cells, groups = 2 * n_classes, n_classes ** 2
+    total = np.zeros((groups + n_classes) * cells + groups * n_classes)
+    total[got.cell] = got.n
+    table = total[:(groups + n_classes) * cells].reshape(-1, 2, n_classes)
+    own = np.argmax(total[(groups + n_classes) * cells:].reshape(groups, n_classes), axis=1)
+    left, right = table[:groups, 0], table[:groups, 1]
+    grid = grid - table[groups:, 1] - table[groups:, 0].T           # all of them leave, a group comes back as one
+    np.add.at(grid, own, right)
+    np.add.at(grid.T, own, left)
+    order = np.argsort(-right.sum(1), kind="stable")
+    for _ in range(2):
+        own, grid = _moved_one_by_one(own, right, left, order, np.maximum(grid, 0))
+    return grid
 
 
 def _move_rows(batches, units, grid, n_classes):
@@ -463,7 +525,7 @@ def _move_rows(batches, units, grid, n_classes):
         for blob in batch.column("data"):
             for in_table in (True, False):
                 for word, cls, left, right in _tables(blob.as_py(), n_classes, lambda w, t=in_table: units.in_table(w) == t):
-                    best = best_classes(cls, right, left, grid, held=in_table)
+                    best = best_classes(cls, right, left, grid) if in_table else _best_apart(cls, right, left, grid)
                     go = np.flatnonzero((best != cls) & in_table)
                     for sign, to in ((1, best[go]), (-1, cls[go])):
                         np.add.at(change, to, sign * right[go])
@@ -490,15 +552,14 @@ def best_classes(cls, right, left, grid, held=True):
     for counts, table, total in ((right, grid, out), (left, grid.T, into)):
         u, j = np.nonzero(counts)
         r = counts[u, j]
-        values, which = np.unique(r, return_inverse=True)
+        values, _, which = _distinct(r)
         columns = np.ascontiguousarray(table.T)             # [neighbour class, own class]
+        few = _delta(columns[None], values[:COMMON_COUNTS, None, None])
         for lo in range(0, len(u), 1 << 16):
             part = slice(lo, lo + (1 << 16))
-            if len(values) <= 64:
-                steps = _delta(columns[None], values[:, None, None])
-                term = steps[which[part], j[part]]
-            else:
-                term = _delta(columns[j[part]], r[part, None])
+            term = few[np.minimum(which[part], COMMON_COUNTS - 1), j[part]] if len(few) else np.zeros((0, size))
+            more = lo + np.flatnonzero(which[part] >= COMMON_COUNTS)
+            term[more - lo] = _delta(columns[j[more]], r[more, None])
             own = cls[u[part]]                               # its own class without it
             if held:
                 term[np.arange(len(own)), own] = _delta(np.maximum(columns[j[part], own] - r[part], 0), r[part])
@@ -514,6 +575,19 @@ def best_classes(cls, right, left, grid, held=True):
     return np.where(gain[rows, best] > gain[rows, cls] + 1e-9, best, cls)
 
 
+def _best_apart(cls, right, left, grid):
+    """``best_classes`` of words that the grid does not hold; words seen once between the same classes are looked at once."""
+    once = (right.sum(1) == 1) & (left.sum(1) == 1)
+    single, rest = np.flatnonzero(once), np.flatnonzero(~once)
+    n_classes = len(grid)
+    _, place, number = _distinct((np.argmax(left[single], 1) * n_classes + np.argmax(right[single], 1)) * n_classes + cls[single])
+    some = np.append(rest, single[place])
+    found = best_classes(cls[some], right[some], left[some], grid, held=False)
+    best = cls.copy()
+    best[rest], best[single] = found[:len(rest)], found[len(rest):][number]
+    return best
+
+
 def _likelihood(grid):
     return _xlogx(grid).sum() - _xlogx(grid.sum(0)).sum() - _xlogx(grid.sum(1)).sum()
 
@@ -533,15 +607,9 @@ def learn_words(texts, units, classes, grid, n_tokens, n_words, rounds):
                  .repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: C.trimmed(_merged_rows(it)), "bucket long, data binary"))
         cells = C.checkpointed(cells)
         if last and n_words > len(units.own[0]):
-            # words outside the table move at once: a sample of them, one by one, shows where they will be
-            one_in = -(-n_words // SEED_WORDS)
-            seeds = cells.select("data").mapInArrow(lambda it, s=shared, m=one_in: _seed_rows(it, s.value[0], n_classes, m),
-                                                    "cls long, l array<double>, r array<double>").toPandas()       # about SEED_WORDS rows
-            if len(seeds):
-                own, left, right = seeds.cls.to_numpy().copy(), *(np.vstack(seeds[c].to_numpy()) * one_in for c in "lr")
-                order = np.argsort(-right.sum(1), kind="stable")
-                for _ in range(2):
-                    own, grid = _moved_one_by_one(own, right, left, order, np.maximum(grid, 0))
+            # words outside the table move at once: all of them, in groups one by one, show where they will be
+            grid = _settled(cells.select("data").mapInArrow(lambda it, s=shared: C.trimmed(_group_rows(it, s.value[0], n_classes)), "cell long, n long")
+                            .groupBy("cell").agg(F.sum("n").alias("n")).toPandas(), grid)              # bounded by the classes alone
         now = np.maximum(grid, 0)
         moved = C.checkpointed(cells.select("data").mapInArrow(lambda it, s=shared, g=now: C.trimmed(_move_rows(it, s.value[0], g, n_classes)), _MOVED))
         _release(spark)

@@ -98,3 +98,31 @@ def test_empty_tables(spark):
     assert len(got) == len(cases.texts()) and all(r.n_known == 0 and np.isfinite(r.score) for r in got)
     model, counts = brown_lm.learn(cases.frame(spark), n_classes=5)
     assert brown_lm.score(cases.empty(spark), model, counts).count() == 0
+
+
+def test_rare_words_settle_the_grid_all_together(spark):
+    """The group sums hold every count of every word outside the table, none weighed up."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    n_classes, n = 6, 500
+    word = np.sort(rng.integers(1, 2**62, n).astype(np.uint64))
+    cls = rng.integers(1, n_classes, n)
+    units = brown_lm.Units(word[:3], word[:0])
+    units.own = brown_lm._by_word(word[:50], cls[:50])
+    table = rng.poisson(0.4, (n, 2 * n_classes))
+    which, cell = np.nonzero(table)
+    blob = brown_lm._pack(word, cls, which, cell, table[which, cell])
+    batch = pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["data"])
+    got, = brown_lm._group_rows([batch], units, n_classes)
+    total = np.zeros(n_classes ** 2 * 3 * n_classes + 2 * n_classes ** 2, np.int64)
+    total[got.column("cell").to_numpy()] = got.column("n").to_numpy()
+    groups = total[:n_classes ** 2 * 2 * n_classes].reshape(-1, 2 * n_classes)
+    assert (groups.sum(0) == table[50:].sum(0)).all()
+    own = total[n_classes ** 2 * 2 * n_classes:][:2 * n_classes ** 2].reshape(n_classes, -1)
+    assert all((own[c] == table[50:][cls[50:] == c].sum(0)).all() for c in range(n_classes))
+    right, left = table[:, n_classes:].astype(float), table[:, :n_classes].astype(float)
+    grid = rng.integers(50, 400, (n_classes, n_classes)).astype(float)
+    assert (brown_lm._best_apart(cls, right, left, grid) == brown_lm.best_classes(cls, right, left, grid, held=False)).all()
+    settled = brown_lm._settled(got.to_pandas(), grid + 1000)
+    assert settled.sum() == (grid + 1000).sum()
