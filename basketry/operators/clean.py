@@ -3,7 +3,9 @@
 ``dedup_first`` first counts the keys alone.  Rows of keys that occur once pass as they
 are; only the rows of repeated keys are aggregated (the minimum of one struct, order columns
 first): partial aggregation runs map side, so a key repeated a billion times still
-leaves one row per map task, and no task has to buffer a whole key group.
+leaves one row per map task, and no task has to buffer a whole key group.  Where many keys
+repeat, or the rows come out of joins that counting would run again, all rows are aggregated so,
+in one pass and one exchange.
 """
 
 from __future__ import annotations
@@ -17,30 +19,45 @@ from basketry.functions import exprs as X
 from basketry.session import ensure_checkpoint_dir
 
 
-def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str], broadcast_keys: int = 1_000_000) -> DataFrame:
+def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str], broadcast_keys: int = 1_000_000,
+                columns: Sequence[str] | None = None) -> DataFrame:
     """``drop_duplicates(subset=key)`` keeping the first row in ``order``.
 
     pandas groups NULL keys together as one key; so does ``groupBy``.  The repeated keys are
     written to the checkpoint folder and counted: up to ``broadcast_keys`` of them the other rows are
-    not shuffled at all, beyond that shuffle joins take over.
+    not shuffled at all, beyond that all rows go through one aggregation.  0 goes there at once, without
+    counting.  ``columns`` (default: all) are the ones wanted: the same rows are kept, but an exchange
+    carries no column that neither they nor the order among equal rows before them need.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    # The declared order first (readers make ingest_seq unique), then the rest
+    # of the row, so the kept row is deterministic even on exact ties.
+    first = [c for c in order if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in first]
+    if columns is not None:
+        # a struct's minimum starts with the minimum of its first fields
+        rest = rest[:max((rest.index(c) + 1 for c in columns if c in rest), default=0)]
+        df = df.select(*[c for c in df.columns if c in {*keys, *first, *rest}])
+
+    def kept(rows: DataFrame) -> DataFrame:
+        return (rows.groupBy(*keys).agg(F.min(F.struct(*first, *rest)).alias("_first"))
+                .select(*keys, "_first.*").select(*df.columns))
+
+    if broadcast_keys <= 0:
+        return kept(df)
     ensure_checkpoint_dir(df.sparkSession)
     again = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
              .select(*[F.col(k).alias(f"_again{i}") for i, k in enumerate(keys)]).checkpoint(eager=True))
     n = again.count()
     if not n:
         return df
-    side = F.broadcast(again) if n <= broadcast_keys else again
+    if n > broadcast_keys:
+        return kept(df)
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_again{i}"))
-    # The declared order first (readers make ingest_seq unique), then the rest
-    # of the row, so the kept row is deterministic even on exact ties.
-    first = [c for c in order if c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in first]
-    kept = df.join(side, same, "left_semi").groupBy(*keys).agg(F.min(F.struct(*first, *rest)).alias("_first"))
-    return df.join(side, same, "left_anti").unionByName(kept.select(*keys, "_first.*").select(*df.columns))
+    side = F.broadcast(again)
+    return df.join(side, same, "left_anti").unionByName(kept(df.join(side, same, "left_semi")))
 
 
 def _once(df: DataFrame) -> DataFrame:
@@ -106,14 +123,21 @@ def add_transaction_features(df: DataFrame) -> DataFrame:
             .withColumn("discount_bucket", X.discount_bucket("discount_percent")))
 
 
-def clean_transactions(df: DataFrame,
-                       order: Sequence[str] = ("ingest_seq", "final_amount", "quantity")) -> DataFrame:
-    """C7 = C1 -> C5 -> P17 -> P2..P6 -> P1 -> P12."""
+def clean_transactions(df: DataFrame, order: Sequence[str] = ("ingest_seq", "final_amount", "quantity"),
+                       columns: Sequence[str] | None = None) -> DataFrame:
+    """C7 = C1 -> C5 -> P17 -> P2..P6 -> P1 -> P12.
+
+    Transactions come out of joins, so C1 does not count their keys first.  ``columns`` (of the
+    input; default: all columns and features) are the ones wanted of the same rows.
+    """
     order = [c for c in order if c in df.columns]
-    d = dedup_first(df, "transaction_id", order)
+    d = dedup_first(df, "transaction_id", order, broadcast_keys=0, columns=columns)
     d = d.where((F.col("final_amount") > 0) & (F.col("quantity") > 0))
-    d = d.withColumn("discount_percent", X.clip_keep_null("discount_percent", 0, 100)
-                     .cast("decimal(5,2)"))
+    if columns is None or "discount_percent" in columns:
+        d = d.withColumn("discount_percent", X.clip_keep_null("discount_percent", 0, 100)
+                         .cast("decimal(5,2)"))
+    if columns is not None:
+        return d.select(*columns)
     d = add_transaction_features(d)
     return d.drop("ingest_seq") if "ingest_seq" in d.columns else d
 

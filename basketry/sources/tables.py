@@ -183,10 +183,10 @@ def _raw_transactions_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _transaction_base(spark, sf_dir)
     exprs = raw_transaction_exprs()
     exprs["l_partkey"] = "l_partkey"
-    first = _select(base, exprs).withColumn("ingest_seq", F.lit(0))
-    dup = (first.where(RAW_TRANSACTION_DUP_RULE)
-           .withColumn("quantity", F.col("quantity") + 1).withColumn("ingest_seq", F.lit(1)))
-    return first.unionByName(dup)
+    # the repeated rows come out of the same joins: a union would run these a second time
+    seq = F.when(F.expr(RAW_TRANSACTION_DUP_RULE), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return (_select(base, exprs).withColumn("ingest_seq", F.explode(seq))
+            .withColumn("quantity", F.col("quantity") + F.col("ingest_seq")))
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
