@@ -80,15 +80,19 @@ def orphan_keys(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     return keys.join(customers.select("customer_id"), "customer_id", "left_anti")
 
 
-def orphan_transactions(transactions: DataFrame, customers: DataFrame, broadcast_keys: int = 1_000_000) -> DataFrame:
+def orphan_transactions(transactions: DataFrame, customers: DataFrame, broadcast_keys: int = 1_000_000,
+                        keys_from: DataFrame | None = None) -> DataFrame:
     """Transactions whose customer_id is absent (a NULL id is an orphan too).
 
+    ``keys_from`` (default: the transactions) holds at least their customer ids: the rows before they
+    were cleaned, say, whose ids are cheaper to list.
+
     The distinct keys meet the customers first; only the orphan keys, written to the
     checkpoint folder and counted, meet the rows.  Up to ``broadcast_keys`` of them the transactions are
     not shuffled at all; beyond that a shuffle join takes over.
     """
     ensure_checkpoint_dir(transactions.sparkSession)
-    keys = orphan_keys(transactions, customers).withColumnRenamed("customer_id", "_orphan").checkpoint(eager=True)
+    keys = orphan_keys(transactions if keys_from is None else keys_from, customers).withColumnRenamed("customer_id", "_orphan").checkpoint(eager=True)
     side = F.broadcast(keys) if keys.count() <= broadcast_keys else keys
     return transactions.join(side, F.col("customer_id").eqNullSafe(F.col("_orphan")), "left_semi")
 

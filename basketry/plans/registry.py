@@ -246,7 +246,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
                                              T.raw_gen1_transactions(d.spark, d.sf_dir))[1],
     "quality_report": lambda d: quality.quality_report(d.dirty_customers_clean,
                                                        d.dirty_transactions_clean),
-    "orphans": lambda d: quality.orphan_transactions(d.dirty_transactions_clean, d.raw_customers)
+    "orphans": lambda d: quality.orphan_transactions(
+        clean.clean_transactions(d.raw_transactions, columns=["transaction_id", "customer_id"]),
+        d.raw_customers, keys_from=d.raw_transactions)
     .select("transaction_id", "customer_id"),
     # BI measures
     "bi_measures": lambda d: bi.bi_measures(d.customers, d.transactions),

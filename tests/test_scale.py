@@ -24,3 +24,24 @@ def test_repeated_raw_rows_follow_the_rule(spark):
     rows = T.raw_transactions(spark, SF).collect()
     first, again = ([(r.transaction_id, r.quantity - r.ingest_seq) for r in rows if r.ingest_seq == k] for k in (0, 1))
     assert sorted(again) == sorted(x for x in first if x[0].endswith("7")) != [] and len(rows) == len(first) + len(again)
+
+
+# ------------------------------------------------------------ orphans, quality_report: wanted columns only
+def test_wanted_columns_keep_the_same_rows(spark):
+    rows = [("a", "C1", "x", 1, 5), ("a", "C0", "y", 1, 4), ("a", "C0", "x", 0, 9), ("b", "C2", "z", 0, 1), ("b", "C2", "y", 0, 1), (None, "C3", "x", 2, 1), (None, None, "x", 1, 1)]
+    df = spark.createDataFrame(rows, "k string, customer_id string, category string, ingest_seq int, v int")
+    whole = clean.dedup_first(df, "k", ["ingest_seq"], 0)
+    for columns in (["k", "customer_id"], ["k", "category"], ["k"]):
+        some = clean.dedup_first(df, "k", ["ingest_seq"], 0, columns)
+        assert sorted(some.select(*columns).collect(), key=str) == sorted(whole.select(*columns).collect(), key=str)
+    assert "category" not in struct_of(clean.dedup_first(df, "k", ["ingest_seq"], 0, ["k", "customer_id"]))
+
+
+def test_orphans_carry_ids_only(spark):
+    raw = T.raw_transactions(spark, SF)
+    ids = clean.clean_transactions(raw, columns=["transaction_id", "customer_id"])
+    assert "customer_id" in struct_of(ids) and "transaction_date" not in plan(ids) and "p_type" not in plan(ids).split("Relation")[0]
+    customers = T.raw_customers(spark, SF)
+    whole = quality.orphan_transactions(clean.clean_transactions(raw), customers).select("transaction_id", "customer_id")
+    some = quality.orphan_transactions(ids, customers, keys_from=raw).select("transaction_id", "customer_id")
+    assert sorted(some.collect(), key=str) == sorted(whole.collect(), key=str) != []
