@@ -244,8 +244,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "clean_transactions": lambda d: d.dirty_transactions_clean,
     "clean_gen1": lambda d: clean.clean_gen1(T.raw_gen1_customers(d.spark, d.sf_dir),
                                              T.raw_gen1_transactions(d.spark, d.sf_dir))[1],
-    "quality_report": lambda d: quality.quality_report(d.dirty_customers_clean,
-                                                       d.dirty_transactions_clean),
+    "quality_report": lambda d: quality.quality_report(
+        d.dirty_customers_clean,
+        clean.clean_transactions(d.raw_transactions, columns=quality.TRANSACTION_RULE_COLUMNS)),
     "orphans": lambda d: quality.orphan_transactions(
         clean.clean_transactions(d.raw_transactions, columns=["transaction_id", "customer_id"]),
         d.raw_customers, keys_from=d.raw_transactions)

@@ -45,3 +45,11 @@ def test_orphans_carry_ids_only(spark):
     whole = quality.orphan_transactions(clean.clean_transactions(raw), customers).select("transaction_id", "customer_id")
     some = quality.orphan_transactions(ids, customers, keys_from=raw).select("transaction_id", "customer_id")
     assert sorted(some.collect(), key=str) == sorted(whole.collect(), key=str) != []
+
+
+def test_quality_report_leaves_out_what_no_rule_reads(spark):
+    raw = T.raw_transactions(spark, SF)
+    some = clean.clean_transactions(raw, columns=quality.TRANSACTION_RULE_COLUMNS)
+    assert some.columns == quality.TRANSACTION_RULE_COLUMNS and "payment_method" not in struct_of(some)
+    whole = clean.clean_transactions(raw).select(*quality.TRANSACTION_RULE_COLUMNS)
+    assert sorted(some.collect(), key=str) == sorted(whole.collect(), key=str)
