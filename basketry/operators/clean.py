@@ -146,7 +146,8 @@ def clean_gen1(customers: DataFrame, transactions: DataFrame):
     """Dedup both, median-impute amount, quantity 1, keep amount > 0."""
     c = dedup_first(customers, "customer_id", [o for o in ("ingest_seq",) if o in customers.columns])
     t = _once(dedup_first(transactions, "transaction_id",
-                          [o for o in ("ingest_seq", "amount", "quantity") if o in transactions.columns]))
+                          [o for o in ("ingest_seq", "amount", "quantity") if o in transactions.columns],
+                          broadcast_keys=0))
     med = median_high_cardinality(t, "amount")
     t = t.withColumn("amount", F.coalesce(F.col("amount").cast("double"),
                                           F.lit(None if med is None else float(med))))

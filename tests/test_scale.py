@@ -53,3 +53,13 @@ def test_quality_report_leaves_out_what_no_rule_reads(spark):
     assert some.columns == quality.TRANSACTION_RULE_COLUMNS and "payment_method" not in struct_of(some)
     whole = clean.clean_transactions(raw).select(*quality.TRANSACTION_RULE_COLUMNS)
     assert sorted(some.collect(), key=str) == sorted(whole.collect(), key=str)
+
+
+# ------------------------------------------------------------ clean_gen1
+def test_gen1_transactions_are_not_counted_first(spark, monkeypatch):
+    seen = []
+    frame = type(spark.range(1))
+    real = frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda self, *a, **b: (seen.append(self.columns), real(self, *a, **b))[1])
+    clean.clean_gen1(T.raw_gen1_customers(spark, SF), T.raw_gen1_transactions(spark, SF))
+    assert sum("transaction_id" in c for c in seen) == 1 and sum(c == ["_again0"] for c in seen) <= 1      # the customers' keys
