@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEED_ROWS, ANCHORS, FOLDS = 10_000, 200, 5
+SLICE = 1024                    # rows whose distances are taken at once
 
 
 @dataclass
@@ -56,14 +57,18 @@ def _step_rows(batches, centres, first):
     """(centre, n, sums, cost) of a task's rows; ``first`` cuts the stacked centres into models."""
     n, sums, cost = np.zeros(len(centres), np.int64), np.zeros_like(centres), np.zeros(len(centres))
     for batch in batches:
-        x = _matrix(batch.column("x"))
-        distance = _distances(x, centres)
-        for a, b in zip(first[:-1], first[1:], strict=True):
-            own = np.argmin(distance[:, a:b], axis=1)
-            n[a:b] += np.bincount(own, minlength=b - a)
-            for d in range(x.shape[1]):
-                sums[a:b, d] += np.bincount(own, weights=x[:, d], minlength=b - a)
-            cost[a:b] += np.bincount(own, weights=distance[np.arange(len(x)), a + own], minlength=b - a)
+        rows = _matrix(batch.column("x"))
+        for lo in range(0, len(rows), SLICE):               # distances that stay in a core's cache
+            x = rows[lo:lo + SLICE]
+            distance = _distances(x, centres)
+            every = np.arange(len(x))
+            for a, b in zip(first[:-1], first[1:], strict=True):
+                own = np.argmin(distance[:, a:b], axis=1)
+                member = np.zeros((b - a, len(x)))
+                member[own, every] = 1.0
+                n[a:b] += np.bincount(own, minlength=b - a)
+                sums[a:b] += member @ x
+                cost[a:b] += np.bincount(own, weights=distance[every, a + own], minlength=b - a)
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.arange(len(centres), dtype=np.int32)), pa.array(n), pa.array(sums.tolist(), pa.list_(pa.float64())), pa.array(cost)],
         names=["centre", "n", "sums", "cost"])

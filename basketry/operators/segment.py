@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.operators import kmeans, ranking
+from basketry.operators import frames, kmeans, ranking
 from basketry.session import ensure_checkpoint_dir
 
 # Feature lists and segment names of the reference.
@@ -35,12 +35,13 @@ def prepare_features(customer_360: DataFrame, features=SEGMENT_FEATURES,
                      id_col: str = "customer_id") -> tuple[DataFrame, PipelineModel]:
     """M1: drop rows with a NULL feature, assemble, standardise (mean 0, sd 1).
 
-    The standardised frame is written to the checkpoint folder once (every step reads it
-    again); nothing stays cached.
+    The features are written to the checkpoint folder and spread over the tasks before anything is
+    fitted, then the standardised frame (every step reads it again); nothing stays cached.
     """
     data = customer_360.select(id_col, *[F.col(c).cast("double").alias(c) for c in features]) \
         .dropna(subset=list(features))
     ensure_checkpoint_dir(data.sparkSession)
+    data = frames.spread(data.checkpoint(eager=True))
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)])

@@ -1,5 +1,6 @@
 """Rows out of joins are cleaned in one pass, with the columns that are wanted; model tables are spread over the tasks."""
 
+
 from basketry.operators import clean, quality
 from basketry.sources import tables as T
 
@@ -63,3 +64,11 @@ def test_gen1_transactions_are_not_counted_first(spark, monkeypatch):
     monkeypatch.setattr(frame, "checkpoint", lambda self, *a, **b: (seen.append(self.columns), real(self, *a, **b))[1])
     clean.clean_gen1(T.raw_gen1_customers(spark, SF), T.raw_gen1_transactions(spark, SF))
     assert sum("transaction_id" in c for c in seen) == 1 and sum(c == ["_again0"] for c in seen) <= 1      # the customers' keys
+
+
+# ------------------------------------------------------------ tables of the models
+def test_model_tables_are_spread_by_their_rows(spark):
+    from basketry.operators import frames
+    df = spark.range(4000).coalesce(1)
+    assert frames.spread(df, 500).rdd.getNumPartitions() == 8 and frames.spread(df, 500).count() == 4000
+    assert frames.spread(df, 5000).rdd.getNumPartitions() == 1              # small tables stay as they are
