@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import exprs as X
-from basketry.operators import evaluate, selection
+from basketry.operators import evaluate, frames, selection
 from basketry.session import ensure_checkpoint_dir
 
 # Feature list and NULL fills of the reference.
@@ -149,7 +149,7 @@ def risk_scores(scored: DataFrame) -> DataFrame:
 def run_churn_model(customer_360: DataFrame, seed: int = 42):
     """E5: features -> split -> train/evaluate -> score all -> best model."""
     ensure_checkpoint_dir(customer_360.sparkSession)
-    featured = engineer_features(customer_360).checkpoint(eager=True)
+    featured = frames.spread(engineer_features(customer_360.checkpoint(eager=True)).checkpoint(eager=True))
     split = stratified_split(featured, seed=seed)
     metrics, fitted, best, preds = train_models(split, seed=seed)
     scores = score_customers(fitted[best], featured)
