@@ -23,6 +23,7 @@ and repeated rows are packed like any others.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from itertools import chain, repeat
 
@@ -34,29 +35,39 @@ from pyspark.sql import functions as F
 from basketry.llm import common as C
 
 #: White-space separated strings whose ids a worker keeps; the ids of further ones are kept for one block.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: A character that stands between strings encoded together (its own token), and how many of them.
 BETWEEN, TOGETHER = "\x01", 100
+#: Lower-case letters of Latin-1 alone: neither normalised nor split by the tokenizer.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+#: Signs that are cut from the end of a string; not the apostrophe, behind which letters may be split off.
+SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordIds:
     """Token ids of texts; the tokenizer never joins over white space, so ids are kept per string.
 
-    A string that ends in full stops or commas behind a letter or digit is its
+    A string that ends in signs behind a letter or digit is its
     stem's ids and theirs, and A-Z are lower-cased first: the tokenizer itself only sees
-    each stem.
+    each stem.  A plain word is all of one piece, whose last token carries the model's
+    suffix: many such words go to the model together, past the steps that would leave them as they are.
     """
 
     def __init__(self, tokenizer_json: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # a task has one core; threads only add memory
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids[0]
+        self.words = Tokenizer(self.tokenizer.model)          # the same model, for plain words
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix, vocabulary = self.tokenizer.model.end_of_word_suffix, self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[n for token, n in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.known: dict[bytes, int] = {}
         self.count = self.used = 0
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
 
     def _add(self, strings: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
         total, n = len(flat), len(strings)
@@ -72,31 +83,39 @@ class WordIds:
         self.count += n
 
     def _encode_all(self, strings: list[bytes]) -> None:
-        alone = [s for s in strings if b"\x01" in s]
-        plain = [s for s in strings if b"\x01" not in s]
-        parts = [f" {BETWEEN} ".join(s.decode("utf-8", "replace") for s in plain[i:i + TOGETHER]) for i in range(0, len(plain), TOGETHER)]
-        for part, k in zip(self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), range(0, len(plain), TOGETHER), strict=True):
+        plain, other = [], strings
+        if self.last.any():
+            is_plain = list(map(PLAIN.fullmatch, strings))
+            plain, other = [s for s, p in zip(strings, is_plain, strict=True) if p], [s for s, p in zip(strings, is_plain, strict=True) if not p]
+        parts = [b" ".join(plain[i:i + TOGETHER]).decode() for i in range(0, len(plain), TOGETHER)]
+        if parts:
+            ids = np.concatenate([np.array(part.ids, np.uint32) for part in self.words.encode_batch_fast(parts, add_special_tokens=False)])
+            self._add(plain, ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1))
+        alone = [s for s in other if b"\x01" in s]
+        joined = [s for s in other if b"\x01" not in s]
+        parts = [f" {BETWEEN} ".join(s.decode("utf-8", "replace") for s in joined[i:i + TOGETHER]) for i in range(0, len(joined), TOGETHER)]
+        for part, k in zip(self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), range(0, len(joined), TOGETHER), strict=True):
             ids = np.array(part.ids, np.uint32)
             cut = ids == self.between
             edge = np.concatenate([[-1], np.flatnonzero(cut), [len(ids)]])
-            self._add(plain[k:k + TOGETHER], ids[~cut], np.diff(edge) - 1)
+            self._add(joined[k:k + TOGETHER], ids[~cut], np.diff(edge) - 1)
         for s in alone:
             ids = np.array(self.tokenizer.encode(s.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
             self._add([s], ids, np.array([len(ids)]))
 
     @staticmethod
     def _split(s: bytes) -> tuple[bytes, bytes]:
-        """(stem, full stops and commas at the end)."""
-        stem = s.rstrip(b".,")
+        """(stem, signs at the end)."""
+        stem = s if b"<|" in s else s.rstrip(SIGNS)      # a special token stays whole
         if len(stem) < len(s) and not (stem[-1:].isalnum() or stem and stem[-1] >= 128 and stem.decode("utf-8", "replace")[-1].lower()[-1].isalnum()):
             stem = s              # what stands before the stops may be one token with them
         tail = s[len(stem):]
         return stem, tail
 
     def _learn(self, strings: list[bytes]) -> None:
-        ended = [s for s in strings if s[-1] in b".,"]
+        ended = [s for s in strings if s[-1] in SIGNS]
         split = [self._split(s) for s in ended]
-        parts = chain((s for s in strings if s[-1] not in b".,"), (part for pair in split for part in pair if part))
+        parts = chain((s for s in strings if s[-1] not in SIGNS), (part for pair in split for part in pair if part))
         self._encode_all([part for part in dict.fromkeys(parts) if part not in self.known])
         rest = [(s, pair) for s, pair in zip(ended, split, strict=True) if s not in self.known]
         if rest:

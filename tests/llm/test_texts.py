@@ -114,6 +114,29 @@ def test_packing_round_trip(spark):
         assert tuple(joined) == (total, 4 * total)
 
 
+def test_plain_words_and_signs_are_kept_from_the_whole_tokenizer():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    words = packing.WordIds(tokenizer.to_str())
+    asked = []
+
+    class Seen:
+        def encode_batch_fast(self, parts, **options):
+            asked.extend(x for part in parts for x in part.split() if x != packing.BETWEEN)
+            return tokenizer.encode_batch_fast(parts, **options)
+
+        def encode(self, text, **options):
+            return tokenizer.encode(text, **options)
+
+    words.tokenizer = Seen()
+    texts = ["Plain wörds straße&&& again!? strange%%%", "it's 7%) x<|endoftext|>. é e\u0301, \u1100\u1161. don't'", "</w> a</w> \x01 a\x01, <|startoftext|>Up ÷ß. ſ İ.", ""]
+    for k in range(2):
+        got = [ids.tolist() for ids in words.encode([t.encode() for t in texts], 0)]
+        assert got == [tokenizer.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+        assert not {"plain", "wörds", "straße", "straße&&&", "again", "again!?", "strange", "strange%%%"} & set(asked) and {"it's", "don't'"} <= set(asked)
+
+
 def test_plans_are_whole_and_tight():
     rng = random.Random(3)
     for trial in range(30):
