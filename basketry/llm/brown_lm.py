@@ -54,6 +54,8 @@ SUFFIX_BYTES = 4
 BUCKETS_PER_DOUBLING = 64
 FLUSH = 1_500_000
 BUCKET_TOKENS = 2_000_000       # training tokens for each bucket of words
+PAIR_BUCKETS = 64               # buckets of unit pairs, of which there are units x units at most
+SLICES = 16                     # the units' neighbour counts are summed in so many slices
 PARTS = 3                       # a pass is so many turns
 COMMON_COUNTS = 64              # the smallest counts, whose gains are looked up
 TOLERANCE = 0.002               # gain of a pass (nats a token) that ends the exchange
@@ -86,11 +88,12 @@ def _distinct(values):
     return some[order], place[order], number[code]
 
 
-def _times(keys):
-    """(distinct keys in order, how often each occurs)."""
-    code, some = pd.factorize(keys)
-    order = np.argsort(some)
-    return some[order], np.bincount(code, minlength=len(some))[order]
+def _firsts(values):
+    """(distinct values in order, a place of each)."""
+    order = np.argsort(values)
+    values = values[order]
+    starts = np.flatnonzero(np.concatenate([np.ones(min(len(values), 1), bool), values[1:] != values[:-1]]))
+    return values[starts], order[starts]
 
 
 def _block(raw, offsets):
@@ -101,7 +104,7 @@ def _block(raw, offsets):
 
 
 def _summed(keys, counts):
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[starts], np.add.reduceat(counts[order], starts), order[starts]
@@ -204,48 +207,130 @@ def _pairs(sequence, end=0):
     return before
 
 
+_PACKED = "bucket long, data binary"
+
+
+def _packed_rows(buckets, blobs):
+    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "data"])
+
+
+def _pack_pairs(pair, n):
+    return np.array([len(pair)], np.int64).tobytes() + pair.astype(np.int64).tobytes() + n.astype(np.int64).tobytes()
+
+
+def _unpack_pairs(blob):
+    """(pairs in order, their counts)."""
+    size = int(np.frombuffer(blob, np.int64, 1)[0])
+    return np.frombuffer(blob, np.int64, size, 8), np.frombuffer(blob, np.int64, size, 8 + 8 * size)
+
+
 def _bigram_rows(batches, units):
+    """(bucket, pairs of units and their counts), summed over blocks of the training texts."""
     held_keys, held_counts, rows = [], [], 0
+
+    def flush():
+        keys, n, _ = _summed(np.concatenate(held_keys), np.concatenate(held_counts))
+        return keys, n
+
+    def emit(keys, n):
+        bucket = (keys % PAIR_BUCKETS).astype(np.uint8)
+        order = np.argsort(bucket, kind="stable")
+        edge = np.searchsorted(bucket[order], np.arange(PAIR_BUCKETS + 1))
+        some = np.flatnonzero(np.diff(edge))
+        return _packed_rows(some, [_pack_pairs(keys[order[edge[k]:edge[k + 1]]], n[order[edge[k]:edge[k + 1]]]) for k in some])
+
     for batch in batches:
         raw, offsets = C.texts_of(batch.column("text"))
         for i, j in C.blocks(offsets):
             distinct, ending, number, row = _block(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             sequence, _, _ = _chain(units.of(distinct, ending)[number], row, j - i)
             # a block starts after an end, as every text does
-            keys, n = _times(_pairs(sequence) * units.size + sequence)
+            keys, n = np.unique(_pairs(sequence) * units.size + sequence, return_counts=True)
             held_keys.append(keys)
             held_counts.append(n)
             rows += len(keys)
             if rows > FLUSH:
-                keys, n, _ = _summed(np.concatenate(held_keys), np.concatenate(held_counts))
+                keys, n = flush()
                 held_keys, held_counts, rows = [keys], [n], len(keys)
                 if rows > FLUSH // 2:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
+                    yield emit(keys, n)
                     held_keys, held_counts, rows = [], [], 0
     if held_keys:
-        keys, n, _ = _summed(np.concatenate(held_keys), np.concatenate(held_counts))
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
+        yield emit(*flush())
+
+
+def _pair_rows(batches):
+    """One row a bucket: its pairs, equal ones summed (rows come sorted by bucket)."""
+    keys, counts, rows, now = [], [], 0, None
+
+    def summed():
+        return _summed(np.concatenate(keys), np.concatenate(counts))[:2]
+
+    for batch in batches:
+        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("data"), strict=True):
+            if keys and bucket != now:
+                yield _packed_rows([now], [_pack_pairs(*summed())])
+                keys, counts, rows = [], [], 0
+            now = bucket
+            pair, n = _unpack_pairs(blob.as_py())
+            keys.append(pair)
+            counts.append(n)
+            rows += len(pair)
+            if rows > FLUSH:             # what stays is bounded by the distinct pairs
+                some, n = summed()
+                keys, counts, rows = [some], [n], 0
+    if keys:
+        yield _packed_rows([now], [_pack_pairs(*summed())])
+
+
+def _unit_pairs(texts, units):
+    """Table (bucket, data) of the unit pairs of all texts."""
+    return (texts.mapInArrow(lambda it: _bigram_rows(it, units), _PACKED).repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(_pair_rows, _PACKED))
 
 
 def _neighbour_rows(batches, classes, n_classes):
-    """(unit, class of neighbour, right, left) sums of one partition of unit bigrams."""
+    """(slice, cells of units and classes of neighbours with their right and left sums) of one partition of unit pairs."""
     size = len(classes)
     right, left = np.zeros(size * n_classes, np.int64), np.zeros(size * n_classes, np.int64)
     for batch in batches:
-        pair, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("pair", "n"))
-        a, b = pair // size, pair % size
-        right += np.bincount(a * n_classes + classes[b], weights=n, minlength=size * n_classes).astype(np.int64)
-        left += np.bincount(b * n_classes + classes[a], weights=n, minlength=size * n_classes).astype(np.int64)
+        for blob in batch.column("data"):
+            pair, n = _unpack_pairs(blob.as_py())
+            a, b = np.divmod(pair, size)
+            right += np.bincount(a * n_classes + classes[b], weights=n, minlength=size * n_classes).astype(np.int64)
+            left += np.bincount(b * n_classes + classes[a], weights=n, minlength=size * n_classes).astype(np.int64)
+    some = np.flatnonzero(right + left)
+    yield _sliced(some, right[some], left[some], size * n_classes)
+
+
+def _sliced(cell, right, left, size):
+    edge = np.searchsorted(cell, np.arange(SLICES + 1) * -(-size // SLICES))
+    some = np.flatnonzero(np.diff(edge))
+    blobs = [np.concatenate([x[edge[k]:edge[k + 1]] for x in (cell, right, left)]).tobytes() for k in some]
+    return _packed_rows(some, blobs)
+
+
+def _slice_rows(batches, size):
+    """The slices' sums over all partitions."""
+    right, left = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for batch in batches:
+        for blob in batch.column("data"):
+            cell, r, l = np.frombuffer(blob.as_py(), np.int64).reshape(3, -1)
+            right[cell] += r
+            left[cell] += l
     some = np.flatnonzero(right + left)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(right[some]), pa.array(left[some])], names=["cell", "r", "l"])
+    yield _sliced(some, right[some], left[some], size)
 
 
 def _neighbours(bigrams, classes, n_classes):
     """Right and left neighbour counts, units x classes, summed by Spark."""
-    got = (bigrams.mapInArrow(lambda it: _neighbour_rows(it, classes, n_classes), "cell long, r long, l long")
-           .groupBy("cell").agg(F.sum("r").alias("r"), F.sum("l").alias("l")).toPandas())
-    right, left = np.zeros((2, len(classes) * n_classes))
-    right[got.cell], left[got.cell] = got.r, got.l
+    size = len(classes) * n_classes
+    got = (bigrams.mapInArrow(lambda it: _neighbour_rows(it, classes, n_classes), _PACKED).repartition("bucket")
+           .mapInArrow(lambda it: _slice_rows(it, size), _PACKED).collect())         # bounded by units and classes
+    right, left = np.zeros((2, size))
+    for r in got:
+        cell, *sums = np.frombuffer(r["data"], np.int64).reshape(3, -1)
+        right[cell], left[cell] = sums
     return right.reshape(-1, n_classes), left.reshape(-1, n_classes)
 
 
@@ -369,7 +454,7 @@ def _cell_rows(batches, units, classes, n_classes, buckets, all_words):
         # words in the order of their buckets: (word, cell) sorted once lies bucket by bucket
         word, first, number = _distinct(np.concatenate([w for w, *_ in held]))
         cls = np.concatenate([c for _, c, _, _ in held])[first]
-        bucket = (C.mix(word) % np.uint64(buckets)).astype(np.int64)
+        bucket = (C.mix(word) % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
         order = np.argsort(bucket, kind="stable")
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
@@ -383,7 +468,7 @@ def _cell_rows(batches, units, classes, n_classes, buckets, all_words):
         some, low = np.unique(bucket, return_index=True)
         edge, high = np.searchsorted(number, np.append(low, len(word))), np.append(low[1:], len(word))
         blobs = [_pack(word[x:y], cls[x:y], number[u:v] - x, cell[u:v], n[u:v]) for x, y, u, v in zip(low, high, edge[:-1], edge[1:], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(some), pa.array(blobs, pa.binary())], names=["bucket", "data"])
+        return _packed_rows(some, blobs)
 
     for batch in batches:
         raw, offsets = C.texts_of(batch.column("text"))
@@ -401,7 +486,7 @@ def _cell_rows(batches, units, classes, n_classes, buckets, all_words):
                 pick = some[number]
                 place = np.cumsum(some) - 1
                 word, own, number, left, right = word[some], own[some], place[number[pick]], left[pick], right[pick]
-            key, n = _times(np.concatenate([number * cells + left, number * cells + n_classes + right]))
+            key, n = np.unique(np.concatenate([number * cells + left, number * cells + n_classes + right]), return_counts=True)
             held.append((word, own, key, n))
             rows += len(key)
             if rows > FLUSH:
@@ -434,8 +519,8 @@ def _unpack(blob):
     return word, cls, np.repeat(np.arange(words), np.frombuffer(per.tobytes(), "<u2")), cell, n
 
 
-WORD, CELL = 0, 1
-_MOVED = "kind int, key long, value long"
+OTHER, OWN, CELL, TOTAL = range(4)
+_MOVED = "kind int, key long, value long, n long"
 
 
 def _merged_rows(batches):
@@ -445,10 +530,9 @@ def _merged_rows(batches):
     def merged():
         word, cls, which, cell, n = zip(*map(_unpack, held), strict=True)
         which = np.concatenate([w[k] for w, k in zip(word, which, strict=True)])
-        word, first = np.unique(np.concatenate(word), return_index=True)
+        word, first = _firsts(np.concatenate(word))
         key, n, _ = _summed((np.searchsorted(word, which) << 8) + np.concatenate(cell), np.concatenate(n))
-        return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([_pack(word, np.concatenate(cls)[first], key >> 8, key & 255, n)], pa.binary())],
-                                          names=["bucket", "data"])
+        return _packed_rows([now], [_pack(word, np.concatenate(cls)[first], key >> 8, key & 255, n)])
 
     for batch in batches:
         for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("data"), strict=True):
@@ -515,11 +599,13 @@ def _settled(got, grid):
 
 
 def _move_rows(batches, units, grid, n_classes):
-    """(WORD, word, class) of every word, and (CELL, cell, change) of the class grid by the table's words."""
-    change = np.zeros((n_classes, n_classes))
+    """(OWN or OTHER, word, class, count) of every word, of the table or not; the table's (CELL, cell, change) of the class grid;
+    (TOTAL, four for each class, sum): the tokens of its words, the words, those seen once, those seen twice."""
+    change, totals = np.zeros((n_classes, n_classes)), np.zeros((n_classes, 4), np.int64)
 
-    def emit(kind, key, value):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(value.astype(np.int64))], names=["kind", "key", "value"])
+    def emit(kind, key, value, n):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key), *(pa.array(x.astype(np.int64)) for x in (value, n))],
+                                          names=["kind", "key", "value", "n"])
 
     for batch in batches:
         for blob in batch.column("data"):
@@ -530,15 +616,41 @@ def _move_rows(batches, units, grid, n_classes):
                     for sign, to in ((1, best[go]), (-1, cls[go])):
                         np.add.at(change, to, sign * right[go])
                         np.add.at(change.T, to, sign * left[go])
-                    yield emit(WORD, C.signed(word), best)
-    some = np.flatnonzero(change)
-    yield emit(CELL, some, change.ravel()[some])
+                    n = right.sum(1).astype(np.int64)
+                    for k, x in enumerate((n, np.ones_like(n), n == 1, n == 2)):
+                        totals[:, k] += np.bincount(best, weights=x, minlength=n_classes).astype(np.int64)
+                    yield emit(OWN if in_table else OTHER, C.signed(word), best, n)
+    for kind, table in ((CELL, change.ravel()), (TOTAL, totals.ravel())):
+        some = np.flatnonzero(table)
+        yield emit(kind, some, table[some], np.zeros(len(some)))
 
 
 def _delta(grid, r):
     return _xlogx(grid + r) - _xlogx(grid)
 
 
+def _row_sums(term, starts):
+    """Sums of the rows from each start to the next, bit for bit those of ``np.add.reduceat``, which is slow on short runs."""
+    size = np.diff(starts, append=len(term))
+    out = np.empty((len(starts), term.shape[1]))
+    order = np.argsort(-size)
+    start, size = starts[order], -size[order]
+    long, more = np.searchsorted(size, (-8, -1))          # runs of more than 8 rows, of more than 1
+    first, rest = term[start[long:]], term[start[long:more] + 1]
+    for k in range(2, 8):
+        some = int(np.searchsorted(size, -k)) - long
+        if some <= 0:
+            break
+        rest[:some] += term[start[long:long + some] + k]
+    first[:more - long] += rest
+    out[order[long:]] = first
+    if long:
+        size = -size[:long]
+        edge = np.cumsum(size) - size
+        out[order[:long]] = np.add.reduceat(term[np.repeat(start[:long] - edge, size) + np.arange(int(size.sum()))], edge)
+    return out
+
+
 def best_classes(cls, right, left, grid, held=True):
     """The class of each word that raises the likelihood of the class bigrams most, all others standing still.
 
@@ -564,7 +676,7 @@ def best_classes(cls, right, left, grid, held=True):
             if held:
                 term[np.arange(len(own)), own] = _delta(np.maximum(columns[j[part], own] - r[part], 0), r[part])
             starts = np.flatnonzero(np.concatenate([[True], u[part][1:] != u[part][:-1]]))
-            gain[u[part][starts]] += np.add.reduceat(term, starts)
+            gain[u[part][starts]] += _row_sums(term, starts)
         whole = counts.sum(1)
         minus = _delta(total[None, :], whole[:, None])
         if held:
@@ -593,7 +705,13 @@ def _likelihood(grid):
 
 
 def learn_words(texts, units, classes, grid, n_tokens, n_words, rounds):
-    """Table (word, cls) of all words of the texts, from the start classes of the units.
+    """Table (word, cls, n, own) of ``_learn_words``."""
+    return _learn_words(texts, units, classes, grid, n_tokens, n_words, rounds)[0]
+
+
+def _learn_words(texts, units, classes, grid, n_tokens, n_words, rounds):
+    """(table (word, cls, n, own: is it of the units' table) of all words of the texts, from the start classes of the units; what they
+    sum up to in each class: tokens, words, words seen once, words seen twice).
 
     Sets the classes of the table's words in ``units`` round by round; ``classes`` covers units and classes.
     """
@@ -603,8 +721,8 @@ def learn_words(texts, units, classes, grid, n_tokens, n_words, rounds):
     for k in range(rounds):
         last = k + 1 == rounds
         shared = spark.sparkContext.broadcast((units, classes))
-        cells = (texts.mapInArrow(lambda it, s=shared, w=last: C.trimmed(_cell_rows(it, *s.value, n_classes, buckets, w)), "bucket long, data binary")
-                 .repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: C.trimmed(_merged_rows(it)), "bucket long, data binary"))
+        cells = (texts.mapInArrow(lambda it, s=shared, w=last: C.trimmed(_cell_rows(it, *s.value, n_classes, buckets, w)), _PACKED)
+                 .repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: C.trimmed(_merged_rows(it)), _PACKED))
         cells = C.checkpointed(cells)
         if last and n_words > len(units.own[0]):
             # words outside the table move at once: all of them, in groups one by one, show where they will be
@@ -613,13 +731,15 @@ def learn_words(texts, units, classes, grid, n_tokens, n_words, rounds):
         now = np.maximum(grid, 0)
         moved = C.checkpointed(cells.select("data").mapInArrow(lambda it, s=shared, g=now: C.trimmed(_move_rows(it, s.value[0], g, n_classes)), _MOVED))
         _release(spark)
-        words = moved.filter(F.col("kind") == WORD).select(F.col("key").alias("word"), F.col("value").cast("int").alias("cls"))
+        got = moved.filter(F.col("kind") == OWN).select("key", "value").toPandas()                    # the table's words at most
+        units.own = _by_word(got.key.to_numpy(np.int64).view(np.uint64), got.value.to_numpy())
+        sums = {CELL: np.zeros(n_classes ** 2), TOTAL: np.zeros(4 * n_classes)}
+        for r in moved.filter(F.col("kind") >= CELL).groupBy("kind", "key").agg(F.sum("value").alias("sum")).collect():       # a row a cell
+            sums[r["kind"]][r["key"]] = r["sum"]
         if not last:
-            got = words.toPandas()                                     # the table's words at most
-            units.own = _by_word(got.word.to_numpy(np.int64).view(np.uint64), got.cls.to_numpy())
-            for r in moved.filter(F.col("kind") == CELL).groupBy("key").agg(F.sum("value").alias("n")).collect():       # a row a cell
-                grid[divmod(r["key"], n_classes)] += r["n"]
-    return words
+            grid += sums[CELL].reshape(grid.shape)
+    words = moved.filter(F.col("kind") <= OWN).select(F.col("key").alias("word"), F.col("value").cast("int").alias("cls"), "n", (F.col("kind") == OWN).alias("own"))
+    return words, sums[TOTAL].reshape(-1, 4)
 
 
 def _release(spark):
@@ -655,7 +775,7 @@ def _part_rows(batches, model):
             rare = batch.column("rare").slice(i, n)
             rare = rare.flatten() if isinstance(rare, pa.Array) else rare.combine_chunks().flatten()
             rare_word, rare_n, rare_cls = (rare.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-            known, first = np.unique(rare_word.astype(np.int64).view(np.uint64), return_index=True)
+            known, first = _firsts(rare_word.astype(np.int64).view(np.uint64))
             word, ending, number, row = _block(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             # class, count and scores of each distinct word; the end is number 0
             ends = np.array([END])
@@ -736,20 +856,19 @@ def _finished(parts, model):
     return parts.drop("flag").mapInArrow(lambda it: _score_rows(it, step), _SCORES)
 
 
-def _learn(train, text_col, n_classes, cluster_words, suffixes, table_words, rounds, word_rounds) -> tuple[Model, DataFrame]:
-    """The model without its class pairs, and the table of all word counts (word, ending, n, cls)."""
+def _learn(train, text_col, n_classes, cluster_words, suffixes, table_words, rounds, word_rounds) -> tuple[Model, DataFrame, DataFrame]:
+    """The model without its class pairs, the table of all word counts (word, ending, n, cls), and (word, n, cls) of the words outside the broadcast table."""
     spark = train.sparkSession
     texts = train.select(F.col(text_col).alias("text"))
     counts = C.checkpointed(texts.mapInArrow(_count_rows, "word long, ending long, n long")
                             .groupBy("word").agg(F.min("ending").alias("ending"), F.sum("n").alias("n")))
     _release(spark)
-    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-
     # the most frequent words that fit the table: a threshold from a histogram of logarithms
     level = F.floor(F.log2("n") * BUCKETS_PER_DOUBLING)
-    histogram = sorted(counts.groupBy(level.alias("b")).count().collect(), reverse=True)
+    histogram = sorted(counts.groupBy(level.alias("b")).agg(F.count("*"), F.sum("n"), F.sum(F.when(F.col("word") == int(END), F.col("n")).otherwise(0))).collect(), reverse=True)
+    v, n, ends = (sum(r[k] for r in histogram) for k in (1, 2, 3))
     least, total = math.inf, 0
-    for b, size in histogram:
+    for b, size, *_ in histogram:
         total += size
         if total > table_words:
             break
@@ -762,11 +881,9 @@ def _learn(train, text_col, n_classes, cluster_words, suffixes, table_words, rou
              .orderBy(F.desc("n"), "ending").limit(suffixes).toPandas())
     units = Units(frequent, tails.ending.to_numpy(np.int64).view(np.uint64))
 
-    bigrams = C.checkpointed(texts.mapInArrow(lambda it: _bigram_rows(it, units), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")))
+    bigrams = C.checkpointed(_unit_pairs(texts, units))
     _release(spark)
-    by_count = bigrams.groupBy((F.col("pair") % units.size).cast("int").alias("u")).agg(F.sum("n").alias("n")).toPandas()
-    frequency = np.zeros(units.size)
-    frequency[by_count.u] = by_count.n
+    frequency = _neighbours(bigrams, np.zeros(units.size, np.int64), 1)[1].ravel()
     order = np.argsort(-frequency, kind="stable")
     classes, grid = learn_classes(bigrams, units.size, n_classes, rounds, order)
 
@@ -776,36 +893,21 @@ def _learn(train, text_col, n_classes, cluster_words, suffixes, table_words, rou
     start = classes[units.of(in_table, np.array([endings[w] for w in in_table.tolist()], np.uint64))]
     units.own = _by_word(in_table, start)
     classes = np.concatenate([classes, np.arange(n_classes)])
-    own = learn_words(texts, units, classes, grid, int(n), int(v), word_rounds)
-    counts = C.checkpointed(counts.join(own, "word", "left").withColumn("cls", F.coalesce("cls", F.lit(0))))
-    _release(spark)
-    frequent_cls = counts.filter(level >= (least if least < math.inf else 1 << 40)).filter(F.col("word") != int(END)).select("word", "cls").toPandas()
-    units.own, units.table = _by_word(frequent_cls.word.to_numpy(np.int64).view(np.uint64), frequent_cls.cls.to_numpy()), counts
-
-    def class_totals(batches):
-        sums = np.zeros((n_classes, 4))
-        for batch in batches:
-            cls, count = (batch.column(c).to_numpy() for c in ("cls", "n"))
-            for k, weight in enumerate((count, np.ones(len(count)), count == 1, count == 2)):
-                sums[:, k] += np.bincount(cls, weights=weight, minlength=n_classes)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_classes)), *(pa.array(sums[:, k]) for k in range(4))], names=["cls", "n", "types", "once", "twice"])
-
-    got = counts.mapInArrow(class_totals, "cls long, n double, types double, once double, twice double").groupBy("cls").agg(
-        *[F.sum(c).alias(c) for c in ("n", "types", "once", "twice")]).toPandas()
-    totals = np.zeros((n_classes, 4))
-    if len(got):
-        totals[got.cls] = got[["n", "types", "once", "twice"]]
+    known, totals = _learn_words(texts, units, classes, grid, int(n), int(v), word_rounds)
+    units.table = known
+    totals[0] = ends, ends > 0, ends == 1, ends == 2              # the end token is alone in its class
+    counts = counts.join(known.select("word", "cls"), "word", "left").withColumn("cls", F.coalesce("cls", F.lit(0)))
     if not len(words):
         words, seen = np.array([END]), np.array([0])
     by_word = np.argsort(words)
-    return Model(units, classes, grid, totals, words[by_word], seen[by_word], int(n), int(v)), counts
+    return Model(units, classes, grid, totals, words[by_word], seen[by_word], int(n), int(v)), counts, known.filter("NOT own")
 
 
 def learn(train: DataFrame, text_col: str = "text", n_classes: int = 48, cluster_words: int = 2048, suffixes: int = 2048,
           table_words: int = 1 << 18, rounds: int = 6, word_rounds: int = 2) -> tuple[Model, DataFrame]:
-    """(model, table of all word counts: word, ending, n, cls) learnt from the texts of ``train``."""
-    model, counts = _learn(train, text_col, n_classes, cluster_words, suffixes, table_words, rounds, word_rounds)
-    parts = _parts(train.select(text_col).withColumn("__id", F.lit(0)), model, counts, F.lit(True), "__id", text_col)
+    """(model, table of all word counts: word, ending, n, cls; joined when it is read) learnt from the texts of ``train``."""
+    model, counts, rare = _learn(train, text_col, n_classes, cluster_words, suffixes, table_words, rounds, word_rounds)
+    parts = _parts(train.select(text_col).withColumn("__id", F.lit(0)), model, rare, F.lit(True), "__id", text_col)
     model.set_grid(_counted(parts, n_classes))
     return model, counts
 
@@ -818,8 +920,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
 def learn_and_score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", n_classes: int = 48, cluster_words: int = 2048,
                     suffixes: int = 2048, table_words: int = 1 << 18, rounds: int = 6, word_rounds: int = 2) -> tuple[Model, DataFrame]:
     """(model of the rows where ``train`` holds, scores of all rows): ``learn`` and ``score`` in one last pass."""
-    model, counts = _learn(docs.filter(train), text_col, n_classes, cluster_words, suffixes, table_words, rounds, word_rounds)
-    parts = C.checkpointed(_parts(docs, model, counts, train, id_col, text_col))
+    model, _, rare = _learn(docs.filter(train), text_col, n_classes, cluster_words, suffixes, table_words, rounds, word_rounds)
+    parts = C.checkpointed(_parts(docs, model, rare, train, id_col, text_col))
     model.set_grid(_counted(parts, n_classes))
     return model, _finished(parts, model)
 

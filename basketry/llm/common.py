@@ -153,8 +153,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def prefix_hash(raw: np.ndarray) -> np.ndarray:
     """H with H[j] - H[i] = sum of code(raw[t]) * BASE**t for i <= t < j."""
     up, _ = powers(len(raw) + 1)
+    code = BYTE_CODE.take(raw)
+    code *= up[:len(raw)]
     out = np.zeros(len(raw) + 1, U64)
-    np.cumsum(BYTE_CODE[raw] * up[:len(raw)], dtype=U64, out=out[1:])
+    np.cumsum(code, dtype=U64, out=out[1:])
     return out
 
 
@@ -187,7 +189,7 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None =
 
 def lower_bytes(raw: np.ndarray) -> np.ndarray:
     """A-Z to a-z, byte by byte."""
-    return np.where((raw >= 65) & (raw <= 90), raw + np.uint8(32), raw)
+    return raw + ((raw - np.uint8(65) < 26).view(np.uint8) << 5)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

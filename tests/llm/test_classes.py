@@ -126,3 +126,61 @@ def test_rare_words_settle_the_grid_all_together(spark):
     assert (brown_lm._best_apart(cls, right, left, grid) == brown_lm.best_classes(cls, right, left, grid, held=False)).all()
     settled = brown_lm._settled(got.to_pandas(), grid + 1000)
     assert settled.sum() == (grid + 1000).sum()
+
+
+def test_unit_pairs_are_kept_in_a_row_a_bucket(spark, monkeypatch):
+    """Pairs of units, summed in bounded runs, against a plain count; so are the neighbours' classes."""
+    rng = random.Random(4)
+    vocabulary = [f"{a}{b}" for a in "abcdefgh" for b in ("ing", "ed", "s", "")]
+    texts = [[rng.choice(vocabulary) for _ in range(rng.randint(0, 40))] for _ in range(90)]
+    word, ending = hashed(vocabulary)
+    units = brown_lm.Units(word[:9], np.unique(ending)[:5])
+    of = dict(zip(vocabulary, units.of(word, ending).tolist(), strict=True))
+    want = class_pairs(texts, of)
+    frame = spark.createDataFrame([(" ".join(t),) for t in texts] + [(None,)], "text string").repartition(7)
+    want[(0, 0)] += 1
+    for flush in (brown_lm.FLUSH, 20):
+        monkeypatch.setattr(brown_lm, "FLUSH", flush)
+        rows = brown_lm._unit_pairs(frame, units).collect()
+        assert len(rows) == len({r.bucket for r in rows}) <= brown_lm.PAIR_BUCKETS
+        got = Counter()
+        for r in rows:
+            pair, n = brown_lm._unpack_pairs(r.data)
+            assert (np.diff(pair) > 0).all() and (pair % brown_lm.PAIR_BUCKETS == r.bucket).all()
+            got.update({divmod(p, units.size): k for p, k in zip(pair.tolist(), n.tolist(), strict=True)})
+        assert got == want
+    # runs of a task that overlap are summed as well
+    parts = [brown_lm._packed_rows([3, 3, 5], [brown_lm._pack_pairs(np.arange(k, k + 30), np.full(30, k + 1)) for k in (0, 10, 2)])]
+    got = {b: brown_lm._unpack_pairs(d) for batch in brown_lm._pair_rows(parts) for b, d in zip(batch["bucket"].to_pylist(), batch["data"].to_pylist(), strict=True)}
+    assert got[3][1].tolist() == [1] * 10 + [12] * 20 + [11] * 10 and got[5][1].tolist() == [3] * 30
+    classes = np.array([rng.randint(1, 3) for _ in range(units.size)])
+    classes[0] = 0
+    right, left = brown_lm._neighbours(brown_lm._unit_pairs(frame, units), classes, 4)
+    plain = np.zeros((2, units.size, 4))
+    for (a, b), n in want.items():
+        plain[0, a, classes[b]] += n
+        plain[1, b, classes[a]] += n
+    assert (right == plain[0]).all() and (left == plain[1]).all()
+
+
+def test_words_come_with_their_counts_and_sums(spark):
+    """The classes' sums that smoothing needs and the words' counts come with the moves, as a plain count gives them."""
+    texts = [t or "" for _, t, _ in cases.texts()]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    model, counts, rare = brown_lm._learn(frame, "text", 6, 5, 4, 20, 3, 2)
+    table = {r.word: (r.n, r.cls) for r in counts.collect()}
+    assert {r.word: (r.n, r.cls) for r in rare.collect()} == {w: x for w, x in table.items() if np.uint64(w % 2**64) not in set(model.words.tolist())}
+    totals = np.zeros((6, 3))
+    for n, c in table.values():
+        totals[c] += n, n == 1, n == 2
+    once, twice = totals[1:, 1], totals[1:, 2]
+    assert (model.total == totals[:, 0]).all() and table[int(brown_lm.END)] == (len(texts), 0)
+    assert np.allclose(model.discount[1:], np.clip(np.where(once > 0, once / np.maximum(once + 2 * twice, 1), 0.5), 0.05, 0.95))
+
+
+def test_row_sums_are_those_of_reduceat():
+    rng = np.random.default_rng(5)
+    for size, share in ((1, 1), (400, 0.02), (2000, 0.3), (50, 1)):
+        term = rng.random((size, 7)) * 10.0 ** rng.integers(-9, 9, (size, 7))
+        starts = np.unique(np.append(0, np.flatnonzero(rng.random(size) < share)))
+        assert (brown_lm._row_sums(term, starts) == np.add.reduceat(term, starts)).all()
