@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from basketry.llm import common as C
 
 #: White-space separated strings whose ids a worker keeps; the ids of further ones are kept for one block.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: A character that stands between strings encoded together (its own token), and how many of them.
 BETWEEN, TOGETHER = "\x01", 100
 #: Lower-case letters of Latin-1 alone: neither normalised nor split by the tokenizer.
@@ -68,6 +68,7 @@ class WordIds:
         self.count = self.used = 0
         self.flat = np.zeros(1 << 16, np.uint32)
         self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
+        C.trim()              # what parsing the vocabulary took
 
     def _add(self, strings: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
         total, n = len(flat), len(strings)
